@@ -22,6 +22,7 @@ STOP = ", ".join(_q(w) for w in settings.STOP_WORDS)
 DOCS = "docs AS (SELECT doc_id, text, source AS label FROM documents)"
 DOCS_LANG = "docs AS (SELECT doc_id, text, lang AS label FROM documents)"
 EVENTS = "docs AS (SELECT event_id AS doc_id, props AS text, event_type AS label FROM events)"
+ORDERS = "docs AS (SELECT o_orderkey AS doc_id, o_custkey::VARCHAR AS text, o_orderstatus AS label FROM orders)"
 GROUPS = """grp AS (
   SELECT text, count(DISTINCT label) AS n_labels, count(*) AS n_rows, min(doc_id) AS first_doc,
          string_agg(DISTINCT label, ' + ' ORDER BY label) AS combination
@@ -259,6 +260,7 @@ SELECT docs.label, count(bad.text) AS rows_in_conflicts, count(DISTINCT bad.text
 FROM docs LEFT JOIN bad USING (text) GROUP BY docs.label""",
         "majority_check": _majority(DOCS),
         "event_majority_check": _majority(EVENTS),
+        "order_majority_check": _majority(ORDERS),
         "consistent_by_class": _consistent(DOCS),
         "consistent_by_language": _consistent(DOCS_LANG),
         "remaining_duplicates": f"""WITH {DOCS}, {GROUPS} SELECT count(*) FILTER (n_rows > 1) AS duplicate_texts,
@@ -341,13 +343,18 @@ FROM b FULL JOIN a USING (label)""",
   SELECT l.label, (SELECT count(*) FROM p_d x WHERE x.label = l.label)::DOUBLE AS n FROM (SELECT DISTINCT label FROM docs) l)
 {summary} UNION ALL SELECT 'class_counts', label, n FROM c
 UNION ALL SELECT 'class_percentages', label, round(n / (SELECT count(*) FROM p_d) * 100, 4) FROM c""",
-        "majority_resolved": """WITH c AS (SELECT props, event_type, count(*) AS n, min(event_id) AS f FROM events GROUP BY ALL),
-t AS (SELECT props, sum(n) AS total FROM c GROUP BY props)
-SELECT e.event_id, e.props, e.event_type FROM c JOIN t USING (props) JOIN events e ON e.event_id = c.f
-WHERE c.n > t.total - c.n""",
+        "majority_resolved": f"{_majority_rows(DOCS)} SELECT doc_id, text, label FROM won",
+        "order_majority_resolved": f"""{_majority_rows(ORDERS)}
+SELECT doc_id AS o_orderkey, text AS customer, label AS o_orderstatus FROM won""",
     }
 
 
+def _majority_rows(docs: str) -> str:
+    return f"""WITH {docs}, c AS (SELECT text, label, count(*) AS n, min(doc_id) AS f FROM docs GROUP BY text, label),
+t AS (SELECT text, sum(n) AS total FROM c GROUP BY text),
+won AS (SELECT d.* FROM c JOIN t USING (text) JOIN docs d ON d.doc_id = c.f WHERE c.n > t.total - c.n)"""
+
+
 def _ident(name: str) -> str:
     return f'"{name}"'
 

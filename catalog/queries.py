@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 from catalog import settings
 from labelloom import Roles
+from labelloom.operators.groups import keep_rows
+from labelloom.operators.pin import settle
 from labelloom.operators import duplicates, features, metrics, models, policies, profile, split, validate
 from labelloom.sources.tables import read_parquet
 
@@ -22,7 +24,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 DOC = Roles("text", "label", "doc_id")
 EVENT = Roles("props", "event_type", "event_id")
 TALK = Roles("text", "role", ("conv_id", "turn"))
-PAGE = Roles("html", "url", "page_id")
+ORDER = Roles("customer", "o_orderstatus", "o_orderkey")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,8 +36,13 @@ def documents(spark: SparkSession, sf_dir: str, label: str = "source") -> DataFr
 
 
 def clean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents by language after policy D: every text once."""
-    return policies.policy_d(documents(spark, sf_dir, "lang"), DOC)
+    """Documents by language after policy D: every text once.
+
+    Which rows stay is settled once; the passes of a split or fit that follow
+    then read only the columns they need.
+    """
+    docs = documents(spark, sf_dir, "lang")
+    return keep_rows(docs, DOC, settle(policies.chosen_rows(docs, "D", DOC)))
 
 
 def assigned(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -78,6 +85,15 @@ def _on_events(operator: Callable[..., DataFrame], **options) -> Query:
     )
 
 
+def _on_orders(operator: Callable[..., DataFrame], **options) -> Query:
+    """Customers as texts: their orders carry several statuses, some with a majority."""
+    return lambda spark, sf: operator(
+        table(spark, sf, "orders").select("o_orderkey", F.col("o_custkey").cast("string").alias("customer"), "o_orderstatus"),
+        ORDER,
+        **options,
+    )
+
+
 def _profiling() -> dict[str, Query]:
     docs = lambda s, d: documents(s, d)
     return {
@@ -149,6 +165,7 @@ def _duplicates() -> dict[str, Query]:
         "conflict_impact_by_class": _on_documents(duplicates.conflict_impact_by_class),
         "majority_check": _on_documents(duplicates.majority_check),
         "event_majority_check": _on_events(duplicates.majority_check),
+        "order_majority_check": _on_orders(duplicates.majority_check),
         "consistent_by_class": _on_documents(duplicates.consistent_by_class),
         "consistent_by_language": _on_documents(duplicates.consistent_by_class, "lang"),
         "remaining_duplicates": _on_documents(duplicates.remaining_duplicates),
@@ -174,7 +191,8 @@ def _policies() -> dict[str, Query]:
         "policy_class_matrix": _on_documents(policies.policy_class_matrix),
         "before_after_delta": delta,
         "cleaning_report": _on_documents(policies.cleaning_report),
-        "majority_resolved": _on_events(policies.majority_resolved),
+        "majority_resolved": _on_documents(policies.majority_resolved),
+        "order_majority_resolved": _on_orders(policies.majority_resolved),
     }
 
 

@@ -108,22 +108,21 @@ def attach_by_text(
     and then spread evenly over the shuffle; all others are joined normally,
     so no join task holds more than ``hot_rows`` rows of one text.
     """
-    hot = groups.where(F.col("n_rows") > hot_rows).select(
+    known = groups.where(F.col("text_key").isNotNull())
+    hot = known.where(F.col("n_rows") > hot_rows).select(
         F.col("text_key").alias("_hot_key"), F.col(value).alias("_hot_value")
     )
-    usual = groups.where((F.col("n_rows") <= hot_rows) & F.col(value).isNotNull()).select(
-        F.col("text_key").alias("_group_key"), F.col(value), F.lit(0).alias("_group_lane")
+    usual = known.where((F.col("n_rows") <= hot_rows) & F.col(value).isNotNull()).select(
+        F.col("text_key").alias("_group_key"), F.col(value)
     )
     keyed = df.withColumn("_key", text_key(F.col(roles.text)))
     marked = keyed.join(F.broadcast(hot), F.col("_key") == F.col("_hot_key"), "left")
-    stays = F.col("_key").isNotNull() & F.col("_hot_key").isNull()
-    spread = F.pmod(F.xxhash64(*roles.order_columns), F.lit(1 << 16)).cast("int") + 1
-    laned = marked.withColumn("_lane", F.when(stays, F.lit(0)).otherwise(spread))
-    joined = laned.join(
-        usual,
-        (F.col("_key") == F.col("_group_key")) & (F.col("_lane") == F.col("_group_lane")),
-        "left",
-    )
+    # Rows that need no join get a key of their own in place of the digest. It is
+    # never 32 bytes long, so it matches nothing and only scatters these rows.
+    scattered = F.xxhash64(*roles.order_columns).cast("string").cast("binary")
+    settled = F.col("_key").isNull() | F.col("_hot_key").isNotNull()
+    laned = marked.withColumn("_join_key", F.when(settled, scattered).otherwise(F.col("_key")))
+    joined = laned.join(usual, F.col("_join_key") == F.col("_group_key"), "left")
     return joined.select(
         *[joined[c] for c in df.columns],
         F.coalesce(F.col("_hot_value"), F.col(value)).alias(value),

@@ -28,17 +28,20 @@ def with_argmax(df: DataFrame, probabilities: str, out: str = "predicted") -> Da
     return df.withColumn(out, argmax_class(F.col(probabilities)))
 
 
-def log_loss(probabilities: Column, truth_id: Column) -> Column:
-    """Aggregate: mean negative log of the probability given to the true class."""
+def row_loss(probabilities: Column, truth_id: Column) -> Column:
+    """Negative log of the probability given to the true class; its mean is the log loss."""
     given = F.get(probabilities, truth_id)
-    return F.avg(-F.log(F.least(F.greatest(given, F.lit(PROBABILITY_MARGIN)), F.lit(1 - PROBABILITY_MARGIN))))
+    return -F.log(F.least(F.greatest(given, F.lit(PROBABILITY_MARGIN)), F.lit(1 - PROBABILITY_MARGIN)))
 
 
-def confusion_counts(df: DataFrame, truth: str, predicted: str, by: Sequence[str] = ()) -> DataFrame:
-    """Pairs that occur: ``truth, predicted, n``."""
-    require_columns(df, truth, predicted, *by)
+def confusion_counts(
+    df: DataFrame, truth: str, predicted: str, by: Sequence[str] = (), loss: str | None = None
+) -> DataFrame:
+    """Pairs that occur: ``truth, predicted, n``, and the summed ``loss`` if a column is named."""
+    require_columns(df, truth, predicted, *by, *([loss] if loss else []))
+    sums = [F.sum(loss).alias("loss")] if loss else []
     return df.groupBy(*by, F.col(truth).alias("truth"), F.col(predicted).alias("predicted")).agg(
-        F.count(F.lit(1)).alias("n")
+        F.count(F.lit(1)).alias("n"), *sums
     )
 
 
@@ -64,26 +67,31 @@ def confusion_wide(df: DataFrame, truth: str, predicted: str, labels: Sequence[s
     return matrix.groupBy("truth").pivot("predicted", list(labels)).agg(F.sum("n")).na.fill(0)
 
 
-def _per_label(df: DataFrame, truth: str, predicted: str, by: Sequence[str]) -> DataFrame:
-    """Per label: correct, support (truth) and predicted counts, precision, recall, F1 (0 if undefined)."""
+def _per_label(counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Per label: support (truth), claimed (predicted), hits, precision, recall, F1 (0 if undefined)."""
     zero = F.lit(0).cast("bigint")
     n = F.col("n")
     hit = F.when(F.col("truth").eqNullSafe(F.col("predicted")), n).otherwise(zero)
-    sides = F.array(
-        F.struct(F.col("truth").alias("label"), n.alias("support"), zero.alias("claimed"), hit.alias("hits")),
-        F.struct(F.col("predicted").alias("label"), zero.alias("support"), n.alias("claimed"), zero.alias("hits")),
-    )
-    counts = (
-        confusion_counts(df, truth, predicted, by)
-        .select(*by, F.inline(sides))
-        .groupBy(*by, "label")
-        .agg(F.sum("support").alias("support"), F.sum("claimed").alias("claimed"), F.sum("hits").alias("hits"))
+    loss = F.col("loss") if "loss" in counts.columns else F.lit(0.0)
+
+    def side(label: str, support: Column, claimed: Column, hits: Column, lost: Column) -> Column:
+        return F.struct(
+            F.col(label).alias("label"),
+            support.alias("support"),
+            claimed.alias("claimed"),
+            hits.alias("hits"),
+            lost.alias("loss"),
+        )
+
+    sides = F.array(side("truth", n, zero, hit, loss), side("predicted", zero, n, zero, F.lit(0.0)))
+    totals = counts.select(*by, F.inline(sides)).groupBy(*by, "label").agg(
+        *[F.sum(c).alias(c) for c in ("support", "claimed", "hits", "loss")]
     )
 
     def ratio(part: Column, whole: Column) -> Column:
         return F.coalesce(F.try_divide(part.cast("double"), whole.cast("double")), F.lit(0.0))
 
-    return counts.select(
+    return totals.select(
         "*",
         ratio(F.col("hits"), F.col("claimed")).alias("precision"),
         ratio(F.col("hits"), F.col("support")).alias("recall"),
@@ -96,17 +104,28 @@ def _weighted(value: str) -> Column:
 
 
 def overall_metrics(
-    df: DataFrame, truth: str, predicted: str, by: Sequence[str] = (), digits: int | None = None
+    df: DataFrame,
+    truth: str,
+    predicted: str,
+    by: Sequence[str] = (),
+    digits: int | None = None,
+    loss: str | None = None,
 ) -> DataFrame:
-    """One row per ``by`` group: ``n_rows, accuracy, macro_f1, weighted_f1``.
+    """One row per ``by`` group: ``n_rows, accuracy, macro_f1, weighted_f1``, and the mean ``loss`` if named.
 
     Macro F1 averages over labels that occur in truth or prediction.
     """
     shown = (lambda c: F.round(c, digits)) if digits is not None else (lambda c: c)
-    accuracy = F.coalesce(F.try_divide(F.sum("hits").cast("double"), F.sum("support")), F.lit(0.0))
-    return _per_label(df, truth, predicted, by).groupBy(*by).agg(
+
+    def per_row(total: Column) -> Column:
+        return F.coalesce(F.try_divide(total.cast("double"), F.sum("support")), F.lit(0.0))
+
+    losses = [shown(per_row(F.sum("loss"))).alias("loss")] if loss else []
+    counts = confusion_counts(df, truth, predicted, by, loss)
+    return _per_label(counts, by).groupBy(*by).agg(
         F.sum("support").alias("n_rows"),
-        shown(accuracy).alias("accuracy"),
+        *losses,
+        shown(per_row(F.sum("hits"))).alias("accuracy"),
         shown(F.avg("f1")).alias("macro_f1"),
         shown(_weighted("f1")).alias("weighted_f1"),
     )
@@ -120,7 +139,7 @@ def classification_report(df: DataFrame, truth: str, predicted: str, digits: int
     """
     shown = (lambda c: F.round(c, digits)) if digits is not None else (lambda c: c)
     rolled = (
-        _per_label(df, truth, predicted, ())
+        _per_label(confusion_counts(df, truth, predicted))
         .withColumn("label", F.coalesce(F.col("label").cast("string"), F.lit("null")))
         .rollup("label")
         .agg(

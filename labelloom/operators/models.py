@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
-from functools import reduce
 
 from pyspark import StorageLevel
 from pyspark.ml import Model
@@ -58,15 +57,27 @@ class Trained:
         vectors = features.tfidf_vectors(df, self.vocabulary, self.roles.text)
         return features.encode_labels(vectors, self.index, self.roles.label)
 
-    def transform(self, df: DataFrame, name: str) -> DataFrame:
-        """``df`` with ``model, label_id, probabilities, predicted_id, predicted``."""
-        scored = self.models[name].transform(self.prepare(df)).select(
-            *df.columns,
-            "label_id",
-            F.lit(name).alias("model"),
-            vector_to_array("probability").alias("probabilities"),
+    def transform(self, df: DataFrame, names: Sequence[str] | None = None) -> DataFrame:
+        """One row per row of ``df`` and model: ``model, label_id, probabilities, predicted_id, predicted``.
+
+        Features are computed once; the models run over them one after the
+        other in the same pass.
+        """
+        names = list(self.models if names is None else names)
+        scored = self.prepare(df)
+        for i, name in enumerate(names):
+            model = self.models[name].copy()
+            for part in ("rawPrediction", "probability", "prediction"):
+                model.set(model.getParam(f"{part}Col"), f"_{part}_{i}")
+            scored = model.transform(scored)
+        outcomes = F.array(
+            *[
+                F.struct(F.lit(name).alias("model"), vector_to_array(f"_probability_{i}").alias("probabilities"))
+                for i, name in enumerate(names)
+            ]
         )
-        guessed = scored.withColumn("predicted_id", metrics.argmax_class(F.col("probabilities")))
+        rows = scored.select(*df.columns, "label_id", F.inline(outcomes))
+        guessed = rows.withColumn("predicted_id", metrics.argmax_class(F.col("probabilities")))
         return features.decode_labels(guessed, self.index, "predicted_id", "predicted")
 
 
@@ -94,25 +105,16 @@ def train(
     return Trained(roles, index, vocabulary, models)
 
 
-def model_benchmark(df: DataFrame, trained: Trained, split: str = "val", digits: int = 4) -> DataFrame:
+def model_benchmark(
+    df: DataFrame, trained: Trained, split: str = "val", digits: int = 4, names: Sequence[str] | None = None
+) -> DataFrame:
     """One row per model on one split: ``model, loss, accuracy, macro_f1, weighted_f1``, best first."""
-    rows = df.where(F.col("split") == split)
-    scored = reduce(
-        DataFrame.unionByName,
-        [
-            trained.transform(rows, name).select("model", trained.roles.label, "label_id", "predicted", "probabilities")
-            for name in trained.models
-        ],
-    )
-    quality = metrics.overall_metrics(scored, trained.roles.label, "predicted", by=["model"])
-    loss = scored.groupBy("model").agg(metrics.log_loss(F.col("probabilities"), F.col("label_id")).alias("loss"))
-    return (
-        quality.join(loss, "model")
-        .select(
-            "model", "n_rows", *[F.round(c, digits).alias(c) for c in ("loss", "accuracy", "macro_f1", "weighted_f1")]
-        )
-        .orderBy(F.desc("macro_f1"), "model")
+    scored = trained.transform(df.where(F.col("split") == split), names)
+    rows = scored.withColumn("row_loss", metrics.row_loss(F.col("probabilities"), F.col("label_id")))
+    quality = metrics.overall_metrics(
+        rows, trained.roles.label, "predicted", by=["model"], digits=digits, loss="row_loss"
     )
+    return quality.orderBy(F.desc("macro_f1"), "model")
 
 
 def select_model(benchmark: DataFrame) -> DataFrame:
@@ -124,5 +126,4 @@ def test_evaluation(df: DataFrame, trained: Trained, name: str | None = None) ->
     """Scores of the selected model on the test split; selection looks at validation only."""
     if name is None:
         name = select_model(model_benchmark(df, trained)).first()["model"]
-    only = Trained(trained.roles, trained.index, trained.vocabulary, {name: trained.models[name]})
-    return model_benchmark(df, only, split="test")
+    return model_benchmark(df, trained, split="test", names=[name])

@@ -1,14 +1,18 @@
-"""Fixing small intermediate results.
+"""Fixing intermediate results.
 
-Some operators need a handful of numbers per class, or a vocabulary, on every
-row. ``pin`` evaluates such a frame once and checks its size: within the bound
-it is broadcast, beyond it the frame goes through a reliable checkpoint and is
-joined like any other table.
+``pin`` is for a handful of numbers per class, or a vocabulary, that every row
+needs: it evaluates the frame once and checks its size. Within the bound it is
+broadcast, beyond it the frame is settled and joined like any other table.
+
+``settle`` writes a frame to the shared folder and reads it back. Later jobs
+start from the files, whatever executors were lost in between, and plan with
+their real size.
 """
 
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,22 +20,33 @@ from pyspark.sql import functions as F
 MAX_PINNED_ROWS = 20_000
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the folder the session names; make one only where none is set, as in tests."""
-    context = spark.sparkContext
-    if context.getCheckpointDir() is not None:
-        return
+def shared_folder(spark: SparkSession) -> str:
+    """The folder the session names in ``spark.checkpoint.dir``.
+
+    A temporary one is made only where none is named and everything runs in
+    one process, as in tests.
+    """
     named = spark.conf.get("spark.checkpoint.dir", "") or ""
-    if not named and not context.master.startswith("local"):
+    if named:
+        return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    context.setCheckpointDir(named or tempfile.mkdtemp(prefix="checkpoints-"))
+    folder = tempfile.mkdtemp(prefix="checkpoints-")
+    spark.conf.set("spark.checkpoint.dir", folder)
+    return folder
+
+
+def settle(frame: DataFrame) -> DataFrame:
+    """``frame`` written to the shared folder and read back."""
+    spark = frame.sparkSession
+    path = f"{shared_folder(spark)}/labelloom-{uuid.uuid4().hex}"
+    frame.write.parquet(path)
+    return spark.read.schema(frame.schema).parquet(path)
 
 
 def pin(frame: DataFrame, max_rows: int = MAX_PINNED_ROWS) -> DataFrame:
     """``frame`` evaluated once; marked for broadcast if it has at most ``max_rows`` rows."""
-    spark = frame.sparkSession
     rows = frame.limit(max_rows + 1).collect()
     if len(rows) <= max_rows:
-        return F.broadcast(spark.createDataFrame(rows, frame.schema))
-    ensure_checkpoint_dir(spark)
-    return frame.checkpoint()
+        return F.broadcast(frame.sparkSession.createDataFrame(rows, frame.schema))
+    return settle(frame)

@@ -48,9 +48,26 @@ def policy_a(df: DataFrame, roles: Roles = Roles()) -> DataFrame:
     return flagged.where(F.col("_conflicting").isNull()).drop("_conflicting")
 
 
+def chosen_rows(df: DataFrame, policy: str, roles: Roles = Roles()) -> DataFrame:
+    """Order values (``first_order``) of the rows that B, D or ``majority`` keeps, one per text.
+
+    Eight bytes or so per text: worth settling when several jobs need the cleaned rows.
+    """
+    _checked(df, roles)
+    if policy == "B":
+        rows = text_groups(df, roles)
+    elif policy == "D":
+        rows = text_groups(df, roles).where(~is_conflicting())
+    elif policy == "majority":
+        rows = labelled_groups(df, roles).where(F.col("n") * 2 > F.col("n_rows"))
+    else:
+        raise ValueError(f"policy {policy!r} does not keep one row per text")
+    return rows.select("first_order")
+
+
 def policy_b(df: DataFrame, roles: Roles = Roles()) -> DataFrame:
     """Keep the first row of each text, whatever its label."""
-    return keep_rows(df, roles, text_groups(_checked(df, roles), roles))
+    return keep_rows(df, roles, chosen_rows(df, "B", roles))
 
 
 def policy_c(df: DataFrame, roles: Roles = Roles()) -> DataFrame:
@@ -60,8 +77,7 @@ def policy_c(df: DataFrame, roles: Roles = Roles()) -> DataFrame:
 
 def policy_d(df: DataFrame, roles: Roles = Roles()) -> DataFrame:
     """Drop conflicting texts, then keep the first row of each remaining text."""
-    groups = text_groups(_checked(df, roles), roles)
-    return keep_rows(df, roles, groups.where(~is_conflicting()))
+    return keep_rows(df, roles, chosen_rows(df, "D", roles))
 
 
 def majority_resolved(df: DataFrame, roles: Roles = Roles()) -> DataFrame:
@@ -69,8 +85,7 @@ def majority_resolved(df: DataFrame, roles: Roles = Roles()) -> DataFrame:
 
     Texts without a strict majority are dropped; consistent texts always have one.
     """
-    labels = labelled_groups(_checked(df, roles), roles)
-    return keep_rows(df, roles, labels.where(F.col("n") * 2 > F.col("n_rows")))
+    return keep_rows(df, roles, chosen_rows(df, "majority", roles))
 
 
 POLICY_FUNCTIONS = {"A": policy_a, "B": policy_b, "C": policy_c, "D": policy_d}
