@@ -325,7 +325,43 @@ def _policies() -> dict[str, str]:
     summary = " UNION ALL ".join(
         f"SELECT 'summary' AS section, {_q(k)} AS item, ({v})::DOUBLE AS value" for k, v in scalars.items()
     )
+    per_class = [
+        ("conflict_rows", "count(*) FILTER (n_labels > 1)"),
+        ("conflict_texts", "count(DISTINCT text) FILTER (n_labels > 1)"),
+        ("consistent_all_copies", "count(*) FILTER (n_labels = 1 AND n_rows > 1)"),
+        ("consistent_redundant_copies", "count(*) FILTER (n_labels = 1 AND n_rows > 1 AND doc_id <> first_doc)"),
+    ]
+    impact = [
+        f"SELECT {_q(name)} AS section, label AS item, ({value})::DOUBLE AS value FROM docs JOIN grp USING (text) GROUP BY label"
+        for name, value in per_class
+    ]
+    impact += [
+        "SELECT 'conflicts', 'texts', count(*)::DOUBLE FROM bad",
+        "SELECT 'conflicts', 'rows', count(*)::DOUBLE FROM docs WHERE text IN (SELECT text FROM bad)",
+        *[
+            f"SELECT 'majority', {_q(item)}, {column}::DOUBLE FROM mv"
+            for item, column in (
+                ("with_majority", "with_majority"),
+                ("tied", "tied"),
+                ("applicable", "majority_applicable"),
+            )
+        ],
+    ]
+    for name, rows in POLICIES:
+        impact += [
+            f"SELECT 'policy_{name}', {_q(m)}, {m}::DOUBLE FROM s WHERE policy = '{name}'" for m in metrics
+        ]
+        count = f"(SELECT count(*) FROM {rows} x WHERE x.label = l.label)"
+        labels = "FROM (SELECT DISTINCT label FROM docs) l"
+        impact += [
+            f"SELECT 'policy_{name}_class_counts', l.label, {count}::DOUBLE {labels}",
+            f"SELECT 'policy_{name}_class_percentages', l.label, round({count}::DOUBLE / (SELECT count(*) FROM {rows}) * 100, 4) {labels}",
+        ]
+    impact_sql = (
+        f"{ctes}, {GROUPS}, s AS ({_summary()}), mv AS ({_majority(DOCS)}) " + " UNION ALL ".join(impact)
+    )
     return {
+        "policy_impact_report": impact_sql,
         "policy_a": f"{ctes} SELECT * FROM p_a",
         "policy_b": f"{ctes} SELECT * FROM p_b",
         "policy_c": f"{ctes} SELECT * FROM p_c",

@@ -191,6 +191,7 @@ def _policies() -> dict[str, Query]:
         "policy_class_matrix": _on_documents(policies.policy_class_matrix),
         "before_after_delta": delta,
         "cleaning_report": _on_documents(policies.cleaning_report),
+        "policy_impact_report": _on_documents(policies.policy_impact_report),
         "majority_resolved": _on_documents(policies.majority_resolved),
         "order_majority_resolved": _on_orders(policies.majority_resolved),
     }

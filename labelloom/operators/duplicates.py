@@ -204,8 +204,9 @@ def remaining_duplicates(df: DataFrame, roles: Roles = Roles()) -> DataFrame:
 def duplicate_report(df: DataFrame, roles: Roles = Roles()) -> DataFrame:
     """The whole duplicate analysis as ``section, item, value`` rows, from one scan.
 
-    Each distinct text adds its weight to named counters (totals, multiplicity,
-    label combination); one more aggregate adds them up.
+    Texts are first counted by what the report distinguishes (how often they
+    are seen, how many labels, which combination); the report is read off that
+    small table.
     """
     per_text = (
         label_counts(df, roles)
@@ -219,11 +220,18 @@ def duplicate_report(df: DataFrame, roles: Roles = Roles()) -> DataFrame:
             F.count_if((F.col("n") > 1) & F.col("label").isNotNull()).alias("exact_pairs"),
         )
     )
-    real = F.col("text_key").isNotNull()
-    n, one = F.col("n_rows"), F.lit(1).cast("bigint")
+    kinds = per_text.groupBy(
+        F.col("text_key").isNotNull().alias("real"),
+        "n_rows",
+        "n_labels",
+        F.when(is_conflicting(), F.array_join("labels", SEPARATOR)).alias("combination"),
+    ).agg(F.count(F.lit(1)).alias("texts"), *[F.sum(c).alias(c) for c in ("exact_all", "exact_extra", "exact_pairs")])
+
     zero = F.lit(0).cast("bigint")
-    repeated = real & (n > 1)
-    consistent, conflicting = repeated & (F.col("n_labels") == 1), is_conflicting()
+    real, texts = F.col("real"), F.col("texts")
+    rows = texts * F.col("n_rows")
+    repeated = real & (F.col("n_rows") > 1)
+    consistent, conflicting = repeated & (F.col("n_labels") == 1), F.col("combination").isNotNull()
 
     def entry(section: str, item: Column | str, weight: Column, condition: Column | None = None) -> Column:
         item = F.lit(item) if isinstance(item, str) else item
@@ -231,29 +239,28 @@ def duplicate_report(df: DataFrame, roles: Roles = Roles()) -> DataFrame:
         return F.struct(F.lit(section).alias("section"), item.alias("item"), weight.alias("weight"))
 
     always = [
-        entry("texts", "total_rows", n),
-        entry("texts", "unique_texts", one, real),
-        entry("texts", "texts_repeated", one, repeated),
-        entry("texts", "texts_once", one, real & (n == 1)),
+        entry("texts", "total_rows", rows),
+        entry("texts", "unique_texts", texts, real),
+        entry("texts", "texts_repeated", texts, repeated),
+        entry("texts", "texts_once", texts, real & (F.col("n_rows") == 1)),
         entry("exact_duplicates", "all_copies", F.col("exact_all")),
         entry("exact_duplicates", "non_first_copies", F.col("exact_extra")),
         entry("exact_duplicates", "unique_pairs_with_duplicates", F.col("exact_pairs"), real),
-        entry("repeated_texts", "consistent_texts", one, consistent),
-        entry("repeated_texts", "consistent_rows", n, consistent),
-        entry("repeated_texts", "conflicting_texts", one, conflicting),
-        entry("repeated_texts", "conflicting_rows", n, conflicting),
+        entry("repeated_texts", "consistent_texts", texts, consistent),
+        entry("repeated_texts", "consistent_rows", rows, consistent),
+        entry("repeated_texts", "conflicting_texts", texts, conflicting),
+        entry("repeated_texts", "conflicting_rows", rows, conflicting),
         entry("max_labels", "max_labels_per_text", F.col("n_labels"), real),
     ]
-    combination = F.array_join("labels", SEPARATOR)
     sometimes = F.filter(
         F.array(
-            F.when(repeated, entry("multiplicity", n.cast("string"), one)),
-            F.when(conflicting, entry("combination_texts", combination, one)),
-            F.when(conflicting, entry("combination_rows", combination, n)),
+            F.when(repeated, entry("multiplicity", F.col("n_rows").cast("string"), texts)),
+            F.when(conflicting, entry("combination_texts", F.col("combination"), texts)),
+            F.when(conflicting, entry("combination_rows", F.col("combination"), rows)),
         ),
         lambda e: e.isNotNull(),
     )
-    entries = per_text.select(F.inline(F.concat(F.array(*always), sometimes)))
+    entries = kinds.select(F.inline(F.concat(F.array(*always), sometimes)))
     totals = entries.groupBy("section", "item").agg(F.sum("weight").alias("added"), F.max("weight").alias("most"))
     is_max = F.col("section") == "max_labels"
     return totals.select(

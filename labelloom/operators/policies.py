@@ -8,7 +8,7 @@ never touch rows at all: every number follows from the per-text aggregates.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from labelloom.functions.numbers import long_form, over_all, percent
@@ -260,3 +260,94 @@ def cleaning_report(df: DataFrame, roles: Roles = Roles()) -> DataFrame:
         )
     )
     return summary.unionByName(classes)
+
+
+def policy_impact_report(df: DataFrame, roles: Roles = Roles()) -> DataFrame:
+    """Conflicts, consistent duplicates, majority vote and every policy as ``section, item, value`` rows.
+
+    One scan and one table of sums per class feed everything: numbers about
+    whole texts are added up under the label of the text's first row.
+    """
+    whole_text = Window.partitionBy("text_key")
+    labels = labelled_groups(df, roles).select(
+        "*",
+        F.max(F.when(F.col("label").isNotNull(), F.col("n"))).over(whole_text).alias("most"),
+        F.sum(F.when(F.col("label").isNotNull(), F.col("n"))).over(whole_text).alias("votes"),
+    )
+    zero, one = F.lit(0).cast("bigint"), F.lit(1).cast("bigint")
+    first = F.col("first_order") == F.col("text_first_order")
+    real, conflict = F.col("text_key").isNotNull(), is_conflicting()
+    consistent = real & (F.col("n_rows") > 1) & ~conflict
+    won = F.col("most") * 2 > F.col("votes")
+
+    def counted(condition: Column, weight: Column = one) -> Column:
+        return F.sum(F.when(condition, weight).otherwise(zero))
+
+    per_class = {
+        "conflict_rows": counted(conflict, F.col("n")),
+        "conflict_texts": counted(conflict),
+        "consistent_all_copies": counted(consistent, F.col("n")),
+        "consistent_redundant_copies": counted(consistent, F.col("n") - first.cast("bigint")),
+    }
+    kept_here = _kept(F.col("n"), first.cast("bigint"))
+    per_class.update({f"policy_{p}_class_counts": F.sum(kept_here[p]) for p in POLICIES})
+    per_table = {
+        ("conflicts", "texts"): counted(first & conflict),
+        ("conflicts", "rows"): counted(first & conflict, F.col("n_rows")),
+        ("majority", "with_majority"): counted(first & conflict & won),
+        ("majority", "tied"): counted(first & conflict & ~won),
+    }
+    kept_text = _kept(F.col("n_rows"), one)
+    for p in POLICIES:
+        left = F.col("n_labels") if p == "baseline" else F.least(F.col("n_labels"), one)
+        kept = kept_text[p]
+        per_table[f"policy_{p}", "total_rows"] = counted(first, kept)
+        per_table[f"policy_{p}", "unique_texts"] = counted(first & real & (kept > 0))
+        per_table[f"policy_{p}", "duplicate_texts_remaining"] = counted(first & real & (kept > 1))
+        per_table[f"policy_{p}", "conflicting_texts_remaining"] = counted(first & real & (kept > 0) & (left > 1))
+
+    sums = labels.groupBy("label").agg(
+        *[c.alias(name) for name, c in per_class.items()],
+        *[c.alias(f"{section}.{item}") for (section, item), c in per_table.items()],
+    )
+    cells = [
+        F.struct(F.lit(name).alias("section"), F.col("label").cast("string").alias("item"), F.col(name).alias("n"))
+        for name in per_class
+    ] + [
+        F.struct(F.lit(section).alias("section"), F.lit(i).alias("item"), F.col(f"`{section}.{i}`").alias("n"))
+        for section, i in per_table
+    ]
+    totals = sums.select(F.inline(F.array(*cells))).groupBy("section", "item").agg(F.sum("n").alias("n"))
+    is_original = (F.col("section") == "policy_baseline") & (F.col("item") == "total_rows")
+    sized = totals.select(
+        "*",
+        F.sum("n").over(Window.partitionBy("section")).alias("in_section"),
+        over_all(F.max(F.when(is_original, F.col("n")))).alias("original"),
+    )
+
+    def line(section: Column | str, item: Column | str, value: Column) -> Column:
+        section = F.lit(section) if isinstance(section, str) else section
+        item = F.lit(item) if isinstance(item, str) else item
+        return F.struct(section.alias("section"), item.alias("item"), value.cast("double").alias("value"))
+
+    n, section = F.col("n"), F.col("section")
+    plain = line(section, F.col("item"), n)
+    shares = line(F.replace(section, F.lit("counts"), F.lit("percentages")), F.col("item"), percent(n, F.col("in_section")))
+    lines = (
+        F.when(section.endswith("_class_counts"), F.array(plain, shares))
+        .when(
+            section.startswith("policy_") & (F.col("item") == "total_rows"),
+            F.array(
+                plain,
+                line(section, "rows_removed", F.col("original") - n),
+                line(section, "pct_retained", percent(n, F.col("original"))),
+            ),
+        )
+        .when(
+            F.col("item") == "with_majority",
+            F.array(plain, line("majority", "applicable", (n > 0).cast("double"))),
+        )
+        .otherwise(F.array(plain))
+    )
+    # Rows without a label count in every total but are no class of their own.
+    return sized.select(F.inline(lines)).where(F.col("item").isNotNull())

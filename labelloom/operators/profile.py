@@ -216,40 +216,48 @@ def profile_report(df: DataFrame, roles: Roles = Roles()) -> DataFrame:
     )
     n = F.col("n_rows")
     zero = F.lit(0).cast("bigint")
-    yes = lambda c: F.when(F.coalesce(c, F.lit(False)), n).otherwise(zero)
+
+    def rows_where(condition: Column) -> Column:
+        return F.when(F.coalesce(condition, F.lit(False)), n).otherwise(zero)
+
     totals = {
         "n_rows": n,
-        "null_text_values": yes(F.col("text_key").isNull()),
-        "empty_whitespace_texts": yes(F.col("blank")),
+        "null_text_values": rows_where(F.col("text_key").isNull()),
+        "empty_whitespace_texts": rows_where(F.col("blank")),
         "exact_duplicate_rows": F.col("exact"),
         "duplicate_text_rows": n - 1,
         "texts_with_conflicting_labels": is_conflicting().cast("bigint"),
-        "non_ascii_rows": yes(F.col("non_ascii")),
-        **{f: yes(F.col(f)) for f in tx.FLAG_NAMES},
+        "non_ascii_rows": rows_where(F.col("non_ascii")),
+        **{f: rows_where(F.col(f)) for f in tx.FLAG_NAMES},
     }
     nothing, no_label = F.lit(None).cast("int"), F.lit(None).cast("string")
 
-    def entry(kind: str, item: Column, length: Column, weight: Column) -> Column:
+    def entry(kind: str, item: Column, length: Column, weight: Column, counted: bool = False) -> Column:
+        counts = [(c if counted else zero).alias(f"_{name}") for name, c in totals.items()]
         return F.struct(
-            F.lit(kind).alias("kind"), item.alias("item"), length.alias("length"), weight.alias("weight")
+            F.lit(kind).alias("kind"), item.alias("item"), length.alias("length"), weight.alias("weight"), *counts
         )
 
     entries = F.concat(
         F.array(
             entry("char_length", no_label, F.col("chars"), n),
             entry("word_length", no_label, F.col("words"), n),
-            *[entry("total", F.lit(name), nothing, value) for name, value in totals.items()],
+            entry("total", no_label, nothing, zero, counted=True),
         ),
         F.transform("labels", lambda e: entry("class", e["label"].cast("string"), nothing, e["n"])),
     )
     small = (
         per_text.select(F.inline(entries))
         .groupBy("kind", "item", "length")
-        .agg(F.sum("weight").alias("n"))
+        .agg(F.sum("weight").alias("n"), *[F.sum(f"_{name}").alias(f"_{name}") for name in totals])
         .groupBy("kind", "item")
-        .agg(F.sum("n").alias("n"), *histogram_stats("length", "n"))
+        .agg(
+            F.sum("n").alias("n"),
+            *[F.sum(f"_{name}").alias(f"_{name}") for name in totals],
+            *histogram_stats("length", "n"),
+        )
     )
-    n_rows = over_all(F.max(F.when((F.col("kind") == "total") & (F.col("item") == "n_rows"), F.col("n"))))
+    n_rows = over_all(F.max("_n_rows"))
 
     def line(section: str, item: Column, value: Column) -> Column:
         return F.struct(
@@ -258,7 +266,7 @@ def profile_report(df: DataFrame, roles: Roles = Roles()) -> DataFrame:
 
     name = F.coalesce("item", F.lit("null"))
     lines = (
-        F.when(F.col("kind") == "total", F.array(line("totals", name, F.col("n"))))
+        F.when(F.col("kind") == "total", F.array(*[line("totals", F.lit(t), F.col(f"_{t}")) for t in totals]))
         .when(
             F.col("kind") == "class",
             F.array(

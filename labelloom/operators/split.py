@@ -279,23 +279,43 @@ def split_report(
         )
     )
 
-    def entry(section: Column, item: Column, weight: Column) -> Column:
-        return F.struct(section.alias("section"), item.alias("item"), weight.cast("bigint").alias("weight"))
+    nobody = F.lit(None).cast("string")
+    where = F.struct(*SPLITS)
+    nowhere = F.struct(*[F.lit(None).cast("int").alias(s) for s in SPLITS])
+    one = F.lit(1).cast("bigint")
+
+    def part(seen: Column, split: Column, label: Column, n: Column) -> Column:
+        return F.struct(seen.alias("seen"), split.alias("split"), label.alias("label"), n.alias("n"))
+
+    # Texts are counted by the splits they occur in, rows by split and class.
+    texts = F.when(F.col("text_key").isNotNull(), F.array(part(where, nobody, nobody, one))).otherwise(F.array())
+    rows = F.transform("parts", lambda p: part(nowhere, p["split"], p["label"], p["n"]))
+    counted = (
+        per_text.select(F.inline(F.concat(texts, rows)))
+        .groupBy("seen", "split", "label")
+        .agg(F.sum("n").alias("n"))
+    )
+
+    def entry(section: Column | str, item: Column | str, weight: Column) -> Column:
+        section = F.lit(section) if isinstance(section, str) else section
+        item = F.lit(item) if isinstance(item, str) else item
+        return F.struct(section.alias("section"), item.alias("item"), weight.alias("weight"))
 
+    zero = F.lit(0).cast("bigint")
     shared = [
         entry(
-            F.lit("leakage"),
-            F.lit(f"{a}_{b}_overlap"),
-            F.when(F.col("text_key").isNotNull() & (F.col(a) == 1) & (F.col(b) == 1), 1).otherwise(0),
+            "leakage",
+            f"{a}_{b}_overlap",
+            F.when((F.col(f"seen.{a}") == 1) & (F.col(f"seen.{b}") == 1), F.col("n")).otherwise(zero),
         )
         for a, b in PAIRS
     ]
-    entries = F.concat(
-        F.array(*shared),
-        F.transform("parts", lambda p: entry(F.lit("rows"), p["split"], p["n"])),
-        F.transform("parts", lambda p: entry(F.concat(F.lit("class_counts_"), p["split"]), p["label"], p["n"])),
-    )
-    totals = per_text.select(F.inline(entries)).groupBy("section", "item").agg(F.sum("weight").alias("n"))
+    sizes = [
+        entry("rows", F.col("split"), F.col("n")),
+        entry(F.concat(F.lit("class_counts_"), F.col("split")), F.col("label"), F.col("n")),
+    ]
+    entries = F.when(F.col("split").isNull(), F.array(*shared)).otherwise(F.array(*sizes))
+    totals = counted.select(F.inline(entries)).groupBy("section", "item").agg(F.sum("weight").alias("n"))
     is_rows, is_class = F.col("section") == "rows", F.col("section").startswith("class_counts_")
     in_section = F.sum("n").over(Window.partitionBy("section"))
     sized = totals.select("*", in_section.alias("section_total"))

@@ -1,0 +1 @@
+"""Whole jobs: read, work, write, report."""

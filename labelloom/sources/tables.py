@@ -5,13 +5,15 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from labelloom.operators.validate import assert_unique_texts, require_columns
 from labelloom.roles import Roles
 
+# Reads as null; a character that no text field holds, so that "" stays a text.
+NO_TEXT = "\x00"
 DEFAULT_SCHEMA = "text string, label string"
 
 
@@ -40,8 +42,9 @@ def read_csv(
 ) -> DataFrame:
     """A CSV table with a header and standard quoting, including line breaks inside quotes.
 
-    Columns are matched to the header by name; a declared column the header
-    lacks is an error. A file with quoted line breaks cannot be split, so one
+    An empty field is null and a quoted empty field is an empty text;
+    ``null_value`` names one more spelling of null. Columns are matched to the
+    header by name; a declared column the header lacks is an error. A file with quoted line breaks cannot be split, so one
     file is one task: keep large tables in many files, or in Parquet.
     """
     if isinstance(schema, str):
@@ -54,10 +57,8 @@ def read_csv(
             .option("quote", '"')
             .option("escape", '"')
             .option("encoding", encoding)
-            .option("inferSchema", False)
+            .option("nullValue", NO_TEXT if null_value is None else null_value)
         )
-        if null_value is not None:
-            reader = reader.option("nullValue", null_value)
         return reader.csv(p)
 
     raw = _found(load, path)
@@ -97,15 +98,23 @@ def read_clean(
     return df
 
 
+def _csv_options(writer: DataFrameWriter) -> DataFrameWriter:
+    return (
+        writer.option("header", True)
+        .option("escape", '"')
+        .option("emptyValue", '""')
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+    )
+
+
 def write_table(df: DataFrame, path: str, file_format: str = "parquet") -> str:
     """Write a table; CSV gets a header, and quotes are doubled so it reads back unchanged."""
     writer = df.write.mode("overwrite")
     if file_format == "parquet":
         writer.parquet(path)
     elif file_format == "csv":
-        writer.option("header", True).option("quote", '"').option("escape", '"').option(
-            "emptyValue", '""'
-        ).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+        _csv_options(writer).csv(path)
     else:
         raise ValueError(f"file_format must be 'parquet' or 'csv', got {file_format!r}")
     return path
@@ -121,14 +130,24 @@ def write_splits(df: DataFrame, path: str, file_format: str = "parquet", split:
     if file_format == "parquet":
         writer.parquet(path)
     elif file_format == "csv":
-        writer.option("header", True).option("escape", '"').option("emptyValue", '""').option(
-            "ignoreLeadingWhiteSpace", False
-        ).option("ignoreTrailingWhiteSpace", False).csv(path)
+        _csv_options(writer).csv(path)
     else:
         raise ValueError(f"file_format must be 'parquet' or 'csv', got {file_format!r}")
     return {name: f"{path}/{split}={name}" for name in ("train", "val", "test")}
 
 
+def read_splits(
+    spark: SparkSession, path: str, file_format: str = "parquet", schema: T.StructType | None = None
+) -> DataFrame:
+    """The table :func:`write_splits` wrote, with its ``split`` column."""
+    if file_format == "parquet":
+        return _found(spark.read.parquet, path)
+    if schema is None:
+        raise ValueError("reading splits from CSV needs the schema of the table")
+    with_split = T.StructType([*schema.fields, T.StructField("split", T.StringType())])
+    return read_csv(spark, path, with_split)
+
+
 def report_document(report: DataFrame, notes: Mapping[str, str] | None = None) -> DataFrame:
     """A ``section, item, value`` report as one pretty-printed JSON document.
 
@@ -146,3 +165,12 @@ def write_report(report: DataFrame, path: str, notes: Mapping[str, str] | None =
     """Write a report as one JSON document; reports are small by construction."""
     report_document(report, notes).coalesce(1).write.mode("overwrite").text(path)
     return path
+
+
+def read_report(spark: SparkSession, path: str) -> DataFrame:
+    """A written report as ``section, item, value`` rows again."""
+    shape = "report map<string, map<string, double>>"
+    document = _found(lambda p: spark.read.schema(shape).option("multiLine", True).json(p), path)
+    return document.select(F.explode("report").alias("section", "items")).select(
+        "section", F.explode("items").alias("item", "value")
+    )

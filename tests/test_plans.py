@@ -1,0 +1,112 @@
+"""Whole jobs on small tables."""
+
+import json
+
+import pytest
+
+from labelloom import Roles
+from labelloom.operators import duplicates, models, policies, profile
+from labelloom.plans.cleaning import clean_table
+from labelloom.plans.reports import stand_in, write_reports
+from labelloom.plans.splitting import split_table
+from labelloom.plans.training import train_and_evaluate
+from labelloom.sources import tables
+from labelloom.sources.config import SplitSettings
+
+SCHEMA = "doc_id bigint, text string, label string"
+
+
+@pytest.fixture
+def raw(spark):
+    rows = [(i, f"text number {i // 2 if i < 20 else i}", "ab"[i % 2] if i < 10 else "abc"[i % 3] if i >= 20 else "a") for i in range(120)]
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+@pytest.mark.parametrize("file_format", ["parquet", "csv"])
+def test_cleaning(spark, raw, tmp_path, file_format):
+    expected = spark.createDataFrame(
+        [("summary", "final_row_count", 105.0), ("summary", "original_row_count", 119.0), ("summary", "absent", 1.0)],
+        "section string, item string, value double",
+    )
+    result = clean_table(
+        spark, raw, str(tmp_path / "clean"), str(tmp_path / "report"), Roles(), file_format, "raw", expected
+    )
+    assert sorted(r["doc_id"] for r in result.table.collect()) == sorted(r["doc_id"] for r in policies.policy_d(raw).collect())
+    assert result.mismatches == [
+        "summary.absent: None instead of 1.0", "summary.original_row_count: 120.0 instead of 119.0",
+    ]
+    assert not result.as_expected
+    part = next((tmp_path / "report").glob("part-*"))
+    assert json.loads(part.read_text())["policy"] == "D"
+
+
+def test_cleaning_refuses_a_table_without_order(spark, raw, tmp_path):
+    with pytest.raises(ValueError, match="doc_id"):
+        clean_table(spark, raw.drop("doc_id"), str(tmp_path / "c"), str(tmp_path / "r"))
+
+
+def test_stand_in_gives_the_same_reports(raw):
+    narrow = stand_in(raw)
+    for report in (duplicates.duplicate_report, policies.policy_impact_report, policies.cleaning_report):
+        assert sorted(map(tuple, report(narrow).collect())) == sorted(map(tuple, report(raw).collect()))
+
+
+def test_reports(spark, raw, tmp_path):
+    paths = write_reports(raw, str(tmp_path), source_name="raw")
+    for name, report in (("profile", profile.profile_report), ("duplicates", duplicates.duplicate_report)):
+        assert sorted(map(tuple, tables.read_report(spark, paths[name]).collect())) == sorted(map(tuple, report(raw).collect()))
+    assert set(paths) == {"profile", "duplicates", "policy_impact"}
+
+
+def test_splitting(spark, raw, tmp_path):
+    source = tables.write_table(policies.policy_d(raw), str(tmp_path / "clean"))
+    settings = SplitSettings(
+        source_dataset=source, split_output=str(tmp_path / "splits"), report_output=str(tmp_path / "report")
+    )
+    result = split_table(spark, settings)
+    found = {(r["section"], r["item"]): r["value"] for r in result.report.collect()}
+    n = policies.policy_d(raw).count()
+    assert sum(found["rows", s] for s in ("train", "val", "test")) == n == result.table.count()
+    assert found["reproducibility", "verified"] == 1 and found["leakage", "train_test_overlap"] == 0
+    assert spark.read.parquet(result.paths["test"]).count() == found["rows", "test"]
+    # The source is left as it was, and a second run writes the same splits.
+    assert spark.read.parquet(source).count() == n
+    again = split_table(spark, settings)
+    assert sorted(map(tuple, again.report.collect())) == sorted((*k, v) for k, v in found.items())
+
+
+def test_splitting_refuses_duplicates(spark, raw, tmp_path):
+    source = tables.write_table(raw, str(tmp_path / "raw"))
+    with pytest.raises(ValueError, match="not unique"):
+        split_table(spark, SplitSettings(source_dataset=source, split_output=str(tmp_path / "s"), report_output=str(tmp_path / "r")))
+
+
+def test_training(spark):
+    topics = {"fruit": "apple pear plum cherry", "tools": "hammer saw drill wrench", "sky": "moon star comet planet"}
+    rows = []
+    for i in range(90):
+        label = sorted(topics)[i % 3]
+        words = topics[label].split()
+        text = f"{words[i % 4]} {words[(i + 1) % 4]} thing{i % 5}"
+        rows.append((i, text, label, ("train", "train", "train", "val", "test")[(i // 3) % 5]))
+    df = spark.createDataFrame(rows, SCHEMA + ", split string")
+    chosen = models.variants(hidden=8, iterations=20)
+    result = train_and_evaluate(df, chosen=chosen, max_features=30, stop_words=[], expected=list(topics))
+    table = result.benchmark.collect()
+    assert {r["model"] for r in table} == set(chosen) and all(r["n_rows"] == 18 for r in table)
+    best = max(table, key=lambda r: (r["macro_f1"], [-ord(c) for c in r["model"]]))
+    assert result.selected == best["model"] and best["macro_f1"] == 1.0
+    scores = result.test_scores.first()
+    assert scores["n_rows"] == 18 and scores["accuracy"] == 1.0 and scores["loss"] < 0.7
+    assert result.confusion.count() == 9 and result.test_report.count() == 6
+    assert result.errors.first()["errors"] == 0 and result.error_preview.count() == 0
+    # Nothing but train rows may shape the features.
+    only_train = models.train(df.where("split = 'train'"), Roles(), {}, 30, [])
+    assert sorted(map(tuple, only_train.vocabulary.collect())) == sorted(map(tuple, result.trained.vocabulary.collect()))
+    with pytest.raises(ValueError, match="missing"):
+        models.train(df, expected=["missing"], stop_words=[])
+
+
+def test_selection_goes_by_macro_f1_then_name(spark):
+    table = spark.createDataFrame([("b", 0.5), ("a", 0.5), ("c", 0.4)], "model string, macro_f1 double")
+    assert models.select_model(table).first()["model"] == "a"
