@@ -14,7 +14,16 @@ def _q(value: str) -> str:
 
 
 PAIRS = (("train", "val"), ("train", "test"), ("val", "test"))
-NOT_SPACE = f"[^{tx.SPACE}]"
+
+
+
+def _ranges(ranges: tuple[tuple[int, int], ...]) -> str:
+    return "".join(rf"\x{{{lo:X}}}-\x{{{hi:X}}}" for lo, hi in ranges)
+
+
+NOT_SPACE = f"[^{_ranges(tx.SPACE_RANGES)}]"
+URL = rf"(?i)(?:https?://|www\.){NOT_SPACE}+"
+EMOJI = f"[{_ranges(tx.EMOJI_RANGES)}]"
 SEPARATORS = "".join("\\" + c if c in "[]\\^-&" else c for c in tx.SEQUENCE_SEPARATORS)
 QUANTILES = {"median": 0.5, "p25": 0.25, "p75": 0.75, "p90": 0.9, "p95": 0.95, "p99": 0.99}
 STOP = ", ".join(_q(w) for w in settings.STOP_WORDS)
@@ -43,10 +52,10 @@ def _chars(column: str) -> str:
 
 def _flags(source: str, text: str, keys: str) -> str:
     return f"""SELECT {keys},
-  regexp_matches({text}, {_q(tx.URL.replace("(?iu)", "(?i)"))}) AS has_urls,
+  regexp_matches({text}, {_q(URL)}) AS has_urls,
   regexp_matches({text}, {_q(tx.MENTION)}) AS has_mentions,
   regexp_matches({text}, {_q(tx.HASHTAG)}) AS has_hashtags,
-  regexp_matches({text}, {_q(tx.EMOJI)}) AS has_emojis,
+  regexp_matches({text}, {_q(EMOJI)}) AS has_emojis,
   {REPEATED} AS has_repeated_chars
 FROM (SELECT *, {_chars(text)} AS chars FROM {source})"""
 
@@ -490,8 +499,7 @@ SELECT doc_id, concat_ws(' ', {parts[0]}, {parts[1]}) AS sequence FROM filled"""
 
 
 def _mask(column: str) -> str:
-    url = tx.URL.replace("(?iu)", "(?i)")
-    return f"regexp_replace(regexp_replace({column}, {_q(url)}, '<URL>', 'g'), {_q(tx.MENTION)}, '<USER>', 'g')"
+    return f"regexp_replace(regexp_replace({column}, {_q(URL)}, '<URL>', 'g'), {_q(tx.MENTION)}, '<USER>', 'g')"
 
 
 def _features() -> dict[str, str]:

@@ -17,7 +17,7 @@ from labelloom import Roles
 from labelloom.operators.groups import keep_rows
 from labelloom.operators.pin import settle
 from labelloom.operators import duplicates, features, metrics, models, policies, profile, split, validate
-from labelloom.sources.tables import read_parquet
+from labelloom.sources.tables import read_parquet, spread_small
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -35,13 +35,18 @@ def documents(spark: SparkSession, sf_dir: str, label: str = "source") -> DataFr
     return table(spark, sf_dir, "documents").select("doc_id", "text", F.col(label).alias("label"))
 
 
+def texts(spark: SparkSession, sf_dir: str, label: str = "source") -> DataFrame:
+    """Documents for work on every character, spread over the cores when there are only a few files."""
+    return spread_small(documents(spark, sf_dir, label))
+
+
 def clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents by language after policy D: every text once.
 
     Which rows stay is settled once; the passes of a split or fit that follow
     then read only the columns they need.
     """
-    docs = documents(spark, sf_dir, "lang")
+    docs = texts(spark, sf_dir, "lang")
     return keep_rows(docs, DOC, settle(policies.chosen_rows(docs, "D", DOC)))
 
 
@@ -66,8 +71,12 @@ def guessed_language(text: Column) -> Column:
     return guess
 
 
+def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread_small(table(spark, sf_dir, "pages").select("page_id", "html"))
+
+
 def guesses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = documents(spark, sf_dir, "lang")
+    docs = texts(spark, sf_dir, "lang")
     return docs.withColumn("guess", guessed_language(F.col("text")))
 
 
@@ -107,17 +116,15 @@ def _profiling() -> dict[str, Query]:
         "duplicate_counts": _on_documents(profile.duplicate_counts),
         "blank_texts": lambda s, d: profile.blank_texts(docs(s, d)),
         "char_length_stats": lambda s, d: profile.char_length_stats(docs(s, d)),
-        "word_length_stats": lambda s, d: profile.word_length_stats(docs(s, d)),
-        "text_flags_per_row": lambda s, d: profile.text_flags(docs(s, d).select("doc_id", "text")).drop("text"),
-        "page_flags_per_row": lambda s, d: profile.text_flags(
-            table(s, d, "pages").select("page_id", "html"), "html"
-        ).drop("html"),
-        "feature_presence": lambda s, d: profile.feature_presence(docs(s, d)),
-        "page_feature_presence": lambda s, d: profile.feature_presence(table(s, d, "pages"), "html"),
+        "word_length_stats": lambda s, d: profile.word_length_stats(texts(s, d)),
+        "text_flags_per_row": lambda s, d: profile.text_flags(texts(s, d).select("doc_id", "text")).drop("text"),
+        "page_flags_per_row": lambda s, d: profile.text_flags(pages(s, d), "html").drop("html"),
+        "feature_presence": lambda s, d: profile.feature_presence(texts(s, d)),
+        "page_feature_presence": lambda s, d: profile.feature_presence(pages(s, d), "html"),
         "non_ascii_rows": lambda s, d: profile.non_ascii_rows(docs(s, d)),
         "examples_per_class": _on_documents(profile.examples_per_class, "lang"),
         "non_ascii_preview": _on_documents(profile.non_ascii_preview),
-        "profile_report": _on_documents(profile.profile_report),
+        "profile_report": lambda s, d: profile.profile_report(texts(s, d), DOC),
         "conversation_profile": lambda s, d: profile.profile_report(table(s, d, "conversations"), TALK),
         "column_roles": lambda s, d: validate.column_roles(table(s, d, "documents")),
         "null_audit": lambda s, d: validate.null_audit(table(s, d, "documents"), ["text", "source"]),
@@ -249,10 +256,8 @@ def _features() -> dict[str, Query]:
         "padded_sequences_pre": lambda s, d: _joined(
             features.padded_sequences(clean(s, d), _words(s, d), DOC, settings.SEQUENCE_LENGTH, "pre", "pre")
         ),
-        "normalized_text": lambda s, d: features.normalized_text(documents(s, d)).select("doc_id", "normalized"),
-        "normalized_pages": lambda s, d: features.normalized_text(table(s, d, "pages"), "html").select(
-            "page_id", "normalized"
-        ),
+        "normalized_text": lambda s, d: features.normalized_text(texts(s, d)).select("doc_id", "normalized"),
+        "normalized_pages": lambda s, d: features.normalized_text(pages(s, d), "html").select("page_id", "normalized"),
     }
 
 

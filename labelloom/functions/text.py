@@ -48,11 +48,17 @@ def _class_body(ranges: tuple[tuple[int, int], ...]) -> str:
     return "".join(rf"\x{{{lo:X}}}-\x{{{hi:X}}}" for lo, hi in ranges)
 
 
-SPACE = _class_body(SPACE_RANGES)
-URL = rf"(?iu)(?:https?://|www\.)[^{SPACE}]+"
+# The white space above for the engine's regular expressions, which must be
+# opened with (?U): its Unicode white space and the four separator controls.
+SPACE = r"\s\x1C-\x1F"
+URL = rf"(?iU)(?:https?://|www\.)[^{SPACE}]+"
 MENTION = rf"@[{WORD}]+"
 HASHTAG = rf"#[{WORD}]+"
-EMOJI = f"[{_class_body(EMOJI_RANGES)}]"
+# The surrounding range comes first, so that most characters fail a single test.
+EMOJI = (
+    rf"[\x{{{min(lo for lo, _ in EMOJI_RANGES):X}}}-\x{{{max(hi for _, hi in EMOJI_RANGES):X}}}"
+    rf"&&[{_class_body(EMOJI_RANGES)}]]"
+)
 NON_ASCII = r"[^\x00-\x7F]"
 
 FLAG_NAMES = ("urls", "mentions", "hashtags", "emojis", "repeated_chars")
@@ -67,16 +73,21 @@ def text_key(text: Column) -> Column:
     return F.unhex(F.sha2(text, 256))
 
 
+# A plain substring search decides most texts; only the others meet a pattern.
+def _may_have_url(text: Column) -> Column:
+    return text.contains("://") | F.lower(text).contains("www.")
+
+
 def has_url(text: Column) -> Column:
-    return text.rlike(URL)
+    return _may_have_url(text) & text.rlike(URL)
 
 
 def has_mention(text: Column) -> Column:
-    return text.rlike(MENTION)
+    return text.contains("@") & text.rlike(MENTION)
 
 
 def has_hashtag(text: Column) -> Column:
-    return text.rlike(HASHTAG)
+    return text.contains("#") & text.rlike(HASHTAG)
 
 
 def has_emoji(text: Column) -> Column:
@@ -96,7 +107,7 @@ def has_non_ascii(text: Column) -> Column:
 
 def is_blank(text: Column) -> Column:
     """Not null, but nothing except white space."""
-    return ~text.rlike(f"[^{SPACE}]")
+    return ~text.rlike(f"(?U)[^{SPACE}]")
 
 
 def flag_columns(text: Column, repeat: int = 3) -> dict[str, Column]:
@@ -117,7 +128,7 @@ def flag_columns(text: Column, repeat: int = 3) -> dict[str, Column]:
 
 def word_count(text: Column) -> Column:
     """Number of runs of characters that are not white space."""
-    return F.regexp_count(text, F.lit(f"[^{SPACE}]+"))
+    return F.regexp_count(text, F.lit(f"(?U)[^{SPACE}]+"))
 
 
 def one_line(text: Column) -> Column:
@@ -147,7 +158,8 @@ def sequence_tokens(text: Column) -> Column:
 
 def mask_handles_and_links(text: Column) -> Column:
     """Links become ``<URL>``, then handles become ``<USER>``."""
-    return F.regexp_replace(F.regexp_replace(text, URL, "<URL>"), MENTION, "<USER>")
+    linked = F.when(_may_have_url(text), F.regexp_replace(text, URL, "<URL>")).otherwise(text)
+    return F.when(text.contains("@"), F.regexp_replace(linked, MENTION, "<USER>")).otherwise(linked)
 
 
 def pad(sequence: Column, length: int, padding: str = "post", filler: int = 0) -> Column:

@@ -78,20 +78,24 @@ def tfidf_vocabulary(
     if max_features < 1:
         raise ValueError("max_features must be positive")
     stop = list(default_stop_words() if stop_words is None else stop_words)
-    terms = tx.word_tokens(F.col(text))
+    # Three lists per text: every word for tf, every distinct word for df, and
+    # one null word that counts the text itself.
+    one, zero = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
 
-    def entry(term: Column, tf: int, df_: int) -> Column:
-        return F.struct(
-            term.alias("term"), F.lit(tf).cast("bigint").alias("tf"), F.lit(df_).cast("bigint").alias("df")
-        )
+    def part(terms: Column, tf: Column, df_: Column) -> Column:
+        return F.struct(terms.alias("terms"), tf.alias("tf"), df_.alias("df"))
 
-    entries = F.concat(
-        F.array(entry(F.lit(None).cast("string"), 0, 1)),
-        F.transform(terms, lambda t: entry(t, 1, 0)),
-        F.transform(F.array_distinct(terms), lambda t: entry(t, 0, 1)),
+    lists = df.select(tx.word_tokens(F.col(text)).alias("words")).select(
+        F.inline(
+            F.array(
+                part(F.col("words"), one, zero),
+                part(F.array_distinct("words"), zero, one),
+                part(F.array(F.lit(None).cast("string")), zero, one),
+            )
+        )
     )
     counts = (
-        df.select(F.inline(entries))
+        lists.select(F.explode("terms").alias("term"), "tf", "df")
         .where(F.col("term").isNull() | ~F.col("term").isin(stop) if stop else F.lit(True))
         .groupBy("term")
         .agg(F.sum("tf").alias("tf"), F.sum("df").alias("df"))

@@ -79,6 +79,16 @@ def read_parquet(spark: SparkSession, path: str, columns: Iterable[str] | None =
     return df.select(*columns)
 
 
+def spread_small(df: DataFrame) -> DataFrame:
+    """Redistribute a scan that cannot keep half of the cores busy; anything larger is left alone.
+
+    For work that is heavy per row on a table of a few files: one shuffle of
+    its rows buys at least twice the parallelism.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() * 2 <= cores else df
+
+
 def read_clean(
     spark: SparkSession,
     path: str,

@@ -23,6 +23,8 @@ def test_mentions_and_hashtags(spark):
 
 
 def test_emoji_ranges_by_their_edges(spark):
+    every = [chr(c) for c in [*range(0x2500, 0x2C00), *range(0x1F000, 0x1FC00)]]
+    assert values(spark, every, tx.has_emoji) == [any(lo <= ord(c) <= hi for lo, hi in tx.EMOJI_RANGES) for c in every]
     inside = [chr(c) for pair in tx.EMOJI_RANGES for c in pair]
     assert all(values(spark, inside, tx.has_emoji))
     outside = [chr(c) for c in (0x25FF, 0x27C0, 0x2B4F, 0x2B56, 0x1F1DF, 0x1F2FF, 0x1F650, 0x1F67F, 0x1F700, 0x1F8FF, 0x1FB00)]
@@ -48,6 +50,8 @@ def test_blank_and_words_follow_unicode_white_space(spark):
     words = ["a b", " a b\nc ", "", "\x1cx\x85y", "one"]
     assert values(spark, words, tx.word_count) == [len(w.split()) for w in words]
     assert [chr(c).isspace() for lo, hi in tx.SPACE_RANGES for c in range(lo, hi + 1)].count(False) == 0
+    every = [chr(c) for c in range(0x3100) if not 0xD800 <= c < 0xE000]
+    assert values(spark, every, tx.is_blank) == [c.isspace() for c in every]
     assert len(tx.SPACE_CHARS) == sum(chr(c).isspace() for c in range(0x110000))
 
 
