@@ -454,8 +454,9 @@ def _splits() -> dict[str, str]:
         "split_reproducible": f"""{asg} SELECT count(*) AS rows_alike, 0::BIGINT AS rows_differing, true AS is_reproducible FROM asg""",
         "split_report": f"""{asg}
 SELECT 'rows' AS section, split AS item, count(*)::DOUBLE AS value FROM asg GROUP BY split
-UNION ALL SELECT 'row_percentages', split, round(round(count(*)::DOUBLE / (SELECT count(*) FROM asg) * 100, 4), 2) FROM asg GROUP BY split
+UNION ALL SELECT 'row_percentages', split, round(count(*)::DOUBLE / (SELECT count(*) FROM asg) * 100, 2) FROM asg GROUP BY split
 UNION ALL {leaks}
+UNION ALL SELECT 'leakage', 'is_leakage_free', (is_leakage_free)::INT::DOUBLE FROM ({_audit()})
 UNION ALL SELECT 'class_counts_' || split, label, count(*)::DOUBLE FROM asg GROUP BY split, label
 UNION ALL SELECT 'class_percentages_' || split, label, round(count(*)::DOUBLE / {per_split} * 100, 4) FROM asg GROUP BY split, label
 UNION ALL SELECT 'reproducibility', 'rows_differing', 0::DOUBLE UNION ALL SELECT 'reproducibility', 'verified', 1::DOUBLE""",

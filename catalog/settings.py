@@ -5,7 +5,7 @@ MAX_FEATURES = 500
 VOCAB_SIZE = 1000
 SEQUENCE_LENGTH = 100
 HIDDEN_UNITS = 16
-ITERATIONS = 15
+ITERATIONS = 8
 STOP_WORDS = ["and", "are", "as", "by", "de", "der", "el", "for", "in", "is", "la", "le", "of", "or", "the", "to"]
 # Accented letters that the language rule goes by, first match wins.
 LETTERS = {"de": "äöüß", "es": "áíóúñ", "fr": "àçèéê"}

@@ -28,16 +28,18 @@ SEQUENCE_LENGTH = 100
 UNKNOWN_ID = 1
 PADDING_ID = 0
 
+#: A fitted vocabulary up to this many rows (some megabytes) is broadcast.
+MAX_BROADCAST_VOCABULARY = 200_000
+
 
 def label_index(df: DataFrame, label: str = "label", expected: Iterable[str] | None = None) -> DataFrame:
-    """``label, label_id``: sorted labels numbered from 0. Raises if an expected class is absent."""
+    """``label, label_id``: sorted labels numbered from 0, pinned. Raises if an expected class is absent."""
     require_columns(df, label)
     labels = df.where(F.col(label).isNotNull()).select(F.col(label).alias("label")).distinct()
     # One row per class.
-    index = labels.select("label", (F.row_number().over(Window.orderBy("label")) - 1).alias("label_id"))
+    index = pin(labels.select("label", (F.row_number().over(Window.orderBy("label")) - 1).alias("label_id")))
     if expected is None:
         return index
-    index = pin(index)
     wanted = df.sparkSession.createDataFrame([(c,) for c in expected], "label string")
     absent = sorted(r["label"] for r in wanted.join(index, "label", "left_anti").collect())
     if absent:
@@ -142,7 +144,7 @@ def tfidf_weights(df: DataFrame, vocabulary: DataFrame, roles: Roles = Roles())
     The vectors are computed row by row and unfolded in place; the term names
     come from the broadcast vocabulary. No shuffle.
     """
-    names = pin(vocabulary.select("term_id", "term", "idf"))
+    names = pin(vocabulary.select("term_id", "term", "idf"), MAX_BROADCAST_VOCABULARY)
     tokens = df.select(*roles.order_columns, tx.word_tokens(F.col(roles.text)).alias("tokens"))
     vectors = tfidf_model(names, out="features").transform(tokens)
     counts, weights = F.unwrap_udt("term_counts"), F.unwrap_udt("features")
@@ -205,7 +207,7 @@ def padded_sequences(
     require_columns(df, roles.text, *roles.order_columns)
     kept = tx.truncate(tx.sequence_tokens(F.col(roles.text)), length, truncating)
     words = df.select(roles.order_value().alias("row_order"), F.posexplode_outer(kept).alias("place", "word"))
-    ids = pin(vocabulary.select(F.col("word").alias("known"), "word_id"))
+    ids = pin(vocabulary.select(F.col("word").alias("known"), "word_id"), MAX_BROADCAST_VOCABULARY)
     placed = words.join(ids, F.col("word") == F.col("known"), "left").select(
         "row_order", F.struct("place", F.coalesce("word_id", F.lit(UNKNOWN_ID)).alias("id")).alias("entry")
     )

@@ -92,8 +92,10 @@ def train(
     """Fit index, vocabulary and every variant on the rows of ``df`` with ``split = 'train'``."""
     chosen = chosen or variants()
     rows = df.where(F.col("split") == "train")
-    index = pin(features.label_index(rows, roles.label, expected))
-    vocabulary = pin(features.tfidf_vocabulary(rows, roles.text, max_features, stop_words))
+    index = features.label_index(rows, roles.label, expected)
+    vocabulary = pin(
+        features.tfidf_vocabulary(rows, roles.text, max_features, stop_words), features.MAX_BROADCAST_VOCABULARY
+    )
     fitted = Trained(roles, index, vocabulary)
     n_classes, n_terms = index.count(), vocabulary.count()
     # All variants read the same vectors; an executor that is lost has its share recomputed.

@@ -188,31 +188,25 @@ def non_ascii_preview(df: DataFrame, roles: Roles = Roles(), k: int = 3, width:
 
 
 def profile_report(df: DataFrame, roles: Roles = Roles()) -> DataFrame:
-    """The whole profile as ``section, item, value`` rows, from one scan and no joins.
+    """The whole profile as ``section, item, value`` rows, from one pass over the texts.
 
     Lengths and flags are functions of the text, so they ride along with the
-    per-text groups. Each group then adds its weight to a few histograms
-    (lengths, classes, table totals); everything in the report is read off
-    those.
+    per-text groups. Each group then adds its weight to two length histograms
+    and to the table totals; the report is read off those. Class counts need
+    the label column only and come from a scan of their own.
     """
     t = F.col(roles.text)
-    flags = tx.flag_columns(t)
     measures = {
         "chars": F.length(t),
         "words": tx.word_count(t),
         "blank": tx.is_blank(t),
         "non_ascii": tx.has_non_ascii(t),
-        **flags,
+        **tx.flag_columns(t),
     }
     per_text = (
         label_counts(df, roles, measures)
         .groupBy("text_key", *measures)
-        .agg(
-            F.count("label").alias("n_labels"),
-            F.sum("n").alias("n_rows"),
-            F.sum(F.col("n") - 1).alias("exact"),
-            F.collect_list(F.struct(F.col("label"), F.col("n"))).alias("labels"),
-        )
+        .agg(F.count("label").alias("n_labels"), F.sum("n").alias("n_rows"), F.sum(F.col("n") - 1).alias("exact"))
     )
     n = F.col("n_rows")
     zero = F.lit(0).cast("bigint")
@@ -230,54 +224,35 @@ def profile_report(df: DataFrame, roles: Roles = Roles()) -> DataFrame:
         "non_ascii_rows": rows_where(F.col("non_ascii")),
         **{f: rows_where(F.col(f)) for f in tx.FLAG_NAMES},
     }
-    nothing, no_label = F.lit(None).cast("int"), F.lit(None).cast("string")
 
-    def entry(kind: str, item: Column, length: Column, weight: Column, counted: bool = False) -> Column:
+    def entry(kind: str, length: Column, weight: Column, counted: bool = False) -> Column:
         counts = [(c if counted else zero).alias(f"_{name}") for name, c in totals.items()]
-        return F.struct(
-            F.lit(kind).alias("kind"), item.alias("item"), length.alias("length"), weight.alias("weight"), *counts
-        )
-
-    entries = F.concat(
-        F.array(
-            entry("char_length", no_label, F.col("chars"), n),
-            entry("word_length", no_label, F.col("words"), n),
-            entry("total", no_label, nothing, zero, counted=True),
-        ),
-        F.transform("labels", lambda e: entry("class", e["label"].cast("string"), nothing, e["n"])),
+        return F.struct(F.lit(kind).alias("kind"), length.alias("length"), weight.alias("weight"), *counts)
+
+    entries = F.array(
+        entry("char_length", F.col("chars"), n),
+        entry("word_length", F.col("words"), n),
+        entry("totals", F.lit(None).cast("int"), zero, counted=True),
     )
+    sums = [F.sum(f"_{name}").alias(f"_{name}") for name in totals]
     small = (
         per_text.select(F.inline(entries))
-        .groupBy("kind", "item", "length")
-        .agg(F.sum("weight").alias("n"), *[F.sum(f"_{name}").alias(f"_{name}") for name in totals])
-        .groupBy("kind", "item")
-        .agg(
-            F.sum("n").alias("n"),
-            *[F.sum(f"_{name}").alias(f"_{name}") for name in totals],
-            *histogram_stats("length", "n"),
-        )
+        .groupBy("kind", "length")
+        .agg(F.sum("weight").alias("n"), *sums)
+        .groupBy("kind")
+        .agg(*sums, *histogram_stats("length", "n"))
     )
-    n_rows = over_all(F.max("_n_rows"))
-
-    def line(section: str, item: Column, value: Column) -> Column:
-        return F.struct(
-            F.lit(section).alias("section"), item.alias("item"), value.cast("double").alias("value")
-        )
-
-    name = F.coalesce("item", F.lit("null"))
-    lines = (
-        F.when(F.col("kind") == "total", F.array(*[line("totals", F.lit(t), F.col(f"_{t}")) for t in totals]))
-        .when(
-            F.col("kind") == "class",
-            F.array(
-                line("class_counts", name, F.col("n")),
-                line("class_percentages", name, percent(F.col("n"), F.col("all_rows"))),
-            ),
-        )
-        .when(
-            F.col("kind") == "char_length",
-            F.array(*[line("char_length", F.lit(s), F.col(s)) for s in LENGTH_STATS]),
-        )
-        .otherwise(F.array(*[line("word_length", F.lit(s), F.col(s)) for s in LENGTH_STATS]))
+
+    def line(section: Column | str, item: Column | str, value: Column) -> Column:
+        section = F.lit(section) if isinstance(section, str) else section
+        item = F.lit(item) if isinstance(item, str) else item
+        return F.struct(section.alias("section"), item.alias("item"), value.cast("double").alias("value"))
+
+    lines = F.when(
+        F.col("kind") == "totals", F.array(*[line("totals", name, F.col(f"_{name}")) for name in totals])
+    ).otherwise(F.array(*[line(F.col("kind"), s, F.col(s)) for s in LENGTH_STATS]))
+    label = F.coalesce(F.col("label").cast("string"), F.lit("null"))
+    classes = class_distribution(df, roles.label).select(
+        F.inline(F.array(line("class_counts", label, F.col("n")), line("class_percentages", label, F.col("pct"))))
     )
-    return small.withColumn("all_rows", n_rows).select(F.inline(lines))
+    return small.select(F.inline(lines)).unionByName(classes)

@@ -256,96 +256,58 @@ def split_reproducible(df: DataFrame, roles: Roles = Roles(), **settings) -> Dat
     )
 
 
-def split_report(
-    df: DataFrame, roles: Roles = Roles(), rerun: DataFrame | None = None
-) -> DataFrame:
+def split_report(df: DataFrame, roles: Roles = Roles(), rerun: DataFrame | None = None) -> DataFrame:
     """Report on an assigned table as ``section, item, value`` rows.
 
-    Sizes, leakage and class counts come from one pass over per-text groups;
-    ``rerun``, a second assignment of the same table, adds the reproducibility flag.
+    Sizes and class counts need the labels only; the leakage audit is the one
+    pass over texts. ``rerun``, a second assignment of the same table, adds
+    the reproducibility flag.
     """
     require_columns(df, roles.text, roles.label, "split")
-    per_text = (
-        df.groupBy(
-            text_key(F.col(roles.text)).alias("text_key"),
-            F.col("split"),
-            F.col(roles.label).cast("string").alias("label"),
-        )
-        .agg(F.count(F.lit(1)).alias("n"))
-        .groupBy("text_key")
-        .agg(
-            *[F.max((F.col("split") == s).cast("int")).alias(s) for s in SPLITS],
-            F.collect_list(F.struct("split", F.coalesce("label", F.lit("null")).alias("label"), "n")).alias("parts"),
-        )
-    )
-
-    nobody = F.lit(None).cast("string")
-    where = F.struct(*SPLITS)
-    nowhere = F.struct(*[F.lit(None).cast("int").alias(s) for s in SPLITS])
-    one = F.lit(1).cast("bigint")
-
-    def part(seen: Column, split: Column, label: Column, n: Column) -> Column:
-        return F.struct(seen.alias("seen"), split.alias("split"), label.alias("label"), n.alias("n"))
-
-    # Texts are counted by the splits they occur in, rows by split and class.
-    texts = F.when(F.col("text_key").isNotNull(), F.array(part(where, nobody, nobody, one))).otherwise(F.array())
-    rows = F.transform("parts", lambda p: part(nowhere, p["split"], p["label"], p["n"]))
-    counted = (
-        per_text.select(F.inline(F.concat(texts, rows)))
-        .groupBy("seen", "split", "label")
-        .agg(F.sum("n").alias("n"))
-    )
-
-    def entry(section: Column | str, item: Column | str, weight: Column) -> Column:
-        section = F.lit(section) if isinstance(section, str) else section
-        item = F.lit(item) if isinstance(item, str) else item
-        return F.struct(section.alias("section"), item.alias("item"), weight.alias("weight"))
-
-    zero = F.lit(0).cast("bigint")
-    shared = [
-        entry(
-            "leakage",
-            f"{a}_{b}_overlap",
-            F.when((F.col(f"seen.{a}") == 1) & (F.col(f"seen.{b}") == 1), F.col("n")).otherwise(zero),
-        )
-        for a, b in PAIRS
-    ]
-    sizes = [
-        entry("rows", F.col("split"), F.col("n")),
-        entry(F.concat(F.lit("class_counts_"), F.col("split")), F.col("label"), F.col("n")),
-    ]
-    entries = F.when(F.col("split").isNull(), F.array(*shared)).otherwise(F.array(*sizes))
-    totals = counted.select(F.inline(entries)).groupBy("section", "item").agg(F.sum("weight").alias("n"))
-    is_rows, is_class = F.col("section") == "rows", F.col("section").startswith("class_counts_")
-    in_section = F.sum("n").over(Window.partitionBy("section"))
-    sized = totals.select("*", in_section.alias("section_total"))
 
     def line(section: Column | str, item: Column | str, value: Column) -> Column:
         section = F.lit(section) if isinstance(section, str) else section
         item = F.lit(item) if isinstance(item, str) else item
         return F.struct(section.alias("section"), item.alias("item"), value.cast("double").alias("value"))
 
-    plain = line(F.col("section"), F.col("item"), F.col("n"))
-    share = percent(F.col("n"), F.col("section_total"), 4)
-    lines = (
-        F.when(is_rows, F.array(plain, line("row_percentages", F.col("item"), F.round(share, 2))))
-        .when(
-            is_class,
-            F.array(plain, line(F.replace("section", F.lit("counts"), F.lit("percentages")), F.col("item"), share)),
+    counts = df.groupBy("split", F.col(roles.label).cast("string").alias("label")).agg(F.count(F.lit(1)).alias("n"))
+    one_split = Window.partitionBy("split")
+    sized = counts.select(
+        "*",
+        F.sum("n").over(one_split).alias("in_split"),
+        F.row_number().over(one_split.orderBy("label")).alias("place"),
+        over_all(F.sum("n")).alias("all_rows"),
+    )
+    split, label = F.col("split"), F.coalesce("label", F.lit("null"))
+    per_class = F.array(
+        line(F.concat(F.lit("class_counts_"), split), label, F.col("n")),
+        line(F.concat(F.lit("class_percentages_"), split), label, percent(F.col("n"), F.col("in_split"))),
+    )
+    per_split = F.array(
+        line("rows", split, F.col("in_split")),
+        line("row_percentages", split, percent(F.col("in_split"), F.col("all_rows"), 2)),
+    )
+    sizes = sized.select(F.inline(F.when(F.col("place") == 1, F.concat(per_class, per_split)).otherwise(per_class)))
+
+    names = [f"{a}_{b}_overlap" for a, b in PAIRS]
+    leakage = leakage_audit(df, roles).select(
+        F.inline(
+            F.array(
+                *[line("leakage", name, F.col(name)) for name in names],
+                line("leakage", "is_leakage_free", F.col("is_leakage_free")),
+            )
         )
-        .otherwise(F.array(plain))
     )
-    report = sized.select(F.inline(lines))
+    report = sizes.unionByName(leakage)
     if rerun is None:
         return report
     check = split_differences(df, rerun, roles).select(
-        F.lit("reproducibility").alias("section"),
         F.inline(
             F.array(
-                F.struct(F.lit("rows_differing").alias("item"), F.col("rows_differing").cast("double").alias("value")),
-                F.struct(F.lit("verified").alias("item"), F.col("is_reproducible").cast("double").alias("value")),
+                line("reproducibility", "rows_differing", F.col("rows_differing")),
+                line("reproducibility", "verified", F.col("is_reproducible")),
             )
-        ),
+        )
     )
     return report.unionByName(check)
 

@@ -57,6 +57,16 @@ def test_null_labels_do_not_make_a_conflict(labelled):
     assert ids(policies.policy_a(df)) == [0, 1, 2]
 
 
+def test_order_may_be_several_columns(spark):
+    rows = [(1, 2, "t", "b"), (1, 1, "t", "a"), (0, 9, "u", "a"), (2, 0, "u", "a")]
+    df = spark.createDataFrame(rows, "c int, t int, text string, label string")
+    roles = Roles(order=("c", "t"))
+    kept = lambda d: sorted((r["c"], r["t"]) for r in d.collect())
+    assert kept(policies.policy_b(df, roles)) == [(0, 9), (1, 1)]
+    assert kept(policies.policy_d(df, roles)) == [(0, 9)]
+    assert kept(policies.policy_a(df, roles)) == [(0, 9), (2, 0)]
+
+
 def test_empty_and_all_unique(labelled):
     assert policies.policy_d(labelled([])).count() == 0
     assert policies.policy_a(labelled([])).count() == 0
