@@ -21,19 +21,19 @@ MAX_PINNED_ROWS = 20_000
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder the session names in ``spark.checkpoint.dir``.
+    """The folder the session names in ``spark.checkpoint.dir``, or its checkpoint directory.
 
-    A temporary one is made only where none is named and everything runs in
+    A temporary one is made only where neither is set and everything runs in
     one process, as in tests.
     """
-    named = spark.conf.get("spark.checkpoint.dir", "") or ""
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    folder = tempfile.mkdtemp(prefix="checkpoints-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", "") or context.getCheckpointDir()
+    if not folder:
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="checkpoints-"))
+        folder = context.getCheckpointDir()
+    return folder.rstrip("/")
 
 
 def settle(frame: DataFrame) -> DataFrame:

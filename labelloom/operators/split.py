@@ -46,26 +46,24 @@ def check_ratios(train: float, val: float, test: float) -> None:
         raise ValueError("split ratios must all be positive")
 
 
-def _apportion(count: str, seats: str, out: str) -> list[Column]:
-    """Whole seats per class in proportion to ``count``, and the remainder that ranks for spare seats.
+def _with_share(classes: DataFrame, count: str, seats: str, out: str) -> DataFrame:
+    """Largest-remainder shares of ``seats`` in proportion to ``count``, one row per class.
 
-    Integer arithmetic throughout, so no class count is too large for it.
+    Equal remainders go by label. Integer arithmetic throughout, wide enough
+    for any class count.
     """
-    whole = F.sum(count).over(Window.partitionBy())
-    exact = F.col(count).cast("decimal(20,0)") * F.col(seats).cast("decimal(18,0)")
-    return [
-        F.coalesce(F.floor(F.try_divide(exact - exact % whole, whole)), F.lit(0)).cast("bigint").alias(f"{out}_floor"),
-        F.when(whole > 0, exact % whole).alias(f"{out}_rest"),
-    ]
-
-
-def _with_share(classes: DataFrame, count: str, seats: str, out: str) -> DataFrame:
-    """Largest-remainder shares over one row per class; equal remainders go by label."""
-    floors = classes.select("*", *_apportion(count, seats, out))
-    place = F.row_number().over(Window.partitionBy().orderBy(F.desc(f"{out}_rest"), "label"))
-    spare = F.col(seats) - over_all(F.sum(f"{out}_floor"))
-    share = F.col(f"{out}_floor") + (place <= spare).cast("bigint")
-    return floors.select(*classes.columns, share.alias(out))
+    return (
+        classes.selectExpr(
+            "*",
+            f"cast({count} as decimal(20,0)) * cast({seats} as decimal(18,0)) as _exact",
+            f"nullif(cast(sum({count}) over () as decimal(20,0)), 0) as _whole",
+        )
+        .selectExpr("*", "coalesce(_exact div _whole, 0) as _floor", "_exact % _whole as _rest")
+        .selectExpr(
+            *classes.columns,
+            f"_floor + if(row_number() over (order by _rest desc, label) <= {seats} - sum(_floor) over (), 1, 0) as {out}",
+        )
+    )
 
 
 def split_quotas(
@@ -116,29 +114,31 @@ def split_cutoffs(
     ).withColumn("bucket", F.substring("rank", 1, BUCKET_DIGITS))
 
     histogram = ranked.groupBy("label", "bucket").agg(F.count(F.lit(1)).alias("n"))
-    so_far = Window.partitionBy("label").orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
-    running = histogram.select("label", "bucket", "n", F.sum("n").over(so_far).alias("upto"))
-    quotas = split_quotas(
-        histogram.groupBy("label").agg(F.sum("n").alias("n")), train_ratio, val_ratio, test_ratio
-    ).select(
-        F.col("label").alias("q_label"),
-        F.inline(
-            F.array(
-                F.struct(F.lit("test").alias("cut"), F.col("test_n").alias("target")),
-                F.struct(F.lit("val").alias("cut"), (F.col("test_n") + F.col("val_n")).alias("target")),
-            )
-        ),
+    one_class = Window.partitionBy("label")
+    so_far = one_class.orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
+    running = histogram.select(
+        "label", "bucket", "n", F.sum("n").over(so_far).alias("upto"), F.sum("n").over(one_class).alias("class_n")
+    )
+    # The last bucket of a class carries its size: one row per class.
+    sizes = running.where(F.col("upto") == F.col("class_n")).select("label", F.col("class_n").alias("n"))
+    quotas = split_quotas(sizes, train_ratio, val_ratio, test_ratio).selectExpr(
+        "label as q_label", "test_n as test_upto", "test_n + val_n as val_upto"
     )
     before = F.col("upto") - F.col("n")
-    position = F.col("target") - before
+
+    def place(target: str) -> Column:
+        inside = (before < F.col(target)) & (F.col(target) <= F.col("upto"))
+        return F.when(inside, F.col(target) - before)
+
     edges = pin(
         running.join(quotas, F.col("label").eqNullSafe(F.col("q_label")))
-        .where((before < F.col("target")) & (F.col("target") <= F.col("upto")))
-        .groupBy(F.col("label").alias("e_label"), F.col("bucket").alias("e_bucket"))
-        .agg(
-            F.max(F.when(F.col("cut") == "test", position)).alias("test_place"),
-            F.max(F.when(F.col("cut") == "val", position)).alias("val_place"),
+        .select(
+            F.col("label").alias("e_label"),
+            F.col("bucket").alias("e_bucket"),
+            place("test_upto").alias("test_place"),
+            place("val_upto").alias("val_place"),
         )
+        .where(F.col("test_place").isNotNull() | F.col("val_place").isNotNull())
     )
     # Only rows of the edge buckets are numbered, a 16**-BUCKET_DIGITS share of their class each.
     inside = ranked.join(

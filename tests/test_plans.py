@@ -90,14 +90,14 @@ def test_training(spark):
         text = f"{words[i % 4]} {words[(i + 1) % 4]} thing{i % 5}"
         rows.append((i, text, label, ("train", "train", "train", "val", "test")[(i // 3) % 5]))
     df = spark.createDataFrame(rows, SCHEMA + ", split string")
-    chosen = models.variants(hidden=8, iterations=20)
+    chosen = models.variants(hidden=5, iterations=8)
     result = train_and_evaluate(df, chosen=chosen, max_features=30, stop_words=[], expected=list(topics))
     table = result.benchmark.collect()
     assert {r["model"] for r in table} == set(chosen) and all(r["n_rows"] == 18 for r in table)
     best = max(table, key=lambda r: (r["macro_f1"], [-ord(c) for c in r["model"]]))
     assert result.selected == best["model"] and best["macro_f1"] == 1.0
     scores = result.test_scores.first()
-    assert scores["n_rows"] == 18 and scores["accuracy"] == 1.0 and scores["loss"] < 0.7
+    assert scores["n_rows"] == 18 and scores["accuracy"] == 1.0 and scores["loss"] < 1.0
     assert result.confusion.count() == 9 and result.test_report.count() == 6
     assert result.errors.first()["errors"] == 0 and result.error_preview.count() == 0
     # Nothing but train rows may shape the features.
