@@ -40,18 +40,18 @@ def texts(spark: SparkSession, sf_dir: str, label: str = "source") -> DataFrame:
     return spread_small(documents(spark, sf_dir, label))
 
 
-def clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+def clean(spark: SparkSession, sf_dir: str, load: Callable[..., DataFrame] = documents) -> DataFrame:
     """Documents by language after policy D: every text once.
 
     Which rows stay is settled once; the passes of a split or fit that follow
     then read only the columns they need.
     """
-    docs = texts(spark, sf_dir, "lang")
-    return keep_rows(docs, DOC, settle(policies.chosen_rows(docs, "D", DOC)))
+    chosen = settle(policies.chosen_rows(documents(spark, sf_dir, "lang"), "D", DOC))
+    return keep_rows(load(spark, sf_dir, "lang"), DOC, chosen)
 
 
-def assigned(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return split.stratified_split(clean(spark, sf_dir), DOC, seed=settings.SEED)
+def assigned(spark: SparkSession, sf_dir: str, load: Callable[..., DataFrame] = documents) -> DataFrame:
+    return split.stratified_split(clean(spark, sf_dir, load), DOC, seed=settings.SEED)
 
 
 def assigned_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,8 +59,8 @@ def assigned_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return split.stratified_split(documents(spark, sf_dir), DOC, seed=settings.SEED)
 
 
-def train_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return assigned(spark, sf_dir).where(F.col("split") == "train")
+def train_rows(rows: DataFrame) -> DataFrame:
+    return rows.where(F.col("split") == "train")
 
 
 def guessed_language(text: Column) -> Column:
@@ -215,7 +215,9 @@ def _splits() -> dict[str, Query]:
         )
 
     def report(s: SparkSession, d: str) -> DataFrame:
-        return split.split_report(assigned(s, d), DOC, rerun=assigned(s, d))
+        rows = clean(s, d)
+        first, again = (split.stratified_split(rows, DOC, seed=settings.SEED) for _ in range(2))
+        return split.split_report(first, DOC, rerun=again)
 
     return {
         "stratified_split": lambda s, d: assigned(s, d).select("doc_id", "label", "split"),
@@ -231,31 +233,37 @@ def _splits() -> dict[str, Query]:
     }
 
 
-def _vocabulary(s: SparkSession, d: str) -> DataFrame:
+def _vocabulary(rows: DataFrame) -> DataFrame:
     return features.tfidf_vocabulary(
-        train_rows(s, d), max_features=settings.MAX_FEATURES, stop_words=settings.STOP_WORDS
+        train_rows(rows), max_features=settings.MAX_FEATURES, stop_words=settings.STOP_WORDS
     )
 
 
-def _words(s: SparkSession, d: str) -> DataFrame:
-    return features.sequence_vocabulary(train_rows(s, d), DOC, settings.VOCAB_SIZE)
+def _words(rows: DataFrame) -> DataFrame:
+    return features.sequence_vocabulary(train_rows(rows), DOC, settings.VOCAB_SIZE)
 
 
 def _features() -> dict[str, Query]:
+    def on_rows(operator: Callable[[DataFrame], DataFrame]) -> Query:
+        return lambda s, d: operator(assigned(s, d, texts))
+
+    def padded(*sides: str) -> Query:
+        return on_rows(
+            lambda rows: _joined(
+                features.padded_sequences(rows, _words(rows), DOC, settings.SEQUENCE_LENGTH, *sides)
+            )
+        )
+
     return {
-        "label_index": lambda s, d: features.label_index(train_rows(s, d)),
-        "label_round_trip": lambda s, d: _round_trip(s, d),
-        "tfidf_vocabulary": lambda s, d: rounded(_vocabulary(s, d), idf=6),
-        "tfidf_weights": lambda s, d: rounded(
-            features.tfidf_weights(clean(s, d), _vocabulary(s, d), DOC), weight=6
-        ),
-        "sequence_vocabulary": _words,
-        "padded_sequences": lambda s, d: _joined(
-            features.padded_sequences(clean(s, d), _words(s, d), DOC, settings.SEQUENCE_LENGTH)
-        ),
-        "padded_sequences_pre": lambda s, d: _joined(
-            features.padded_sequences(clean(s, d), _words(s, d), DOC, settings.SEQUENCE_LENGTH, "pre", "pre")
+        "label_index": lambda s, d: features.label_index(train_rows(assigned(s, d))),
+        "label_round_trip": _round_trip,
+        "tfidf_vocabulary": on_rows(lambda rows: rounded(_vocabulary(rows), idf=6)),
+        "tfidf_weights": on_rows(
+            lambda rows: rounded(features.tfidf_weights(rows, _vocabulary(rows), DOC), weight=6)
         ),
+        "sequence_vocabulary": on_rows(_words),
+        "padded_sequences": padded(),
+        "padded_sequences_pre": padded("pre", "pre"),
         "normalized_text": lambda s, d: features.normalized_text(texts(s, d)).select("doc_id", "normalized"),
         "normalized_pages": lambda s, d: features.normalized_text(pages(s, d), "html").select("page_id", "normalized"),
     }
@@ -292,7 +300,8 @@ def _evaluation() -> dict[str, Query]:
 
 
 def _train(s: SparkSession, d: str) -> tuple[DataFrame, models.Trained]:
-    rows = assigned(s, d)
+    """Train on a written split, as the split job leaves it."""
+    rows = settle(assigned(s, d, texts))
     chosen = models.variants(hidden=settings.HIDDEN_UNITS, iterations=settings.ITERATIONS)
     return rows, models.train(rows, DOC, chosen, settings.MAX_FEATURES, settings.STOP_WORDS)
 
