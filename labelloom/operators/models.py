@@ -89,8 +89,11 @@ def train(
     stop_words: Sequence[str] | None = None,
     expected: Sequence[str] | None = None,
 ) -> Trained:
-    """Fit index, vocabulary and every variant on the rows of ``df`` with ``split = 'train'``."""
-    chosen = chosen or variants()
+    """Fit index, vocabulary and every variant on the rows of ``df`` with ``split = 'train'``.
+
+    ``df`` is read several times, so pass a written or settled table.
+    """
+    chosen = variants() if chosen is None else chosen
     rows = df.where(F.col("split") == "train")
     index = features.label_index(rows, roles.label, expected)
     vocabulary = pin(

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from labelloom.functions import text as tx
 from labelloom.functions.numbers import LENGTH_STATS, histogram_stats, over_all, percent
-from labelloom.operators.groups import is_conflicting, label_counts, text_groups
+from labelloom.operators.groups import is_conflicting, label_counts
 from labelloom.operators.validate import require_columns
 from labelloom.roles import Roles
 

@@ -15,8 +15,6 @@ has no shuffle, and a class may be any share of the table.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -30,6 +28,8 @@ from labelloom.roles import Roles
 # Split names, in report order.
 SPLITS = ("train", "val", "test")
 PAIRS = (("train", "val"), ("train", "test"), ("val", "test"))
+# Fixed value: how far the ratios may add up from one.
+RATIO_TOLERANCE = 1e-8 + 1e-5
 
 #: Hexadecimal digits of the rank that form a histogram bucket. Four digits
 #: make 65,536 buckets per class, so 10 billion rows of one class leave about
@@ -40,7 +40,7 @@ BUCKET_DIGITS = 4
 def check_ratios(train: float, val: float, test: float) -> None:
     """Ratios must add up to one, and each must be positive."""
     total = train + val + test
-    if not math.isclose(total, 1.0, rel_tol=1e-5, abs_tol=1e-8):
+    if abs(total - 1.0) > RATIO_TOLERANCE:
         raise ValueError(f"split ratios must sum to 1.0, got {train} + {val} + {test} = {total}")
     if min(train, val, test) <= 0:
         raise ValueError("split ratios must all be positive")

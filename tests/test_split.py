@@ -12,12 +12,12 @@ from labelloom.operators.policies import policy_d
 
 # Published class sizes of a 44,378-row table and of its 80/10/10 split.
 GOLDEN = {
-    "age": (7992, 6393, 800, 799),
-    "ethnicity": (7952, 6362, 795, 795),
-    "gender": (7772, 6218, 777, 777),
-    "not_cyberbullying": (6428, 5142, 643, 643),
-    "other_cyberbullying": (6243, 4994, 624, 625),
-    "religion": (7991, 6393, 799, 799),
+    "class1": (7992, 6393, 800, 799),
+    "class2": (7952, 6362, 795, 795),
+    "class3": (7772, 6218, 777, 777),
+    "class4": (6428, 5142, 643, 643),
+    "class5": (6243, 4994, 624, 625),
+    "class6": (7991, 6393, 799, 799),
 }
 
 
