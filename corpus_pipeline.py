@@ -6,8 +6,9 @@ import uuid
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from labelloom.llm import exact_dedup, host_quality, packing
+from labelloom.llm import chunk_dedup, exact_dedup, host_quality, packing
 from labelloom.operators.pin import shared_folder
 
 
@@ -21,6 +22,11 @@ def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return exact_dedup.drop_duplicates(docs)
 
 
+def substring_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of passages that repeat across documents, the copy under the smallest id stays in its text."""
+    return chunk_dedup.remove_repeats(docs).withColumn("n_chars", F.length("text").cast("long"))
+
+
 def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Where each piece of each remaining document lies in the training sequences."""
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
@@ -29,6 +35,7 @@ def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 STAGES = [
     ("quality rules", quality_rules),
     ("exact dedup", exact_duplicates),
+    ("substring dedup", substring_duplicates),
     ("best-fit packing", packed_sequences),
 ]
 

@@ -16,6 +16,7 @@ table gives an empty result. Columns other than id and text are not looked at.
 from __future__ import annotations
 
 import os
+import unicodedata
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -45,13 +46,30 @@ GROUP_CHARS = 1 << 20
 
 ID_BYTES = 4
 
+#: Visible ASCII that is neither letter nor digit.
+PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+
+
+class _Remembered(dict):
+    """A dictionary that makes what it lacks."""
+
+    def __init__(self, make):
+        super().__init__()
+        self._make = make
+
+    def __missing__(self, key):
+        made = self[key] = self._make(key)
+        return made
+
 
 class WordEncoder:
     """Ids of whole texts as bytes, four a little-endian id.
 
     The tokenizer drops white space and never joins across it, so a text's ids
-    are its words' ids in turn. Words come again, and so do the pieces that the
+    are its words' ids in turn. Words come again, and so do the parts that the
     tokenizer's own normalizer and splitter make of them; each is encoded once.
+    A word of letters that the normalizer wouldn't change, with or without
+    punctuation behind it, takes a shorter way to the same parts.
     """
 
     def __init__(self, path: str):
@@ -62,28 +80,30 @@ class WordEncoder:
         self._normalize = tokenizer.normalizer.normalize_str
         self._split = tokenizer.pre_tokenizer.pre_tokenize_str
         self._merge = tokenizer.model.tokenize
-        self._words: dict[bytes, bytes] = {}
-        self._parts: dict[str, bytes] = {}
+        self._alphabet = _Remembered(lambda code: self._split(chr(code))[0][0])
+        self._words = _Remembered(self._word)
+        self._parts = _Remembered(self._part)
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [text.encode().split() for text in texts]
         for known in (self._words, self._parts):
             if len(known) > MAX_WORDS:
                 known.clear()
-        for word in set().union(*split).difference(self._words):
-            self._words[word] = self._word(word.decode())
-        return [b"".join(map(self._words.__getitem__, words)) for words in split]
-
-    def _word(self, word: str) -> bytes:
-        if word.isascii() and word.isalpha():
-            return self._part(word.lower())
-        return b"".join([self._part(part) for part, _ in self._split(self._normalize(word))])
+        known = self._words.__getitem__
+        return [b"".join(map(known, text.encode().split())) for text in texts]
+
+    def _word(self, word: bytes) -> bytes:
+        text = word.decode()
+        letters = text.rstrip(PUNCTUATION)
+        if letters.isascii():
+            letters = letters.lower()
+        if letters.isalpha() and letters.islower() and unicodedata.is_normalized("NFC", letters):
+            tail = text[len(letters) :]
+            ids = self._parts[letters.translate(self._alphabet)]
+            return ids + self._parts[tail] if tail else ids
+        return b"".join([self._parts[part] for part, _ in self._split(self._normalize(text))])
 
     def _part(self, part: str) -> bytes:
-        found = self._parts.get(part)
-        if found is None:
-            found = self._parts[part] = b"".join([token.id.to_bytes(ID_BYTES, "little") for token in self._merge(part)])
-        return found
+        return b"".join([token.id.to_bytes(ID_BYTES, "little") for token in self._merge(part)])
 
 
 @lru_cache(maxsize=1)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from labelloom.llm import bpe_tree, exact_dedup, host_quality, packing
+from labelloom.llm import bpe_tree, chunk_dedup, exact_dedup, host_quality, packing
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,12 +34,20 @@ def op9_bpe_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_tree.round_trip_digests(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
 
 
+def op10_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    passages = chunk_dedup.repeated_passages(table(spark, sf_dir, "documents"))
+    return passages.selectExpr(
+        "doc_id", "first_id as first_doc_id", "start_byte", "end_byte", "n_words", "size(cuts) > 0 as removed"
+    )
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_host_quality": op2_host_quality,
         "op4_exact_dedup": op4_exact_dedup,
         "op5_packing": op5_packing,
         "op9_bpe_tree": op9_bpe_tree,
+        "op10_chunk_dedup": op10_chunk_dedup,
     }
 
 
