@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from labelloom.llm import chunk_dedup, exact_dedup, host_quality, packing
+from labelloom.llm import chosen_path, chunk_dedup, exact_dedup, host_quality, packing
 from labelloom.operators.pin import shared_folder
 
 
@@ -22,6 +22,11 @@ def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return exact_dedup.drop_duplicates(docs)
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents that similar ones link, however far, the one with the smallest id stays."""
+    return chosen_path.keep_one(docs)
+
+
 def substring_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of passages that repeat across documents, the copy under the smallest id stays in its text."""
     return chunk_dedup.remove_repeats(docs).withColumn("n_chars", F.length("text").cast("long"))
@@ -35,6 +40,7 @@ def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 STAGES = [
     ("quality rules", quality_rules),
     ("exact dedup", exact_duplicates),
+    ("n-gram Jaccard join", near_duplicates),
     ("substring dedup", substring_duplicates),
     ("best-fit packing", packed_sequences),
 ]

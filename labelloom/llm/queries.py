@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from labelloom.llm import bpe_tree, chunk_dedup, exact_dedup, host_quality, packing
+from labelloom.llm import bpe_tree, chosen_path, chunk_dedup, exact_dedup, host_quality, packing
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +21,10 @@ def op2_host_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chosen_path.similar(table(spark, sf_dir, "documents"))
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.mark_duplicates(table(spark, sf_dir, "documents"))
 
@@ -44,6 +48,7 @@ def op10_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_host_quality": op2_host_quality,
+        "op3_chosen_path": op3_chosen_path,
         "op4_exact_dedup": op4_exact_dedup,
         "op5_packing": op5_packing,
         "op9_bpe_tree": op9_bpe_tree,
