@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from labelloom.llm import bpe_tree, chosen_path, chunk_dedup, exact_dedup, host_quality, packing
+from labelloom.llm import bpe_tree, chosen_path, chunk_dedup, exact_dedup, host_quality, packing, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,6 +33,10 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
 def op9_bpe_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
     return bpe_tree.round_trip_digests(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
@@ -51,6 +55,7 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_chosen_path": op3_chosen_path,
         "op4_exact_dedup": op4_exact_dedup,
         "op5_packing": op5_packing,
+        "op6_warc": op6_warc,
         "op9_bpe_tree": op9_bpe_tree,
         "op10_chunk_dedup": op10_chunk_dedup,
     }
