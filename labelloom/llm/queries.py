@@ -7,13 +7,17 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from labelloom.llm import bpe_tree, chosen_path, chunk_dedup, exact_dedup, host_quality, packing, warc
+from labelloom.llm import bpe_tree, chosen_path, chunk_dedup, exact_dedup, host_quality, langid, packing, toxicity, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op2_host_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = host_quality.judge(table(spark, sf_dir, "documents"))
     return judged.select(
@@ -37,6 +41,10 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
 
+def op8_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.language(table(spark, sf_dir, "documents"))
+
+
 def op9_bpe_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
     return bpe_tree.round_trip_digests(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
@@ -51,11 +59,13 @@ def op10_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_toxicity": op1_toxicity,
         "op2_host_quality": op2_host_quality,
         "op3_chosen_path": op3_chosen_path,
         "op4_exact_dedup": op4_exact_dedup,
         "op5_packing": op5_packing,
         "op6_warc": op6_warc,
+        "op8_langid": op8_langid,
         "op9_bpe_tree": op9_bpe_tree,
         "op10_chunk_dedup": op10_chunk_dedup,
     }
