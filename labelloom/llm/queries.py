@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from labelloom.llm import bpe_tree, chosen_path, chunk_dedup, exact_dedup, host_quality, langid, packing, toxicity, warc
+from labelloom.llm import bpe_tree, chosen_path, chunk_dedup, exact_dedup, host_quality, langid, license_scan, packing, toxicity, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,6 +42,13 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
 
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as files: the source is the top directory, the language the one below."""
+    docs = table(spark, sf_dir, "documents")
+    path = F.concat_ws("/", F.coalesce("source", F.lit("none")), F.coalesce("lang", F.lit("none")), F.concat(F.col("doc_id"), F.lit(".txt")))
+    return license_scan.licenses(docs.select("doc_id", path.alias("path"), "text"), "path", "text")
+
+
 def op8_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.language(table(spark, sf_dir, "documents"))
 
@@ -65,6 +73,7 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_exact_dedup": op4_exact_dedup,
         "op5_packing": op5_packing,
         "op6_warc": op6_warc,
+        "op7_license_scan": op7_license_scan,
         "op8_langid": op8_langid,
         "op9_bpe_tree": op9_bpe_tree,
         "op10_chunk_dedup": op10_chunk_dedup,
