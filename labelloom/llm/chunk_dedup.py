@@ -200,21 +200,21 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     Documents that have no word left by that go; all other rows and columns stay.
     """
     spans = repeated_passages(docs, id_col, text_col, min_words).where("size(cuts) > 0")
-    cuts = spans.groupBy(F.col(id_col).alias("_id"), F.col("n_bytes").alias("_n_bytes")).agg(
-        F.array_sort(F.flatten(F.collect_list("cuts"))).alias("_cuts")
+    cuts = spans.groupBy(F.col(id_col).alias("_passages_id"), F.col("n_bytes").alias("_passages_n_bytes")).agg(
+        F.array_sort(F.flatten(F.collect_list("cuts"))).alias("_passages_cuts")
     )
     cuts = settle(cuts).hint("shuffle_hash")
     body = F.col(text_col).cast("binary")
-    joined = docs.join(cuts, (docs[id_col] == cuts["_id"]) & (F.octet_length(docs[text_col]) == cuts["_n_bytes"]), "left")
-    n_cuts = F.size("_cuts")
+    joined = docs.join(cuts, (docs[id_col] == cuts["_passages_id"]) & (F.octet_length(docs[text_col]) == cuts["_passages_n_bytes"]), "left")
+    n_cuts = F.size("_passages_cuts")
 
     def between(i):
-        start = F.when(i == 0, 0).otherwise(F.get("_cuts", i - 1)["end"])
-        end = F.when(i == n_cuts, F.octet_length(body)).otherwise(F.get("_cuts", i)["start"])
+        start = F.when(i == 0, 0).otherwise(F.get("_passages_cuts", i - 1)["end"])
+        end = F.when(i == n_cuts, F.octet_length(body)).otherwise(F.get("_passages_cuts", i)["start"])
         # Cuts may touch but don't overlap by more than a chunk.
         return F.substring(body, (start + 1).cast("int"), F.greatest(end - start, F.lit(0)).cast("int")).cast("string")
 
     rest = F.array_join(F.transform(F.sequence(F.lit(0), n_cuts), between), "")
-    changed = F.col("_cuts").isNotNull()
+    changed = F.col("_passages_cuts").isNotNull()
     texts = joined.withColumn(text_col, F.when(changed, rest).otherwise(F.col(text_col)))
     return texts.where(~changed | F.col(text_col).rlike(r"[^\x20\x09-\x0D]")).select(*docs.columns)

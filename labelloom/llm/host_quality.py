@@ -94,19 +94,23 @@ def host_counts(measured: DataFrame) -> DataFrame:
 def beta_priors(hosts: DataFrame) -> dict[str, tuple[float, float]]:
     """Rule -> (alpha, beta), by the moments of the hosts' failure rates.
 
-    The spread of the rates beyond what chance gives hosts of their sizes says
-    how much a host's own rate is worth: no spread, the strongest prior.
+    With rates r of hosts of n documents around the common rate m, the sum of
+    n * (r - m)^2 is m * (1 - m) for each host by chance alone, and more by the
+    correlation c of documents of a host: m * (1 - m) * (1 + (n - 1) * c). The
+    prior counts as 1 / c - 1 documents. No correlation gives the strongest one.
     """
-    moments = []
+    sums = []
     for rule in SOFT_RULES:
-        rate = F.col(rule) / F.col("n_host")
-        moments += [F.avg(rate).alias(f"{rule}_mean"), F.var_pop(rate).alias(f"{rule}_var")]
-    row: Row = hosts.agg(F.avg(1 / F.col("n_host")).alias("noise"), *moments).first()
+        failures = F.col(rule).cast("double")
+        sums += [F.sum(rule).alias(rule), F.sum(failures * failures / F.col("n_host")).alias(f"{rule}_squares")]
+    row: Row = hosts.agg(F.count(F.lit(1)).alias("hosts"), F.sum("n_host").alias("documents"), *sums).first()
     priors = {}
     for rule in SOFT_RULES:
-        mean, var = row[f"{rule}_mean"] or 0.0, row[f"{rule}_var"] or 0.0
-        between = var - mean * (1 - mean) * (row["noise"] or 0.0)
-        strength = mean * (1 - mean) / between - 1 if between > 0 else MAX_STRENGTH
+        mean = (row[rule] or 0) / (row["documents"] or 1)
+        chance = mean * (1 - mean)
+        extra = (row[f"{rule}_squares"] or 0.0) - mean * (row[rule] or 0) - chance * row["hosts"]
+        room = chance * ((row["documents"] or 0) - row["hosts"])
+        strength = room / extra - 1 if extra > 0 else MAX_STRENGTH
         strength = min(max(strength, 1.0), MAX_STRENGTH)
         priors[rule] = (mean * strength, (1 - mean) * strength)
     return priors

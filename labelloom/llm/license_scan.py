@@ -16,8 +16,8 @@ directory.
 Defined results for odd input: a null or empty text has no statement and may
 inherit; a null path is the root directory's; equal cosines go by the template's
 name, licence files of one directory by name, cosine, then path; rows that repeat a
-path are judged one by one; an empty table gives an empty result. Columns other
-than those named are not looked at.
+path are judged one by one; an empty table gives an empty result. Columns
+other than path and text are carried along; those named like a result's are replaced.
 """
 
 from __future__ import annotations
@@ -68,6 +68,8 @@ LICENSE_FILE = r"(?i)^(licen[sc]e|copying|unlicense)(\..*)?$"
 #: A statement has a template's licence from this cosine on.
 THRESHOLD = 0.75
 
+RESULT = ("license", "cosine", "origin", "license_dir")
+
 #: A word: letters, or digits with points in them.
 WORD = r"[a-z]+|[0-9]+(?:\.[0-9]+)*"
 
@@ -160,7 +162,7 @@ def own_licenses(files: DataFrame, path_col: str, text_col: str, templates: Mapp
     scanned = settle(
         files.select(
             F.monotonically_increasing_id().alias("row"),
-            F.struct(*[c for c in files.columns if c != text_col]).alias("file"),
+            F.struct(*[c for c in files.columns if c not in (text_col, *RESULT)]).alias("file"),
             path.alias("path"),
             F.regexp_replace(F.regexp_replace(path, r"/+", "/"), r"/?[^/]*$", "").alias("dir"),
             F.size(words_of(F.col(text_col))).alias("n_words"),

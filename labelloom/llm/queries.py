@@ -1,4 +1,4 @@
-"""The registered queries of this subpackage and the SQL that checks them."""
+"""The registered queries of this subpackage."""
 
 from __future__ import annotations
 
@@ -78,7 +78,3 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_bpe_tree": op9_bpe_tree,
         "op10_chunk_dedup": op10_chunk_dedup,
     }
-
-
-def all_sql() -> dict[str, str]:
-    return {}
