@@ -34,6 +34,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -63,7 +64,7 @@ MAX_DEPTH = 4
 
 #: Mean share of equal signature tokens from which a bucket isn't split; and the tokens looked at.
 ALIKE = 0.5
-PROBES = 8
+PROBES = 4
 
 #: Standard deviations of a sketch's similarity below the threshold that are still compared exactly.
 SKETCH_MARGIN = 5.0
@@ -222,9 +223,12 @@ def final_buckets(found: DataFrame, runs: int, branches: float, bucket: int, max
             break
         done.append(placed.where(F.col("n") <= bucket))
         large = settle(large.join(found.select("rep", "tokens"), "rep"))
-        probes = large.select("path", "n", F.posexplode(F.slice("tokens", 1, PROBES)).alias("place", "token"))
-        same = probes.groupBy("path", "n", "place", "token").agg(F.count(F.lit(1)).alias("m"))
-        alike = same.groupBy("path", "n").agg((F.sum(F.col("m") * F.col("m")) / (PROBES * F.col("n") * F.col("n"))).alias("alike"))
+        probes = []
+        for place in range(PROBES):
+            same = large.groupBy("path", "n", F.get("tokens", F.lit(place)).alias("token")).agg(F.count(F.lit(1)).alias("m"))
+            # The share of pairs of the bucket that have the token of this place in common.
+            probes.append(same.groupBy("path", "n").agg((F.sum(F.col("m") * F.col("m")) / (F.col("n") * F.col("n"))).alias("alike")))
+        alike = reduce(DataFrame.unionByName, probes).groupBy("path", "n").agg(F.avg("alike").alias("alike"))
         marked = settle(attach(large.drop("n"), settle(alike), "path", "n", large.count()))
         done.append(marked.where(F.col("alike") >= ALIKE).select("path", "rep", "n"))
         entries = settle(longer_paths(marked.where(F.col("alike") < ALIKE), branches))
