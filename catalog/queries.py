@@ -7,7 +7,8 @@ several labels per key.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
+from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +18,7 @@ from labelloom import Roles
 from labelloom.operators import duplicates, features, metrics, models, policies, profile, split, validate
 from labelloom.operators.groups import keep_rows
 from labelloom.operators.pin import settle
-from labelloom.sources.tables import read_parquet, spread_small
+from labelloom.sources.tables import read_parquet
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -35,23 +36,23 @@ def documents(spark: SparkSession, sf_dir: str, label: str = "source") -> DataFr
     return table(spark, sf_dir, "documents").select("doc_id", "text", F.col(label).alias("label"))
 
 
-def texts(spark: SparkSession, sf_dir: str, label: str = "source") -> DataFrame:
-    """Documents for work on every character, spread over the cores when there are only a few files."""
-    return spread_small(documents(spark, sf_dir, label))
-
-
-def clean(spark: SparkSession, sf_dir: str, load: Callable[..., DataFrame] = documents) -> DataFrame:
+def clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents by language after policy D: every text once.
 
     Which rows stay is settled once; the passes of a split or fit that follow
     then read only the columns they need.
     """
     chosen = settle(policies.chosen_rows(documents(spark, sf_dir, "lang"), "D", DOC))
-    return keep_rows(load(spark, sf_dir, "lang"), DOC, chosen)
+    return keep_rows(documents(spark, sf_dir, "lang"), DOC, chosen)
+
 
+def assigned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return split.stratified_split(clean(spark, sf_dir), DOC, seed=settings.SEED)
 
-def assigned(spark: SparkSession, sf_dir: str, load: Callable[..., DataFrame] = documents) -> DataFrame:
-    return split.stratified_split(clean(spark, sf_dir, load), DOC, seed=settings.SEED)
+
+def settled_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The split as the split job writes it, for work that goes over the texts more than once."""
+    return settle(assigned(spark, sf_dir))
 
 
 def assigned_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,11 +73,11 @@ def guessed_language(text: Column) -> Column:
 
 
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread_small(table(spark, sf_dir, "pages").select("page_id", "html"))
+    return table(spark, sf_dir, "pages").select("page_id", "html")
 
 
 def guesses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = texts(spark, sf_dir, "lang")
+    docs = documents(spark, sf_dir, "lang")
     return docs.withColumn("guess", guessed_language(F.col("text")))
 
 
@@ -88,6 +89,16 @@ def _on_documents(operator: Callable[..., DataFrame], label: str = "source", **o
     return lambda spark, sf: operator(documents(spark, sf, label), DOC, **options)
 
 
+def _on_ratings(operator: Callable[..., DataFrame], **options) -> Query:
+    """Documents by their quality rating, which most of them lack."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ratings = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").cast("string").alias("label"))
+        return operator(table(spark, sf_dir, "documents").select("doc_id", "text").join(ratings, "doc_id", "left"), DOC, **options)
+
+    return run
+
+
 def _on_events(operator: Callable[..., DataFrame], **options) -> Query:
     return lambda spark, sf: operator(
         table(spark, sf, "events").select("event_id", "props", "event_type"), EVENT, **options
@@ -116,15 +127,15 @@ def _profiling() -> dict[str, Query]:
         "duplicate_counts": _on_documents(profile.duplicate_counts),
         "blank_texts": lambda s, d: profile.blank_texts(docs(s, d)),
         "char_length_stats": lambda s, d: profile.char_length_stats(docs(s, d)),
-        "word_length_stats": lambda s, d: profile.word_length_stats(texts(s, d)),
-        "text_flags_per_row": lambda s, d: profile.text_flags(texts(s, d).select("doc_id", "text")).drop("text"),
+        "word_length_stats": lambda s, d: profile.word_length_stats(documents(s, d)),
+        "text_flags_per_row": lambda s, d: profile.text_flags(documents(s, d).select("doc_id", "text")).drop("text"),
         "page_flags_per_row": lambda s, d: profile.text_flags(pages(s, d), "html").drop("html"),
-        "feature_presence": lambda s, d: profile.feature_presence(texts(s, d)),
+        "feature_presence": lambda s, d: profile.feature_presence(documents(s, d)),
         "page_feature_presence": lambda s, d: profile.feature_presence(pages(s, d), "html"),
         "non_ascii_rows": lambda s, d: profile.non_ascii_rows(docs(s, d)),
         "examples_per_class": _on_documents(profile.examples_per_class, "lang"),
         "non_ascii_preview": _on_documents(profile.non_ascii_preview),
-        "profile_report": lambda s, d: profile.profile_report(texts(s, d), DOC),
+        "profile_report": lambda s, d: profile.profile_report(documents(s, d), DOC),
         "conversation_profile": lambda s, d: profile.profile_report(table(s, d, "conversations"), TALK),
         "column_roles": lambda s, d: validate.column_roles(table(s, d, "documents")),
         "null_audit": lambda s, d: validate.null_audit(table(s, d, "documents"), ["text", "source"]),
@@ -200,6 +211,8 @@ def _policies() -> dict[str, Query]:
         "cleaning_report": _on_documents(policies.cleaning_report),
         "policy_impact_report": _on_documents(policies.policy_impact_report),
         "majority_resolved": _on_documents(policies.majority_resolved),
+        "rated_majority_resolved": _on_ratings(policies.majority_resolved),
+        "rated_majority_check": _on_ratings(duplicates.majority_check),
         "order_majority_resolved": _on_orders(policies.majority_resolved),
     }
 
@@ -217,7 +230,7 @@ def _splits() -> dict[str, Query]:
     def report(s: SparkSession, d: str) -> DataFrame:
         rows = clean(s, d)
         first, again = (split.stratified_split(rows, DOC, seed=settings.SEED) for _ in range(2))
-        return split.split_report(first, DOC, rerun=again)
+        return split.split_report(first, DOC, rerun=again, source=rows)
 
     return {
         "stratified_split": lambda s, d: assigned(s, d).select("doc_id", "label", "split"),
@@ -235,7 +248,7 @@ def _splits() -> dict[str, Query]:
 
 def _vocabulary(rows: DataFrame) -> DataFrame:
     return features.tfidf_vocabulary(
-        train_rows(rows), max_features=settings.MAX_FEATURES, stop_words=settings.STOP_WORDS
+        train_rows(rows), max_features=settings.MAX_FEATURES, stop_words=settings.stop_words()
     )
 
 
@@ -245,7 +258,7 @@ def _words(rows: DataFrame) -> DataFrame:
 
 def _features() -> dict[str, Query]:
     def on_rows(operator: Callable[[DataFrame], DataFrame]) -> Query:
-        return lambda s, d: operator(assigned(s, d, texts))
+        return lambda s, d: operator(settled_texts(s, d))
 
     def padded(*sides: str) -> Query:
         return on_rows(
@@ -264,7 +277,7 @@ def _features() -> dict[str, Query]:
         "sequence_vocabulary": on_rows(_words),
         "padded_sequences": padded(),
         "padded_sequences_pre": padded("pre", "pre"),
-        "normalized_text": lambda s, d: features.normalized_text(texts(s, d)).select("doc_id", "normalized"),
+        "normalized_text": lambda s, d: features.normalized_text(documents(s, d)).select("doc_id", "normalized"),
         "normalized_pages": lambda s, d: features.normalized_text(pages(s, d), "html").select("page_id", "normalized"),
     }
 
@@ -299,19 +312,66 @@ def _evaluation() -> dict[str, Query]:
     }
 
 
+def _rule_guesses(s: SparkSession, d: str) -> DataFrame:
+    """The split with a row per rule: ``model, predicted``."""
+
+    def guess(patterns: Mapping[str, str]) -> Column:
+        found = F.lit("en")
+        for language, pattern in reversed(patterns.items()):
+            found = F.when(F.col("text").rlike(pattern), F.lit(language)).otherwise(found)
+        return found
+
+    rules = F.array(*[F.struct(F.lit(name).alias("model"), guess(p).alias("predicted")) for name, p in settings.RULES.items()])
+    return assigned(s, d).select("split", "label", F.inline(rules))
+
+
+def _rules() -> dict[str, Query]:
+    def scores(rows: DataFrame, part: str) -> DataFrame:
+        return metrics.overall_metrics(rows.where(F.col("split") == part), "label", "predicted", by=["model"], digits=4)
+
+    def test(s: SparkSession, d: str) -> DataFrame:
+        """Chosen on validation, scored once on test."""
+        rows = settle(_rule_guesses(s, d))
+        chosen = models.select_model(scores(rows, "val")).first()["model"]
+        return scores(rows.where(F.col("model") == chosen), "test")
+
+    return {
+        "rule_benchmark": lambda s, d: scores(_rule_guesses(s, d), "val"),
+        "rule_selected": lambda s, d: models.select_model(scores(_rule_guesses(s, d), "val")),
+        "rule_test_evaluation": test,
+    }
+
+
 def _train(s: SparkSession, d: str) -> tuple[DataFrame, models.Trained]:
-    """Train on a written split, as the split job leaves it."""
-    rows = settle(assigned(s, d, texts))
+    """The written split and the models trained on it, once for all queries of a session."""
+    return _trained(s.sparkContext.applicationId, d)
+
+
+@lru_cache(maxsize=1)
+def _trained(application: str, d: str) -> tuple[DataFrame, models.Trained]:
+    rows = settled_texts(SparkSession.active(), d)
     chosen = models.variants(hidden=settings.HIDDEN_UNITS, iterations=settings.ITERATIONS)
-    return rows, models.train(rows, DOC, chosen, settings.MAX_FEATURES, settings.STOP_WORDS)
+    return rows, models.train(rows, DOC, chosen, settings.MAX_FEATURES, settings.stop_words())
 
 
 def _models() -> dict[str, Query]:
     def benchmark(s: SparkSession, d: str) -> DataFrame:
         return models.model_benchmark(*_train(s, d))
 
+    def invariants(s: SparkSession, d: str) -> DataFrame:
+        """What holds for any model: all validation rows scored, known classes predicted, probabilities that add up to 1."""
+        rows, trained = _train(s, d)
+        scored = trained.transform(rows.where(F.col("split") == "val"))
+        total = F.aggregate("probabilities", F.lit(0.0), lambda a, b: a + b)
+        return scored.groupBy("model").agg(
+            F.count(F.lit(1)).alias("rows_scored"),
+            F.count("predicted").alias("in_domain"),
+            F.count_if(F.abs(total - 1) < 1e-9).alias("sums_to_one"),
+        )
+
     return {
         "model_benchmark": benchmark,
+        "model_invariants": invariants,
         "selected_model": lambda s, d: models.select_model(benchmark(s, d)),
         "test_evaluation": lambda s, d: models.test_evaluation(*_train(s, d)),
     }
@@ -325,5 +385,6 @@ def all_queries() -> dict[str, Query]:
         **_splits(),
         **_features(),
         **_evaluation(),
+        **_rules(),
         **_models(),
     }

@@ -1,11 +1,33 @@
 """Parameters shared by the registered queries and their SQL."""
 
+import zipfile
+from functools import lru_cache
+from pathlib import Path
+
+import pyspark
+
+from labelloom.operators import features, models
+
 SEED = 42
-MAX_FEATURES = 500
-VOCAB_SIZE = 1000
-SEQUENCE_LENGTH = 100
-HIDDEN_UNITS = 16
-ITERATIONS = 8
-STOP_WORDS = ["and", "are", "as", "by", "de", "der", "el", "for", "in", "is", "la", "le", "of", "or", "the", "to"]
-# Accented letters that the language rule goes by, first match wins.
+# The operators' own default sizes.
+MAX_FEATURES = features.TFIDF_FEATURES
+VOCAB_SIZE = features.SEQUENCE_VOCABULARY
+SEQUENCE_LENGTH = features.SEQUENCE_LENGTH
+HIDDEN_UNITS = models.HIDDEN_UNITS
+ITERATIONS = 50
+# Accented letters that a language rule goes by, first match wins.
 LETTERS = {"de": "äöüß", "es": "áíóúñ", "fr": "àçèéê"}
+# Rules that are compared as models are: patterns by language, first match wins, English otherwise.
+RULES = {
+    "accents": {language: f"[{letters}]" for language, letters in LETTERS.items()},
+    "articles": {"de": "(^| )(der|die|das) ", "es": "(^| )(el|los|las) ", "fr": "(^| )(le|les|des) "},
+    "always_english": {"en": "^"},
+}
+
+
+@lru_cache
+def stop_words() -> list[str]:
+    """Spark's English list, the operators' default, read without a session."""
+    (jar,) = (Path(pyspark.__file__).parent / "jars").glob("spark-mllib_*.jar")
+    with zipfile.ZipFile(jar) as files:
+        return files.read("org/apache/spark/ml/feature/stopwords/english.txt").decode().split()

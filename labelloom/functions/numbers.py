@@ -31,9 +31,11 @@ def histogram_stats(value: str, weight: str) -> list[Column]:
     Working from the histogram means the exact percentiles see one row per
     distinct value, not one per text.
     """
-    x, n = F.col(value).cast("double"), F.when(F.col(value).isNotNull(), F.col(weight))
+    n = F.when(F.col(value).isNotNull(), F.col(weight))
     total = F.sum(n).cast("double")
-    first, second = F.sum(x * n), F.sum(x * x * n)
+    # Whole numbers add up to the same sum in any order, which doubles past 2^53 don't.
+    whole = F.col(value).cast("decimal(19,0)")
+    first, second = (F.sum((power * n.cast("decimal(19,0)")).cast("decimal(38,0)")).cast("double") for power in (whole, (whole * whole).cast("decimal(19,0)")))
     spread = F.greatest(second - first * first / F.nullif(total, F.lit(0.0)), F.lit(0.0))
     stats = {
         "min": F.min(value).cast("double"),

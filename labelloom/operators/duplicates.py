@@ -106,7 +106,9 @@ def label_combinations(df: DataFrame, roles: Roles = Roles()) -> DataFrame:
     counts = conflicting.groupBy(_combination().alias("combination")).agg(
         F.count(F.lit(1)).alias("texts"), F.sum("n_rows").alias("n_rows")
     )
-    share = percent(F.col("texts"), over_all(F.sum("texts")), 2)
+    # One number; combinations can be as many as subsets of the classes.
+    total = conflicting.agg(F.count(F.lit(1)).alias("texts")).scalar()
+    share = percent(F.col("texts"), total, 2)
     return counts.select("*", share.alias("pct_of_conflicts")).orderBy(F.desc("texts"), "combination")
 
 

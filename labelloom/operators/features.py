@@ -1,14 +1,14 @@
 """Text features, always fitted on the rows passed in: pass the train split only.
 
 Fitted state is small by construction (a label list, a vocabulary of a given
-size), so it is broadcast; the tables it is applied to are never shuffled for
-TF-IDF, and only regrouped by row for id sequences.
+size), so it is broadcast; the tables it is applied to are never shuffled.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
+import pandas as pd
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer, StopWordsRemover
 from pyspark.ml.linalg import Vectors
@@ -31,12 +31,18 @@ PADDING_ID = 0
 #: A fitted vocabulary up to this many rows (some megabytes) is broadcast.
 MAX_BROADCAST_VOCABULARY = 200_000
 
+#: Terms and words that fitted state may have, since it goes to every task, and classes that are numbered.
+MAX_VOCABULARY = 1_000_000
+MAX_LABELS = 100_000
+
 
 def label_index(df: DataFrame, label: str = "label", expected: Iterable[str] | None = None) -> DataFrame:
     """``label, label_id``: sorted labels numbered from 0, pinned. Raises if an expected class is absent."""
     require_columns(df, label)
     labels = df.where(F.col(label).isNotNull()).select(F.col(label).alias("label")).distinct()
-    # One row per class.
+    if labels.limit(MAX_LABELS + 1).count() > MAX_LABELS:
+        raise ValueError(f"{label} has more than {MAX_LABELS} values; it isn't a class label")
+    # One row per class, of which there are few.
     index = pin(labels.select("label", (F.row_number().over(Window.orderBy("label")) - 1).alias("label_id")))
     if expected is None:
         return index
@@ -77,8 +83,8 @@ def tfidf_vocabulary(
     term counts; the number of texts travels along as the count of a null term.
     """
     require_columns(df, text)
-    if max_features < 1:
-        raise ValueError("max_features must be positive")
+    if not 1 <= max_features <= MAX_VOCABULARY:
+        raise ValueError(f"max_features must be from 1 to {MAX_VOCABULARY}")
     stop = list(default_stop_words() if stop_words is None else stop_words)
     # Three lists per text: every word for tf, every distinct word for df, and
     # one null word that counts the text itself.
@@ -120,9 +126,9 @@ def tfidf_model(vocabulary: DataFrame, text_tokens: str = "tokens", out: str = "
 
     Applying them is a map over rows: nothing is shuffled and vectors stay sparse.
     """
-    rows = vocabulary.select("term", "idf").orderBy("term_id").collect()
-    if not rows:
-        raise ValueError("the vocabulary is empty")
+    rows = vocabulary.orderBy("term_id").select("term", "idf").limit(MAX_VOCABULARY + 1).collect()
+    if not 1 <= len(rows) <= MAX_VOCABULARY:
+        raise ValueError(f"the vocabulary must have from 1 to {MAX_VOCABULARY} terms")
     counts = CountVectorizerModel.from_vocabulary(
         [r["term"] for r in rows], inputCol=text_tokens, outputCol="term_counts"
     )
@@ -172,8 +178,8 @@ def sequence_vocabulary(
     and then of words within a row.
     """
     require_columns(df, roles.text, *roles.order_columns)
-    if vocab_size < 2:
-        raise ValueError("vocab_size must be at least 2")
+    if not 2 <= vocab_size <= MAX_VOCABULARY:
+        raise ValueError(f"vocab_size must be from 2 to {MAX_VOCABULARY}")
     order_type = df.select(roles.order_value().alias("o")).schema["o"].dataType
     words = df.select(
         roles.order_value().alias("row_order"), F.posexplode(tx.sequence_tokens(F.col(roles.text))).alias("place", "word")
@@ -200,22 +206,25 @@ def padded_sequences(
 ) -> DataFrame:
     """Order columns and ``sequence``: word ids of each text, cut or padded to ``length``.
 
-    Every word has exactly one id, so the words that will be cut are cut
-    before the lookup and a row never unfolds into more than ``length`` rows.
-    A text without words becomes one unknown word.
+    Every word has exactly one id, so the words that will be cut are cut before
+    the lookup. The ids are looked up in the row, in Arrow batches against the
+    vocabulary, which is as small as ``vocab_size`` made it: nothing is unfolded
+    or shuffled. A text without words becomes one unknown word.
     """
     require_columns(df, roles.text, *roles.order_columns)
     kept = tx.truncate(tx.sequence_tokens(F.col(roles.text)), length, truncating)
-    words = df.select(roles.order_value().alias("row_order"), F.posexplode_outer(kept).alias("place", "word"))
-    ids = pin(vocabulary.select(F.col("word").alias("known"), "word_id"), MAX_BROADCAST_VOCABULARY)
-    placed = words.join(ids, F.col("word") == F.col("known"), "left").select(
-        "row_order", F.struct("place", F.coalesce("word_id", F.lit(UNKNOWN_ID)).alias("id")).alias("entry")
-    )
-    sequence = F.array_sort(F.collect_list("entry"))["id"]
-    grouped = placed.groupBy("row_order").agg(tx.pad(sequence, length, padding, PADDING_ID).alias("sequence"))
-    names = roles.order_columns
-    order = [F.col("row_order").alias(names[0])] if len(names) == 1 else [F.col("row_order")[n].alias(n) for n in names]
-    return grouped.select(*order, "sequence")
+    rows = vocabulary.select("word", "word_id").limit(MAX_VOCABULARY + 1).collect()
+    if len(rows) > MAX_VOCABULARY:
+        raise ValueError(f"the vocabulary has more than {MAX_VOCABULARY} words")
+    known = df.sparkSession.sparkContext.broadcast({row["word"]: row["word_id"] for row in rows})
+
+    @F.pandas_udf("array<int>")
+    def ids(lists: pd.Series) -> pd.Series:
+        look_up = known.value.get
+        return lists.map(lambda words: [UNKNOWN_ID] if words is None or not len(words) else [look_up(w, UNKNOWN_ID) for w in words])
+
+    found = df.select(*roles.order_columns, ids(kept).alias("ids"))
+    return found.select(*roles.order_columns, tx.pad(F.col("ids"), length, padding, PADDING_ID).alias("sequence"))
 
 
 def normalized_text(df: DataFrame, text: str = "text", out: str = "normalized") -> DataFrame:

@@ -21,10 +21,11 @@ from pyspark.sql import functions as F
 from labelloom.functions.text import text_key
 from labelloom.roles import Roles
 
-#: A text with more rows than this is handled by broadcast instead of shuffle.
-#: At most (rows of the table / HOT_ROWS) texts can be that frequent, which is
-#: the bound on what is broadcast: 40 billion rows allow 40,000 entries.
+#: A text with more rows than this, and with more than one in MAX_HOT_TEXTS of the
+#: table's rows, is handled by broadcast instead of shuffle. Fewer than
+#: MAX_HOT_TEXTS texts can have that many, which bounds what is broadcast.
 HOT_ROWS = 1_000_000
+MAX_HOT_TEXTS = 20_000
 
 
 def label_counts(df: DataFrame, roles: Roles, carry: Mapping[str, Column] | None = None) -> DataFrame:
@@ -104,15 +105,16 @@ def attach_by_text(
     """``df`` with column ``value`` looked up by text in ``groups``; null where absent.
 
     ``groups`` has one row per ``text_key`` with ``n_rows`` and ``value``.
-    Texts with more than ``hot_rows`` rows get their value from a broadcast
-    and then spread evenly over the shuffle; all others are joined normally,
-    so no join task holds more than ``hot_rows`` rows of one text.
+    Texts with more than ``hot_rows`` rows, or in a very large table more than
+    its ``MAX_HOT_TEXTS``-th part, get their value from a broadcast and then
+    spread evenly over the shuffle; all others are joined normally, so no join
+    task holds more rows of one text than that.
     """
     known = groups.where(F.col("text_key").isNotNull())
-    hot = known.where(F.col("n_rows") > hot_rows).select(
-        F.col("text_key").alias("_hot_key"), F.col(value).alias("_hot_value")
-    )
-    usual = known.where((F.col("n_rows") <= hot_rows) & F.col(value).isNotNull()).select(
+    share = groups.agg((F.coalesce(F.sum("n_rows"), F.lit(0)) / MAX_HOT_TEXTS).alias("share")).scalar()
+    is_hot = F.col("n_rows") > F.greatest(F.lit(float(hot_rows)), share)
+    hot = known.where(is_hot).select(F.col("text_key").alias("_hot_key"), F.col(value).alias("_hot_value"))
+    usual = known.where(~is_hot & F.col(value).isNotNull()).select(
         F.col("text_key").alias("_group_key"), F.col(value)
     )
     keyed = df.withColumn("_key", text_key(F.col(roles.text)))

@@ -95,6 +95,9 @@ def train(
     """
     chosen = variants() if chosen is None else chosen
     rows = df.where(F.col("split") == "train")
+    unlabelled = rows.where(F.col(roles.label).isNull()).count()
+    if unlabelled:
+        raise ValueError(f"{unlabelled} training rows have no label; drop or label them first")
     index = features.label_index(rows, roles.label, expected)
     vocabulary = pin(
         features.tfidf_vocabulary(rows, roles.text, max_features, stop_words), features.MAX_BROADCAST_VOCABULARY

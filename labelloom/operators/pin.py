@@ -1,8 +1,8 @@
 """Fixing intermediate results.
 
 ``pin`` is for a handful of numbers per class, or a vocabulary, that every row
-needs: it evaluates the frame once and checks its size. Within the bound it is
-broadcast, beyond it the frame is settled and joined like any other table.
+needs: it settles the frame and counts its rows in the files. Within the bound
+it is broadcast, beyond it joined like any other table.
 
 ``settle`` writes a frame to the shared folder and reads it back. Later jobs
 start from the files, whatever executors were lost in between, and plan with
@@ -36,17 +36,27 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+_SETTLED: list[str] = []
+
+
 def settle(frame: DataFrame) -> DataFrame:
-    """``frame`` written to the shared folder and read back."""
+    """``frame`` written to the shared folder and read back. The files stay until :func:`release`."""
     spark = frame.sparkSession
     path = f"{shared_folder(spark)}/labelloom-{uuid.uuid4().hex}"
+    _SETTLED.append(path)
     frame.write.parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Delete what this program has settled; frames that stand on it can't be read any more."""
+    files = spark._jvm.org.apache.hadoop.fs
+    while _SETTLED:
+        path = files.Path(_SETTLED.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def pin(frame: DataFrame, max_rows: int = MAX_PINNED_ROWS) -> DataFrame:
-    """``frame`` evaluated once; marked for broadcast if it has at most ``max_rows`` rows."""
-    rows = frame.limit(max_rows + 1).collect()
-    if len(rows) <= max_rows:
-        return F.broadcast(frame.sparkSession.createDataFrame(rows, frame.schema))
-    return settle(frame)
+    """``frame`` settled; marked for broadcast if it has at most ``max_rows`` rows, joined as Spark chooses otherwise."""
+    settled = settle(frame)
+    return F.broadcast(settled) if settled.count() <= max_rows else settled

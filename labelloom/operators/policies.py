@@ -59,7 +59,9 @@ def chosen_rows(df: DataFrame, policy: str, roles: Roles = Roles()) -> DataFrame
     elif policy == "D":
         rows = text_groups(df, roles).where(~is_conflicting())
     elif policy == "majority":
-        rows = labelled_groups(df, roles).where(F.col("n") * 2 > F.col("n_rows"))
+        # Only rows with a label vote, and only a label can win.
+        labelled = labelled_groups(df.where(F.col(roles.label).isNotNull()), roles)
+        rows = labelled.where(F.col("n") * 2 > F.col("n_rows"))
     else:
         raise ValueError(f"policy {policy!r} does not keep one row per text")
     return rows.select("first_order")
@@ -83,7 +85,8 @@ def policy_d(df: DataFrame, roles: Roles = Roles()) -> DataFrame:
 def majority_resolved(df: DataFrame, roles: Roles = Roles()) -> DataFrame:
     """One row per text: the first row that carries the strict-majority label.
 
-    Texts without a strict majority are dropped; consistent texts always have one.
+    Only rows with a label vote. Texts without a strict majority, or without any
+    label, are dropped; consistent texts always have one.
     """
     return keep_rows(df, roles, chosen_rows(df, "majority", roles))
 
@@ -160,21 +163,24 @@ def policy_comparison(df: DataFrame, roles: Roles = Roles()) -> DataFrame:
 
 
 def policy_class_matrix(df: DataFrame, roles: Roles = Roles()) -> DataFrame:
-    """Rows and percentage per class under every policy.
+    """Rows and percentage per class under every policy, and a last row for the whole table.
 
-    Percentages divide by all rows the policy keeps.
+    Percentages divide by all rows the policy keeps. The total is the row with
+    ``is_total``; its label is ``TOTAL``, also where a class has that name.
     """
     first = (F.col("first_order") == F.col("text_first_order")).cast("bigint")
     kept = _kept(F.col("n"), first)
+    # At most one row per class and one for the total from here on.
     counts = (
         labelled_groups(df, roles)
-        .groupBy("label")
-        .agg(*[F.sum(kept[p]).alias(f"rows_{p}") for p in POLICIES])
+        .rollup("label")
+        .agg(F.grouping("label").cast("int").alias("is_total"), *[F.sum(kept[p]).alias(f"rows_{p}") for p in POLICIES])
     )
-    shares = [
-        percent(F.col(f"rows_{p}"), over_all(F.sum(f"rows_{p}"))).alias(f"pct_{p}") for p in POLICIES
-    ]
-    return counts.select("*", *shares).where(F.col("label").isNotNull())
+    whole = [F.max(F.when(F.col("is_total") == 1, F.col(f"rows_{p}"))).over(Window.partitionBy()) for p in POLICIES]
+    shares = [percent(F.col(f"rows_{p}"), total).alias(f"pct_{p}") for p, total in zip(POLICIES, whole, strict=True)]
+    label = F.when(F.col("is_total") == 1, "TOTAL").otherwise(F.col("label").cast("string")).alias("label")
+    sized = counts.select(label, (F.col("is_total") == 1).alias("is_total"), *[f"rows_{p}" for p in POLICIES], *shares)
+    return sized.where(F.col("label").isNotNull() & F.col("rows_baseline").isNotNull())
 
 
 def distribution_delta(before: DataFrame, after: DataFrame, digits: int = 2) -> DataFrame:
@@ -191,9 +197,12 @@ def distribution_delta(before: DataFrame, after: DataFrame, digits: int = 2) ->
     )
 
 
-def cleaning_report(df: DataFrame, roles: Roles = Roles()) -> DataFrame:
+def cleaning_report(df: DataFrame, roles: Roles = Roles(), cleaned: DataFrame | None = None) -> DataFrame:
     """What policy D does to a table, as ``section, item, value`` rows.
 
+    Everything named ``final_`` is measured on ``cleaned``, the table that came
+    out; without it policy D is applied here.
+
     Section ``summary`` holds the scalars; ``class_counts`` and
     ``class_percentages`` cover every label of the *original* table. Two
     narrow aggregates feed it: per text for the scalars, per (text, label) for
@@ -202,17 +211,27 @@ def cleaning_report(df: DataFrame, roles: Roles = Roles()) -> DataFrame:
     real = F.col("text_key").isNotNull()
     conflict = is_conflicting()
     n = F.col("n_rows")
-    totals = text_groups(df, roles).agg(
-        F.sum(n).alias("original_row_count"),
-        F.count_if(conflict).alias("conflicting_text_count"),
-        F.sum(F.when(conflict, n).otherwise(0)).alias("conflicting_rows_removed"),
-        F.count_if(real & ~conflict & (n > 1)).alias("consistent_duplicate_groups"),
-        F.sum(F.when(conflict, 0).otherwise(n - 1)).alias("redundant_duplicate_rows_removed"),
-        F.count_if(~conflict).alias("final_row_count"),
-        F.count_if(real & ~conflict).alias("final_unique_text_count"),
+    cleaned = policy_d(df, roles) if cleaned is None else cleaned
+    before = text_groups(df, roles).withColumn("after", F.lit(False))
+    both = before.unionByName(text_groups(cleaned, roles).withColumn("after", F.lit(True)))
+
+    def counted(condition: Column, weight: Column | int = 1) -> Column:
+        return F.coalesce(F.sum(F.when(condition, weight).otherwise(0)), F.lit(0))
+
+    was, now = ~F.col("after"), F.col("after")
+    totals = both.agg(
+        counted(was, n).alias("original_row_count"),
+        counted(was & conflict).alias("conflicting_text_count"),
+        counted(was & conflict, n).alias("conflicting_rows_removed"),
+        counted(was & real & ~conflict & (n > 1)).alias("consistent_duplicate_groups"),
+        counted(was & ~conflict, n - 1).alias("redundant_duplicate_rows_removed"),
+        counted(now, n).alias("final_row_count"),
+        counted(now & real).alias("final_unique_text_count"),
+        counted(now, n - 1).alias("final_duplicate_text_count"),
+        counted(now & conflict).alias("final_conflicting_text_count"),
     )
-    removed = F.col("conflicting_rows_removed") + F.col("redundant_duplicate_rows_removed")
-    zero = F.lit(0)
+    removed = F.col("original_row_count") - F.col("final_row_count")
+    # The names of the metrics.
     scalars = {
         "original_row_count": F.col("original_row_count"),
         "conflicting_text_count": F.col("conflicting_text_count"),
@@ -223,10 +242,8 @@ def cleaning_report(df: DataFrame, roles: Roles = Roles()) -> DataFrame:
         "total_rows_removed": removed,
         "final_row_count": F.col("final_row_count"),
         "final_unique_text_count": F.col("final_unique_text_count"),
-        # Policy D leaves one row per text (null texts included) and one label,
-        # so both remainders are zero by construction.
-        "final_duplicate_text_count": zero,
-        "final_conflicting_text_count": zero,
+        "final_duplicate_text_count": F.col("final_duplicate_text_count"),
+        "final_conflicting_text_count": F.col("final_conflicting_text_count"),
         "pct_retained": percent(F.col("final_row_count"), F.col("original_row_count")),
     }
     summary = totals.select(
@@ -243,7 +260,7 @@ def cleaning_report(df: DataFrame, roles: Roles = Roles()) -> DataFrame:
             )
         ),
     )
-    classes = policy_class_matrix(df, roles).select(
+    classes = policy_class_matrix(df, roles).where("not is_total").select(
         F.inline(
             F.array(
                 F.struct(

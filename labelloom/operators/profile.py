@@ -190,6 +190,9 @@ def non_ascii_preview(df: DataFrame, roles: Roles = Roles(), k: int = 3, width:
 def profile_report(df: DataFrame, roles: Roles = Roles()) -> DataFrame:
     """The whole profile as ``section, item, value`` rows, from one pass over the texts.
 
+    ``columns`` names each column with its type and its place, ``roles`` the
+    columns taken for text and label, ``labels`` the classes in order.
+
     Lengths and flags are functions of the text, so they ride along with the
     per-text groups. Each group then adds its weight to two length histograms
     and to the table totals; the report is read off those. Class counts need
@@ -255,4 +258,21 @@ def profile_report(df: DataFrame, roles: Roles = Roles()) -> DataFrame:
     classes = class_distribution(df, roles.label).select(
         F.inline(F.array(line("class_counts", label, F.col("n")), line("class_percentages", label, F.col("pct"))))
     )
-    return small.select(F.inline(lines)).unionByName(classes)
+    # One row per class.
+    ranks = class_distribution(df, roles.label, dropna=True).select(
+        line("labels", F.col("label").cast("string"), F.row_number().over(Window.orderBy(F.col("label").cast("string"))) - 1).alias("l")
+    )
+    known = [("shape", "n_cols", float(len(df.columns)))]
+    known += [("columns", f"{name} {kind}", float(place)) for place, (name, kind) in enumerate(df.dtypes)]
+    known += [("roles", f"text {roles.text}", 1.0), ("roles", f"label {roles.label}", 1.0)]
+    fixed = df.sparkSession.createDataFrame(known, "section string, item string, value double")
+    missing = missing_values(df).select(
+        F.inline(
+            F.array(
+                line("missing_values", F.col("column_name"), F.col("missing")),
+                line("missing_percentages", F.col("column_name"), F.col("missing_pct")),
+            )
+        )
+    )
+    report = small.select(F.inline(lines)).unionByName(classes).unionByName(ranks.select("l.*"))
+    return report.unionByName(missing).unionByName(fixed)

@@ -256,9 +256,14 @@ def split_reproducible(df: DataFrame, roles: Roles = Roles(), **settings) -> Dat
     )
 
 
-def split_report(df: DataFrame, roles: Roles = Roles(), rerun: DataFrame | None = None) -> DataFrame:
+def split_report(
+    df: DataFrame, roles: Roles = Roles(), rerun: DataFrame | None = None, source: DataFrame | None = None
+) -> DataFrame:
     """Report on an assigned table as ``section, item, value`` rows.
 
+    ``totals`` holds the rows of all splits and, if the ``source`` of the split
+    is given, the rows of that.
+
     Sizes and class counts need the labels only; the leakage audit is the one
     pass over texts. ``rerun``, a second assignment of the same table, adds
     the reproducibility flag.
@@ -298,7 +303,11 @@ def split_report(df: DataFrame, roles: Roles = Roles(), rerun: DataFrame | None
             )
         )
     )
-    report = sizes.unionByName(leakage)
+    totals = df.agg(F.count(F.lit(1)).alias("n")).select(F.inline(F.array(line("totals", "rows_in_splits", F.col("n")))))
+    if source is not None:
+        rows = source.agg(F.count(F.lit(1)).alias("n"))
+        totals = totals.unionByName(rows.select(F.inline(F.array(line("totals", "source_rows", F.col("n"))))))
+    report = sizes.unionByName(leakage).unionByName(totals)
     if rerun is None:
         return report
     check = split_differences(df, rerun, roles).select(

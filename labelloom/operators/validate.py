@@ -136,3 +136,23 @@ def expected_value_mismatches(
     return actual.join(wanted, list(keys), "full_outer").where(
         ~F.col("actual").eqNullSafe(F.col("expected"))
     )
+
+
+def assert_order_identifies_rows(df: DataFrame, roles: Roles = Roles()) -> None:
+    """Raise ``ValueError`` unless every row has an order value and no two share one.
+
+    Keep-one policies and the split go by it: a shared value would keep several
+    rows of a text and a null one would lose its row. One narrow aggregate.
+    """
+    require_columns(df, *roles.order_columns)
+    whole = F.lit(True)
+    for name in roles.order_columns:
+        whole = whole & F.col(name).isNotNull()
+    per_value = df.select(*roles.order_columns, whole.alias("_whole")).groupBy(*roles.order_columns, "_whole")
+    found = per_value.agg(F.count(F.lit(1)).alias("n")).agg(
+        F.coalesce(F.sum(F.when(F.col("_whole"), 0).otherwise(F.col("n"))), F.lit(0)).alias("missing"),
+        F.coalesce(F.sum(F.when(F.col("_whole"), F.col("n") - 1)), F.lit(0)).alias("repeated"),
+    ).first()
+    if found["missing"] or found["repeated"]:
+        names = ", ".join(roles.order_columns)
+        raise ValueError(f"{names} doesn't identify rows: {found['missing']} without a value, {found['repeated']} with another row's")

@@ -38,7 +38,9 @@ def clean_table(
     A raw table needs an order column: which row is first is never guessed.
     """
     validate.require_columns(raw, roles.text, roles.label, *roles.order_columns)
+    validate.assert_order_identifies_rows(raw, roles)
     tables.write_table(policies.policy_d(raw, roles), output_path, output_format)
+    # The names of the report's fields.
     notes = {
         "policy": "D",
         "policy_name": "Policy D",
@@ -48,7 +50,12 @@ def clean_table(
         "source_file": source_name,
         "output_file": output_path,
     }
-    tables.write_report(policies.cleaning_report(raw, roles), report_path, notes)
+    table = (
+        spark.read.parquet(output_path)
+        if output_format == "parquet"
+        else tables.read_csv(spark, output_path, raw.schema)
+    )
+    tables.write_report(policies.cleaning_report(raw, roles, table), report_path, notes)
     report = tables.read_report(spark, report_path)
     mismatches = []
     if expected is not None:
@@ -56,9 +63,4 @@ def clean_table(
         listed = report.join(expected.select(*keys), keys, "left_semi")
         for row in validate.expected_value_mismatches(listed, expected, keys).orderBy(*keys).collect():
             mismatches.append(f"{row['section']}.{row['item']}: {row['actual']} instead of {row['expected']}")
-    table = (
-        spark.read.parquet(output_path)
-        if output_format == "parquet"
-        else tables.read_csv(spark, output_path, raw.schema)
-    )
     return CleaningResult(table, report, mismatches)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from labelloom.functions.text import text_key
 from labelloom.operators import duplicates, policies, profile, validate
-from labelloom.operators.pin import settle
+from labelloom.operators.pin import release, settle
 from labelloom.roles import Roles
 from labelloom.sources import tables
 
@@ -25,7 +25,7 @@ def stand_in(df: DataFrame, roles: Roles = Roles()) -> DataFrame:
 
 
 def write_reports(df: DataFrame, folder: str, roles: Roles = Roles(), source_name: str = "") -> dict[str, str]:
-    """Profile, duplicate and policy-impact reports as JSON documents; returns their paths."""
+    """Profile, duplicate and policy-impact reports as JSON lines; returns their paths."""
     folder = folder.rstrip("/")
     narrow = settle(stand_in(df, roles))
     notes = {"source_file": source_name}
@@ -34,4 +34,6 @@ def write_reports(df: DataFrame, folder: str, roles: Roles = Roles(), source_nam
         "duplicates": duplicates.duplicate_report(narrow, roles),
         "policy_impact": policies.policy_impact_report(narrow, roles),
     }
-    return {name: tables.write_report(report, f"{folder}/{name}", notes) for name, report in reports.items()}
+    written = {name: tables.write_report(report, f"{folder}/{name}", notes) for name, report in reports.items()}
+    release(df.sparkSession)
+    return written

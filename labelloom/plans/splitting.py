@@ -26,7 +26,7 @@ def split_table(spark: SparkSession, settings: SplitSettings) -> SplitResult:
     """
     roles = settings.roles
     source = tables.read_clean(
-        spark, settings.source_dataset, roles, settings.source_format
+        spark, settings.source_dataset, roles, settings.format_of_source, encoding=settings.encoding
     )
     ratios = {
         "train_ratio": settings.train_ratio,
@@ -38,6 +38,6 @@ def split_table(spark: SparkSession, settings: SplitSettings) -> SplitResult:
         split.stratified_split(source, roles, **ratios), settings.split_output, settings.split_format
     )
     written = tables.read_splits(spark, settings.split_output, settings.split_format, source.schema)
-    report = split.split_report(written, roles, rerun=split.stratified_split(source, roles, **ratios))
+    report = split.split_report(written, roles, rerun=split.stratified_split(source, roles, **ratios), source=source)
     tables.write_report(report, settings.report_output, {"status": "COMPLETED", **settings.notes()})
     return SplitResult(written, tables.read_report(spark, settings.report_output), paths)

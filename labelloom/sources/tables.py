@@ -2,20 +2,28 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterable, Mapping
+from typing import Any
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from labelloom.operators.validate import assert_unique_texts, require_columns
+from labelloom.operators.validate import assert_order_identifies_rows, assert_unique_texts, require_columns
 from labelloom.roles import Roles
 
 # Reads as null; a character that no text field holds, so that "" stays a text.
 NO_TEXT = "\x00"
 DEFAULT_SCHEMA = "text string, label string"
 
+#: Bits for a row's position in its file, as many as Spark numbers the rows of a task with.
+ROWS_BITS = 33
+
+#: Lines of a report that is put together on the driver.
+MAX_DOCUMENT_LINES = 100_000
+
 
 def _found(load, path: str) -> DataFrame:
     """Run a reader, turning Spark's path error into ``FileNotFoundError``."""
@@ -39,13 +47,19 @@ def read_csv(
     schema: str | T.StructType = DEFAULT_SCHEMA,
     encoding: str = "UTF-8",
     null_value: str | None = None,
+    order_column: str | None = None,
 ) -> DataFrame:
     """A CSV table with a header and standard quoting, including line breaks inside quotes.
 
     An empty field is null and a quoted empty field is an empty text;
     ``null_value`` names one more spelling of null. Columns are matched to the
-    header by name; a declared column the header lacks is an error. A file with quoted line breaks cannot be split, so one
-    file is one task: keep large tables in many files, or in Parquet.
+    header by name; a declared column the header lacks is an error. A file with
+    quoted line breaks cannot be split, so one file is one task: keep large
+    tables in many files, or in Parquet.
+
+    ``order_column`` names a column for the place of a row, which files of this
+    kind don't have: their number in the order of their names, and the row's
+    position in its file, as one long. It is the same in every run.
     """
     if isinstance(schema, str):
         schema = T.StructType.fromDDL(schema)
@@ -65,8 +79,24 @@ def read_csv(
     if not raw.columns:
         raise ValueError(f"table is empty: {path}")
     require_columns(raw, *schema.fieldNames())
-    typed = raw.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
-    return _not_empty(typed, path)
+    columns = [F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields]
+    if order_column is None or order_column in schema.fieldNames():
+        return _not_empty(raw.select(*columns), path)
+    return _not_empty(_with_place(raw, columns, order_column), path)
+
+
+def _with_place(raw: DataFrame, columns: list[Column], order_column: str) -> DataFrame:
+    """``columns`` of ``raw`` and the place of each row in the files it was read from.
+
+    Rows of a file are numbered in a row within their task, so the first number
+    of a file, one row per file, is all that has to be looked up.
+    """
+    placed = raw.select(*columns, F.col("_metadata.file_path").alias("_file"), F.monotonically_increasing_id().alias("_at"))
+    files = placed.groupBy("_file").agg(F.min("_at").alias("_first"))
+    numbered = files.select("_file", "_first", (F.row_number().over(Window.orderBy("_file")) - 1).cast("long").alias("_number"))
+    place = F.col("_number") * F.lit(1 << ROWS_BITS) + F.col("_at") - F.col("_first")
+    rest = [c for c in placed.columns if c not in ("_file", "_at")]
+    return placed.join(numbered, "_file").select(place.alias(order_column), *rest)
 
 
 def read_parquet(spark: SparkSession, path: str, columns: Iterable[str] | None = None) -> DataFrame:
@@ -79,35 +109,38 @@ def read_parquet(spark: SparkSession, path: str, columns: Iterable[str] | None =
     return df.select(*columns)
 
 
-def spread_small(df: DataFrame) -> DataFrame:
-    """Redistribute a scan that cannot keep half of the cores busy; anything larger is left alone.
-
-    For work that is heavy per row on a table of a few files: one shuffle of
-    its rows buys at least twice the parallelism.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() * 2 <= cores else df
-
-
 def read_clean(
     spark: SparkSession,
     path: str,
     roles: Roles = Roles(),
     file_format: str = "parquet",
     schema: str | T.StructType | None = None,
+    encoding: str = "UTF-8",
 ) -> DataFrame:
-    """A table that must exist, be non-empty, have its columns and hold each text once."""
+    """A table that must exist, be non-empty, have its columns and hold each text once.
+
+    A CSV table is read by the names in ``roles`` unless it has a ``schema``; if
+    its header lacks the order column, the place in the files stands for it.
+    """
     if file_format == "parquet":
         df = _not_empty(read_parquet(spark, path), path)
     elif file_format == "csv":
-        df = read_csv(spark, path, schema or DEFAULT_SCHEMA)
+        df = read_csv(spark, path, schema or _csv_schema(spark, path, roles), encoding, order_column=roles.order_columns[0])
     else:
         raise ValueError(f"file_format must be 'parquet' or 'csv', got {file_format!r}")
     require_columns(df, roles.text, roles.label, *roles.order_columns)
     assert_unique_texts(df, roles)
+    assert_order_identifies_rows(df, roles)
     return df
 
 
+def _csv_schema(spark: SparkSession, path: str, roles: Roles) -> T.StructType:
+    """Text and label as strings, and the order column as a number if the header has it."""
+    header = _found(lambda p: spark.read.option("header", True).csv(p), path).columns
+    order = [T.StructField(name, T.LongType()) for name in roles.order_columns if name in header]
+    return T.StructType([*order, T.StructField(roles.text, T.StringType()), T.StructField(roles.label, T.StringType())])
+
+
 def _csv_options(writer: DataFrameWriter) -> DataFrameWriter:
     return (
         writer.option("header", True)
@@ -158,29 +191,47 @@ def read_splits(
     return read_csv(spark, path, with_split)
 
 
-def report_document(report: DataFrame, notes: Mapping[str, str] | None = None) -> DataFrame:
-    """A ``section, item, value`` report as one pretty-printed JSON document.
+def write_report(report: DataFrame, path: str, notes: Mapping[str, Any] | None = None) -> str:
+    """Write a ``section, item, value`` report as JSON lines.
 
-    ``notes`` become top-level string fields, such as file or policy names.
+    ``notes``, such as file or policy names and settings, are lines of section
+    ``notes`` with a ``note`` in place of the value; numbers among them stay
+    numbers. Nothing is gathered: a report of any length is written by its tasks.
     """
-    sections = report.groupBy("section").agg(
-        F.map_from_entries(F.sort_array(F.collect_list(F.struct("item", "value")))).alias("items")
-    )
-    whole = sections.agg(F.map_from_entries(F.collect_list(F.struct("section", "items"))).alias("report"))
-    fields = [F.lit(text).alias(name) for name, text in (notes or {}).items()]
-    return whole.select(F.to_json(F.struct(*fields, "report"), {"pretty": "true"}).alias("value"))
-
-
-def write_report(report: DataFrame, path: str, notes: Mapping[str, str] | None = None) -> str:
-    """Write a report as one JSON document; reports are small by construction."""
-    report_document(report, notes).coalesce(1).write.mode("overwrite").text(path)
+    spark = report.sparkSession
+    lines = report.select("section", "item", "value", F.lit(None).cast("string").alias("note"))
+    said = []
+    for name, value in (notes or {}).items():
+        number = float(value) if isinstance(value, int | float) and not isinstance(value, bool) else None
+        said.append(("notes", name, number, None if number is not None else str(value)))
+    if said:
+        lines = lines.unionByName(spark.createDataFrame(said, "section string, item string, value double, note string"))
+    lines.write.mode("overwrite").json(path)
     return path
 
 
 def read_report(spark: SparkSession, path: str) -> DataFrame:
     """A written report as ``section, item, value`` rows again."""
-    shape = "report map<string, map<string, double>>"
-    document = _found(lambda p: spark.read.schema(shape).option("multiLine", True).json(p), path)
-    return document.select(F.explode("report").alias("section", "items")).select(
-        "section", F.explode("items").alias("item", "value")
-    )
+    return _lines(spark, path).where("section <> 'notes'").select("section", "item", "value")
+
+
+def read_notes(spark: SparkSession, path: str) -> dict[str, Any]:
+    """The notes of a written report."""
+    said = _lines(spark, path).where("section = 'notes'").collect()
+    return {row["item"]: row["note"] if row["value"] is None else row["value"] for row in said}
+
+
+def _lines(spark: SparkSession, path: str) -> DataFrame:
+    shape = "section string, item string, value double, note string"
+    return _found(lambda p: spark.read.schema(shape).json(p), path)
+
+
+def report_document(report: DataFrame, notes: Mapping[str, Any] | None = None) -> str:
+    """A short report as one JSON document, for people; refuses more than ``MAX_DOCUMENT_LINES`` lines."""
+    lines = report.select("section", "item", "value").limit(MAX_DOCUMENT_LINES + 1).collect()
+    if len(lines) > MAX_DOCUMENT_LINES:
+        raise ValueError(f"the report has more than {MAX_DOCUMENT_LINES} lines; write it as JSON lines")
+    sections: dict[str, dict[str, float]] = {}
+    for section, item, value in sorted(lines, key=lambda line: (line["section"], str(line["item"]))):
+        sections.setdefault(section, {})[item] = int(value) if value is not None and float(value).is_integer() else value
+    return json.dumps({**(notes or {}), "report": sections}, indent=2, ensure_ascii=False)

@@ -53,3 +53,13 @@ def test_pinned_frames_are_broadcast_within_the_bound_only(spark):
         assert "BroadcastHashJoin" not in plan(beyond) and beyond.count() == 10
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_released_files_are_gone(spark):
+    from pathlib import Path
+
+    folder = Path(pinning.shared_folder(spark).removeprefix("file:"))
+    pinning.settle(spark.range(3))
+    assert list(folder.glob("labelloom-*"))
+    pinning.release(spark)
+    assert not list(folder.glob("labelloom-*"))

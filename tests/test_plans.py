@@ -1,7 +1,5 @@
 """Whole jobs on small tables."""
 
-import json
-
 import pytest
 
 from labelloom import Roles
@@ -36,8 +34,7 @@ def test_cleaning(spark, raw, tmp_path, file_format):
         "summary.absent: None instead of 1.0", "summary.original_row_count: 120.0 instead of 119.0",
     ]
     assert not result.as_expected
-    part = next((tmp_path / "report").glob("part-*"))
-    assert json.loads(part.read_text())["policy"] == "D"
+    assert tables.read_notes(spark, str(tmp_path / "report"))["policy"] == "D"
 
 
 def test_cleaning_refuses_a_table_without_order(spark, raw, tmp_path):
@@ -110,3 +107,46 @@ def test_training(spark):
 def test_selection_goes_by_macro_f1_then_name(spark):
     table = spark.createDataFrame([("b", 0.5), ("a", 0.5), ("c", 0.4)], "model string, macro_f1 double")
     assert models.select_model(table).first()["model"] == "a"
+
+
+def test_two_column_csv_goes_through_both_jobs(spark, tmp_path):
+    folder = tmp_path / "raw"
+    folder.mkdir()
+    rows = [(f"text {i // 2 if i < 20 else i}", "ab"[i % 2] if i < 10 else "abc"[i % 3] if i >= 20 else "a") for i in range(120)]
+    for part in range(3):
+        body = "\n".join(f'"{t}",{label}' for t, label in rows[part * 40 : part * 40 + 40])
+        (folder / f"part{part}.csv").write_text(f"tweet_text,cyberbullying_type\n{body}\n", "utf-8")
+    roles = Roles("tweet_text", "cyberbullying_type", "place")
+    raw = tables.read_csv(spark, str(folder), "tweet_text string, cyberbullying_type string", order_column="place")
+    cleaned = clean_table(spark, raw, str(tmp_path / "clean"), str(tmp_path / "report"), roles, "csv")
+    assert cleaned.table.count() == 105
+    only_two = str(tmp_path / "two.csv")
+    tables.write_table(cleaned.table.select("tweet_text", "cyberbullying_type").coalesce(1), only_two, "csv")
+    settings = SplitSettings.from_mapping(
+        {"text_column": "tweet_text", "label_column": "cyberbullying_type", "order_column": "place", "stratify": True, "train_output": "x",
+         "source_dataset": only_two, "split_output": str(tmp_path / "splits"), "report_output": str(tmp_path / "split_report")}
+    )
+    first = {tuple(r) for r in split_table(spark, settings).table.select("tweet_text", "split").collect()}
+    again = split_table(spark, settings)
+    assert len(first) == 105 and {tuple(r) for r in again.table.select("tweet_text", "split").collect()} == first
+    found = {(r["section"], r["item"]): r["value"] for r in again.report.collect()}
+    assert found["totals", "source_rows"] == found["totals", "rows_in_splits"] == 105
+    assert tables.read_notes(spark, settings.report_output)["random_seed"] == 42
+
+
+def test_cleaning_report_measures_what_came_out(spark, raw):
+    wrong = policies.cleaning_report(raw, cleaned=raw)
+    found = {(r["section"], r["item"]): r["value"] for r in wrong.collect()}
+    assert found["summary", "final_duplicate_text_count"] > 0 and found["summary", "final_conflicting_text_count"] > 0
+
+
+def test_order_must_identify_rows(spark, raw, tmp_path):
+    for broken in (raw.unionByName(raw.limit(1)), raw.selectExpr("nullif(doc_id, 3) as doc_id", "text", "label")):
+        with pytest.raises(ValueError, match="doesn't identify rows"):
+            clean_table(spark, broken, str(tmp_path / "c"), str(tmp_path / "r"))
+
+
+def test_training_refuses_rows_without_a_label(spark):
+    df = spark.createDataFrame([(1, "a b", None, "train"), (2, "c d", "x", "train")], SCHEMA + ", split string")
+    with pytest.raises(ValueError, match="1 training rows have no label"):
+        models.train(df, chosen={}, stop_words=[])

@@ -108,7 +108,10 @@ def test_summary_agrees_with_the_rows(labelled):
 
 def test_class_matrix_agrees_with_the_rows(labelled):
     df = labelled(MIXED)
-    matrix = {r["label"]: r for r in policies.policy_class_matrix(df).collect()}
+    rows = policies.policy_class_matrix(df).collect()
+    (total,) = [r for r in rows if r["is_total"]]
+    matrix = {r["label"]: r for r in rows if not r["is_total"]}
+    assert all(total[f"rows_{p}"] == sum(r[f"rows_{p}"] for r in matrix.values()) for p in policies.POLICIES)
     for name, policy in policies.POLICY_FUNCTIONS.items():
         counts = {r["label"]: r["count"] for r in policy(df).groupBy("label").count().collect()}
         assert {k: v[f"rows_{name}"] for k, v in matrix.items()} == {k: counts.get(k, 0) for k in matrix}
@@ -213,3 +216,9 @@ def test_partitioning_does_not_matter(spark, labelled, partitions):
         spark.conf.set("spark.sql.shuffle.partitions", "8")
     base = labelled(MIXED * 3).coalesce(1)
     assert answers == [ids(policy(base)) for policy in policies.POLICY_FUNCTIONS.values()]
+
+
+def test_majority_counts_votes_of_labelled_rows_only(labelled):
+    rows = [("t", "a"), ("t", "a"), ("t", "b"), ("t", None), ("t", None), ("u", "a"), ("u", None), ("v", "a"), ("v", None), ("v", None), ("w", None)]
+    got = sorted((r["text"], r["label"]) for r in policies.majority_resolved(labelled(rows)).collect())
+    assert got == [("t", "a"), ("u", "a"), ("v", "a")]

@@ -7,9 +7,11 @@ import pytest
 
 import __spark_entry__ as driver
 import oracle
+from catalog import oracles
+from catalog import queries as registered
 
 SF_DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
-QUERIES, SQL = driver.queries(), driver.oracle_sql()
+QUERIES, SQL = registered.all_queries(), oracles.all_sql()
 TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
 
 pytestmark = pytest.mark.skipif(not Path(SF_DIR).exists(), reason="driver tables are not here")
@@ -39,6 +41,7 @@ def test_query_matches_its_sql(spark, duck, name):
     assert rows == duck_rows
 
 
-def test_models_run(spark):
-    rows = QUERIES["test_evaluation"](spark, SF_DIR).collect()
-    assert len(rows) == 1 and 0 <= rows[0]["accuracy"] <= 1
+@pytest.mark.parametrize("name, n", [("model_benchmark", 4), ("selected_model", 1), ("test_evaluation", 1)])
+def test_models_run(spark, name, n):
+    rows = QUERIES[name](spark, SF_DIR).collect()
+    assert len(rows) == n and all(0 <= r["accuracy"] <= 1 for r in rows)

@@ -96,8 +96,13 @@ def test_report_documents(spark, tmp_path):
     report = spark.createDataFrame(rows, "section string, item string, value double")
     path = tables.write_report(report, str(tmp_path / "r"), {"policy": "D"})
     assert sorted(map(tuple, tables.read_report(spark, path).collect())) == rows
-    text = tables.report_document(report, {"policy": "D"}).first()[0]
-    assert "\n" in text and json.loads(text) == {"policy": "D", "report": {"s1": {"x": 1.0, "y": 2.5}, "s2": {"z": 0.0}}}
+    assert tables.read_notes(spark, tables.write_report(report, path, {"seed": 7, "flag": True, "policy": "D"})) == {
+        "seed": 7.0, "flag": "True", "policy": "D",
+    }
+    text = tables.report_document(report, {"policy": "D"})
+    assert "\n" in text and json.loads(text) == {"policy": "D", "report": {"s1": {"x": 1, "y": 2.5}, "s2": {"z": 0}}}
+    clash = spark.createDataFrame([("c", "null", 1.0), ("c", "accuracy", 2.0), ("c", "accuracy", 3.0)], report.schema)
+    assert tables.read_report(spark, tables.write_report(clash, path)).count() == 3
 
 
 def test_settings(tmp_path):
@@ -106,5 +111,23 @@ def test_settings(tmp_path):
     path.write_text(json.dumps({"random_seed": 7, "text_column": "t"}))
     settings = SplitSettings.from_json(path)
     assert (settings.random_seed, settings.train_ratio, settings.roles.text) == (7, 0.8, "t")
+    theirs = {"stratify": True, "train_output": "a", "val_output": "b", "test_output": "c", "source_dataset": "x/clean.csv"}
+    assert SplitSettings.from_mapping(theirs).format_of_source == "csv"
+    with pytest.raises(ValueError, match="stratified"):
+        SplitSettings.from_mapping({"stratify": False})
     with pytest.raises(ValueError, match="sed"):
         SplitSettings.from_mapping({"sed": 1})
+
+
+def test_csv_files_give_an_order(spark, tmp_path):
+    folder = tmp_path / "raw"
+    folder.mkdir()
+    rows = [(f"text {i}, \"quoted\"\nline", "ab"[i % 2]) for i in range(60)]
+    for part in range(4):
+        lines = [f'"{t.replace(chr(34), chr(34) * 2)}",{label}' for t, label in rows[part * 15 : part * 15 + 15]]
+        (folder / f"{part}.csv").write_text("tweet,kind\n" + "\n".join(lines) + "\n", "utf-8")
+    read = lambda: tables.read_csv(spark, str(folder), "tweet string, kind string", order_column="place")
+    got = [tuple(r) for r in read().orderBy("place").collect()]
+    assert [r[1:] for r in got] == rows and len({r[0] for r in got}) == 60
+    assert [r[0] for r in got] == [(i // 15) * (1 << tables.ROWS_BITS) + i % 15 for i in range(60)]
+    assert [tuple(r) for r in read().repartition(7).orderBy("place").collect()] == got
