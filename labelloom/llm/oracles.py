@@ -31,7 +31,7 @@ def _host_quality() -> str:
 WITH texts AS (
   SELECT doc_id, coalesce(source, '') AS host, coalesce(text, '') AS t,
          regexp_extract_all(coalesce(text, ''), '{WORDS}') AS ws,
-         list_filter(string_split(coalesce(text, ''), chr(10)), x -> regexp_matches(x, '{WORDS}')) AS ls
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '{WORDS}')) AS ls
   FROM documents),
 tokens AS (SELECT doc_id, unnest(ws) AS w, generate_subscripts(ws, 1) AS p FROM texts),
 windows AS (

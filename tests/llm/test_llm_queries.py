@@ -1,5 +1,6 @@
 """The registered queries against SQL, and the pipeline against its stages by brute force."""
 
+import os
 from pathlib import Path
 
 import pytest
@@ -8,7 +9,7 @@ import corpus_pipeline
 import oracle
 from labelloom.llm import oracles, queries
 
-SF_DIR = "/root/testdata/sf0.001"
+SF_DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
 TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
 
 pytestmark = pytest.mark.skipif(not Path(SF_DIR).exists(), reason="driver tables are not here")
