@@ -607,8 +607,18 @@ WHERE split = 'val' GROUP BY model""",
     }
 
 
+def _jobs() -> dict[str, str]:
+    return {
+        "csv_round_trip": "SELECT doc_id, text, lang AS label FROM documents",
+        "split_round_trip": f"{_split_ctes(CLEAN)} SELECT doc_id, label, split FROM asg",
+        "cleaning_job": _policies()["cleaning_report"],
+        "split_job": _splits()["split_report"],
+    }
+
+
 def all_sql() -> dict[str, str]:
     return {
+        **_jobs(),
         **_rules(),
         **_profiling(),
         **_duplicates(),

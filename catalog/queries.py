@@ -17,8 +17,11 @@ from catalog import settings
 from labelloom import Roles
 from labelloom.operators import duplicates, features, metrics, models, policies, profile, split, validate
 from labelloom.operators.groups import keep_rows
-from labelloom.operators.pin import settle
-from labelloom.sources.tables import read_parquet
+from labelloom.operators.pin import scratch_path, settle
+from labelloom.plans.cleaning import clean_table
+from labelloom.plans.splitting import split_table
+from labelloom.sources.config import SplitSettings
+from labelloom.sources.tables import read_csv, read_parquet, read_splits, write_splits, write_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -312,6 +315,34 @@ def _evaluation() -> dict[str, Query]:
     }
 
 
+def _jobs() -> dict[str, Query]:
+    """Whole jobs over the tables, written to the shared folder and read back."""
+
+    def csv_round_trip(s: SparkSession, d: str) -> DataFrame:
+        docs = documents(s, d, "lang")
+        return read_csv(s, write_table(docs, scratch_path(s), "csv"), docs.schema)
+
+    def split_round_trip(s: SparkSession, d: str) -> DataFrame:
+        path, rows = scratch_path(s), assigned(s, d)
+        write_splits(rows, path)
+        return read_splits(s, path).select("doc_id", "label", "split")
+
+    def cleaning_job(s: SparkSession, d: str) -> DataFrame:
+        return clean_table(s, documents(s, d), scratch_path(s), scratch_path(s), DOC, "csv").report
+
+    def split_job(s: SparkSession, d: str) -> DataFrame:
+        source = write_table(clean(s, d), scratch_path(s))
+        values = {"source_dataset": source, "split_output": scratch_path(s), "report_output": scratch_path(s), "stratify": True}
+        return split_table(s, SplitSettings.from_mapping(values | {"random_seed": settings.SEED})).report
+
+    return {
+        "csv_round_trip": csv_round_trip,
+        "split_round_trip": split_round_trip,
+        "cleaning_job": cleaning_job,
+        "split_job": split_job,
+    }
+
+
 def _rule_guesses(s: SparkSession, d: str) -> DataFrame:
     """The split with a row per rule: ``model, predicted``."""
 
@@ -385,6 +416,7 @@ def all_queries() -> dict[str, Query]:
         **_splits(),
         **_features(),
         **_evaluation(),
+        **_jobs(),
         **_rules(),
         **_models(),
     }

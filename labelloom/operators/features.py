@@ -127,8 +127,10 @@ def tfidf_model(vocabulary: DataFrame, text_tokens: str = "tokens", out: str = "
     Applying them is a map over rows: nothing is shuffled and vectors stay sparse.
     """
     rows = vocabulary.orderBy("term_id").select("term", "idf").limit(MAX_VOCABULARY + 1).collect()
-    if not 1 <= len(rows) <= MAX_VOCABULARY:
-        raise ValueError(f"the vocabulary must have from 1 to {MAX_VOCABULARY} terms")
+    if not rows:
+        raise ValueError("the vocabulary is empty")
+    if len(rows) > MAX_VOCABULARY:
+        raise ValueError(f"the vocabulary has more than {MAX_VOCABULARY} terms")
     counts = CountVectorizerModel.from_vocabulary(
         [r["term"] for r in rows], inputCol=text_tokens, outputCol="term_counts"
     )

@@ -39,11 +39,17 @@ def shared_folder(spark: SparkSession) -> str:
 _SETTLED: list[str] = []
 
 
+def scratch_path(spark: SparkSession) -> str:
+    """A new path in the shared folder, for files that stay until :func:`release`."""
+    path = f"{shared_folder(spark)}/labelloom-{uuid.uuid4().hex}"
+    _SETTLED.append(path)
+    return path
+
+
 def settle(frame: DataFrame) -> DataFrame:
     """``frame`` written to the shared folder and read back. The files stay until :func:`release`."""
     spark = frame.sparkSession
-    path = f"{shared_folder(spark)}/labelloom-{uuid.uuid4().hex}"
-    _SETTLED.append(path)
+    path = scratch_path(spark)
     frame.write.parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
 

@@ -117,3 +117,10 @@ def test_empty_table(labelled):
     }
     assert one(duplicates.majority_check(empty))["majority_applicable"] is False
     assert duplicates.label_combinations(empty).count() == 0
+
+
+def test_combinations_are_not_gathered_for_their_total(labelled):
+    df = labelled([("t", "a"), ("t", "b"), ("u", "a"), ("u", "c"), ("v", "a")])
+    table = duplicates.label_combinations(df)
+    assert "Window" not in table._jdf.queryExecution().optimizedPlan().toString()
+    assert [(r["combination"], r["pct_of_conflicts"]) for r in table.collect()] == [("a + b", 50.0), ("a + c", 50.0)]

@@ -137,3 +137,23 @@ def test_label_index_round_trip(spark, docs):
 def test_normalized_text(docs, spark):
     df = spark.createDataFrame([("@a http://b c", ), (None,)], "text string")
     assert [r["normalized"] for r in features.normalized_text(df).collect()] == ["<USER> <URL> c", None]
+
+
+def test_sequences_are_looked_up_in_the_row(docs):
+    vocabulary = features.sequence_vocabulary(docs)
+    plan = features.padded_sequences(docs, vocabulary)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Generate" not in plan
+
+
+@pytest.mark.parametrize("size", [0, features.MAX_VOCABULARY + 1])
+def test_sizes_are_bounded(docs, size):
+    with pytest.raises(ValueError, match="must be from"):
+        features.tfidf_vocabulary(docs, max_features=size)
+    with pytest.raises(ValueError, match="must be from"):
+        features.sequence_vocabulary(docs, vocab_size=size)
+
+
+def test_a_label_with_too_many_values_is_refused(docs, monkeypatch):
+    monkeypatch.setattr(features, "MAX_LABELS", 1)
+    with pytest.raises(ValueError, match="isn't a class label"):
+        features.label_index(docs)
