@@ -74,7 +74,7 @@ BLOCK_SHINGLES = 2048
 BLOCK_CELLS = 1 << 22
 
 #: Words whose hashes a worker remembers.
-MAX_WORDS = 500_000
+MAX_WORDS = 300_000
 
 ODD = np.uint64(0x9E3779B97F4A7C15)
 

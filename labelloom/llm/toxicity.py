@@ -55,7 +55,7 @@ FIT_ROWS = 20_000
 RIDGE = 1e-3
 
 #: Words whose numbers a worker remembers, and followings collected before they are given out.
-MAX_WORDS = 500_000
+MAX_WORDS = 300_000
 LOT = 1_000_000
 
 PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
