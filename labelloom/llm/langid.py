@@ -37,6 +37,9 @@ FEATURES = 1 << 15
 FIT_ROWS = 3000
 TEMPERATURE_SHARE = 0.2
 
+#: Languages that can be told apart; more values in the column are an error.
+MAX_LANGUAGES = 1000
+
 #: Learning rate, its offset, elastic net, passes.
 ALPHA, BETA, L1, L2, PASSES = 0.5, 1.0, 0.05, 0.05, 4
 
@@ -155,9 +158,11 @@ class Model(NamedTuple):
 
 def train(texts: DataFrame) -> Model | None:
     """A model of ``texts``, columns ``id, body, lang``."""
-    languages = sorted(row.lang for row in texts.select("lang").distinct().collect())
+    languages = sorted(row.lang for row in texts.select("lang").distinct().limit(MAX_LANGUAGES + 1).collect())
     if not languages:
         return None
+    if len(languages) > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} values are no languages")
     n, having = document_frequencies(texts)
     idf = np.log((n + 1) / (having + 1)) + 1
     per_language = max(2, FIT_ROWS // len(languages))
