@@ -92,7 +92,7 @@ def followings(texts: DataFrame) -> DataFrame:
             # The lowest bit is the class.
             found = np.unique(np.concatenate(lot))
             lot.clear()
-            return pa.RecordBatch.from_arrays([pa.array(found >> 1), pa.array((found & 1).astype(np.int32))], ["pair", "toxic"])
+            return pa.RecordBatch.from_arrays([pa.array(found >> 1), pa.array((found & 1).astype(np.int32) + 1)], ["pair", "classes"])
 
         held = 0
         for batch in batches:
@@ -108,10 +108,13 @@ def followings(texts: DataFrame) -> DataFrame:
         if lot:
             yield give()
 
-    found = texts.select("body", "toxic").mapInArrow(pairs, "pair long, toxic int")
-    by_pair = found.groupBy("pair").agg(F.max("toxic").alias("toxic"), F.max(1 - F.col("toxic")).alias("ordinary"))
+    # Classes as bits: 1 is ordinary, 2 is toxic.
+    found = texts.select("body", "toxic").mapInArrow(pairs, "pair long, classes int")
+    by_pair = found.groupBy("pair").agg(F.bit_or("classes").alias("classes"))
     by_word = by_pair.groupBy((F.col("pair") % BUCKETS).cast("int").alias("word"))
-    return by_word.agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary"), F.count(F.lit(1)).alias("both"))
+    return by_word.agg(
+        F.count_if(F.col("classes") >= 2).alias("toxic"), F.count_if(F.col("classes") != 2).alias("ordinary"), F.count(F.lit(1)).alias("both")
+    )
 
 
 def evidence_of_words(counts: pa.Table) -> np.ndarray | None:
@@ -163,13 +166,19 @@ class Model(NamedTuple):
     intercept: float
 
 
-def train(texts: DataFrame, fitting: Column) -> Model | None:
-    """The models of ``texts``, columns ``id, body, toxic``; rows where ``fitting`` holds are for margin and line alone."""
-    of_words = evidence_of_words(followings(texts.where(~fitting)).toArrow())
+def train(rows: DataFrame, labels: DataFrame, learning: Column, fitting: Column) -> Model | None:
+    """The models of ``rows``, columns ``id, body, fold``, by ``labels``, columns ``id, toxic``.
+
+    Rows where ``learning`` holds make the models; of those where ``fitting``
+    holds a bounded sample, which is broadcast, sets discount, margin and line.
+    """
+    spark = rows.sparkSession
+    of_words = evidence_of_words(followings(rows.where(learning).join(labels.hint("shuffle_hash"), "id")).toArrow())
     if of_words is None:
         return None
-    chosen = settle(texts.where(fitting).select("id", F.xxhash64("id").alias("order")).orderBy("order", "id").limit(FIT_ROWS))
-    sent = texts.sparkSession.sparkContext.broadcast(of_words)
+    labelled = rows.where(fitting).select("id").join(labels, "id").distinct()
+    chosen = settle(labelled.select("id", "toxic", F.xxhash64("id").alias("order")).orderBy("order", "id").limit(FIT_ROWS))
+    sent = spark.sparkContext.broadcast(of_words)
 
     def margins(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -177,7 +186,7 @@ def train(texts: DataFrame, fitting: Column) -> Model | None:
             rows = [[evidence(f, sent.value[i], margin) for i, margin in TRIED] for f in found]
             yield pa.RecordBatch.from_arrays([batch.column("toxic"), pa.array(rows, pa.list_(pa.float64()))], ["toxic", "evidence"])
 
-    sample = texts.where(fitting).join(chosen.select("id").distinct(), "id", "left_semi").select("body", "toxic")
+    sample = rows.where(fitting).select("id", "body").join(F.broadcast(chosen.select("id", "toxic")), "id").select("body", "toxic")
     seen = sample.mapInArrow(margins, "toxic int, evidence array<double>").limit(2 * FIT_ROWS).toArrow()
     labels = seen["toxic"].to_numpy().astype(float)
     if not 0 < labels.sum() < len(labels):
@@ -219,7 +228,7 @@ def toxicity(
     known = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("toxic")).where("toxic in (0, 1)")
     # A label that contradicts another one of its id is not a label.
     known = known.groupBy("id").agg(F.min("toxic").alias("toxic"), F.max("toxic").alias("most")).where("toxic = most").drop("most")
-    model = train(rows.where("fold > 0").join(known.hint("shuffle_hash"), "id"), F.col("fold") == 1)
+    model = train(rows, known, F.col("fold") > 1, F.col("fold") == 1)
     scored = score(rows, model)
     return scored.select(
         F.col("id").alias(id_col),
