@@ -14,7 +14,10 @@ count as none. The margin, and the line that turns evidence into a probability,
 are fitted, with the discount, on labelled texts that the models haven't seen. All statistics cover
 all labelled texts; the fit alone takes a bounded sample.
 
-Words are hashed to ``BUCKETS`` numbers, which bounds what is broadcast.
+Words are counted by a 64-bit hash in a written table that grows with the
+corpus. The words with the most followings, fewer than ``BUCKETS``, are
+broadcast; where the table has more, the other words of the documents are
+joined to it.
 
 Defined results for odd input: null and empty texts have no evidence and get the
 score of none; rows that repeat an id are learned from and scored one by one; a
@@ -34,12 +37,13 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from labelloom.llm.shared import attach
 from labelloom.operators.pin import settle
 
-#: Numbers that words are hashed to.
+#: Places for words that are broadcast; the last one stays free and stands for the words without followings.
 BUCKETS = 1 << 20
 
-#: The share of a following that every number is given in the shared counts.
+#: The share of a following that every word is given in the shared counts.
 UNSEEN = 0.1
 
 #: Followings that don't count, and margins, of which the best pair is taken.
@@ -58,13 +62,17 @@ RIDGE = 1e-3
 MAX_WORDS = 300_000
 LOT = 1_000_000
 
+#: An odd factor; for a given word, the words before it and the products with it correspond one to one.
+MIX = np.int64(-7046029254386353131)
+
 PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
 class _Numbers(dict):
     def __missing__(self, word: str) -> int:
         bare = word.strip(PUNCTUATION)
-        found = self[word] = xxhash.xxh32_intdigest(bare) % (BUCKETS - 1) + 1 if bare else 0
+        digest = xxhash.xxh3_64_intdigest(bare) if bare else 0
+        found = self[word] = digest - (1 << 64) if digest >> 63 else digest
         return found
 
 
@@ -86,54 +94,139 @@ def followings(texts: DataFrame) -> DataFrame:
     """
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lot: list[np.ndarray] = []
+        lots: tuple[list, list] = ([], [])
 
-        def give() -> pa.RecordBatch:
-            # The lowest bit is the class.
-            found = np.unique(np.concatenate(lot))
-            lot.clear()
-            return pa.RecordBatch.from_arrays([pa.array(found >> 1), pa.array((found & 1).astype(np.int32) + 1)], ["pair", "classes"])
+        def give() -> Iterator[pa.RecordBatch]:
+            for toxic, lot in enumerate(lots):
+                if lot:
+                    words = np.concatenate([found for _, found in lot])
+                    pair, at = np.unique(np.concatenate([before for before, _ in lot]) * MIX + words, return_index=True)
+                    classes = np.full(len(at), toxic + 1, np.int32)
+                    yield pa.RecordBatch.from_arrays([pa.array(words[at]), pa.array(pair), pa.array(classes)], ["word", "pair", "classes"])
+                    lot.clear()
 
         held = 0
         for batch in batches:
             for text, toxic in zip(batch.column("body"), batch.column("toxic").to_pylist(), strict=True):
                 found = numbers(text.as_py())
                 if len(found):
-                    before = np.concatenate(([0], found[:-1]))
-                    lot.append(((before * BUCKETS + found) << 1) | toxic)
+                    lots[toxic].append((np.concatenate(([0], found[:-1])), found))
                     held += len(found)
                 if held >= LOT:
-                    yield give()
+                    yield from give()
                     held = 0
-        if lot:
-            yield give()
+        yield from give()
 
     # Classes as bits: 1 is ordinary, 2 is toxic.
-    found = texts.select("body", "toxic").mapInArrow(pairs, "pair long, classes int")
-    by_pair = found.groupBy("pair").agg(F.bit_or("classes").alias("classes"))
-    by_word = by_pair.groupBy((F.col("pair") % BUCKETS).cast("int").alias("word"))
-    return by_word.agg(
+    found = texts.select("body", "toxic").mapInArrow(pairs, "word long, pair long, classes int")
+    by_pair = found.groupBy("word", "pair").agg(F.bit_or("classes").alias("classes"))
+    return by_pair.groupBy("word").agg(
         F.count_if(F.col("classes") >= 2).alias("toxic"), F.count_if(F.col("classes") != 2).alias("ordinary"), F.count(F.lit(1)).alias("both")
     )
 
 
-def evidence_of_words(counts: pa.Table) -> np.ndarray | None:
-    """By discount and word number, the log probability in the toxic model less that in the ordinary one; None without both classes."""
+KINDS = ("toxic", "ordinary", "both")
+
+
+class Sums(NamedTuple):
+    """Over all words: followings, words, and what each discount leaves of the followings of a class."""
+
+    totals: dict[str, float]
+    n_words: int
+    kept: dict[tuple[str, float], float]
+
+    @property
+    def size(self) -> float:
+        return min(self.totals["toxic"], self.totals["ordinary"])
+
+    @classmethod
+    def of(cls, values: dict[str, np.ndarray], times: dict[str, np.ndarray], n_words: int) -> Sums | None:
+        """From the different counts ``values`` and how many words have each; None without both classes."""
+        sums = cls({name: float((values[name] * times[name]).sum()) for name in KINDS}, n_words, {})
+        if not sums.size:
+            return None
+        for name in ("toxic", "ordinary"):
+            for discount in DISCOUNTS:
+                sums.kept[name, discount] = float((_kept(values[name], name, discount, sums) * times[name]).sum())
+        return sums
+
+
+def _kept(counts: np.ndarray, name: str, discount: float, sums: Sums) -> np.ndarray:
+    return np.maximum(counts * (sums.size / sums.totals[name]) - discount, 0)
+
+
+def log_ratios(columns: dict[str, np.ndarray], sums: Sums) -> np.ndarray:
+    """By discount and word, the log probability in the toxic model less that in the ordinary one."""
+    shared = (columns["both"] + UNSEEN) / (sums.totals["both"] + UNSEEN * sums.n_words)
+
+    def log_p(name: str, discount: float) -> np.ndarray:
+        return np.log((_kept(columns[name], name, discount, sums) + (sums.size - sums.kept[name, discount]) * shared) / sums.size)
+
+    return np.array([log_p("toxic", d) - log_p("ordinary", d) for d in DISCOUNTS], np.float32)
+
+
+def evidence_of_words(counts: pa.Table, sums: Sums | None = None) -> np.ndarray | None:
+    """By discount and place, the :func:`log_ratios` of the words at the places ``word``; None without both classes.
+
+    Without ``sums`` the words in ``counts`` are all there are.
+    """
     columns = {}
-    for name in ("toxic", "ordinary", "both"):
+    for name in KINDS:
         columns[name] = np.zeros(BUCKETS)
         columns[name][counts["word"].to_numpy()] = counts[name].to_numpy()
-    totals = {name: column.sum() for name, column in columns.items()}
-    if not totals["toxic"] or not totals["ordinary"]:
+    sums = sums or Sums.of(columns, {name: np.ones(BUCKETS) for name in KINDS}, BUCKETS)
+    return sums and log_ratios(columns, sums)
+
+
+class Words(NamedTuple):
+    """The evidence of all words: the broadcast ones sorted, ``of_places`` by discount and place, and a table of the others or None."""
+
+    hot: np.ndarray
+    of_places: np.ndarray
+    others: DataFrame | None
+
+
+def words_of(counts: DataFrame) -> Words | None:
+    """What the :func:`followings` ``counts``, which are settled, say of each word; None without both classes.
+
+    Only numbers of words by count, and the broadcast words, come to the driver.
+    The table of the others has ``word, ratios``; those whose followings fall
+    under every discount in both classes are left out, as their evidence is that
+    of words without followings.
+    """
+    kinds = F.array(*[F.struct(F.lit(name).alias("kind"), F.col(name).alias("value")) for name in KINDS])
+    seen = counts.select(F.inline(kinds)).groupBy("kind", "value").agg(F.count(F.lit(1)).alias("n")).orderBy("kind", "value").toArrow()
+    kind, value, n = (seen[c].to_numpy() for c in ("kind", "value", "n"))
+    values, times = ({name: column[kind == name].astype(float) for name in KINDS} for column in (value, n))
+    sums = Sums.of(values, times, int(times["both"].sum()) + 1)
+    if sums is None:
         return None
-    shared = (columns["both"] + UNSEEN) / (totals["both"] + UNSEEN * BUCKETS)
-    size = min(totals["toxic"], totals["ordinary"])
+    from_most = np.cumsum(times["both"][::-1])[::-1]
+    fitting = values["both"][from_most < BUCKETS]
+    least = int(fitting.min()) if len(fitting) else int(values["both"].max()) + 1
+    table = counts.where(F.col("both") >= least).toArrow().sort_by("word")
+    hot = table["word"].to_numpy()
+    of_places = evidence_of_words(table.set_column(table.schema.get_field_index("word"), "word", pa.array(np.arange(len(hot)))), sums)
+    if from_most[0] < BUCKETS:
+        return Words(hot, of_places, None)
+
+    def ratios(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = log_ratios({name: batch.column(name).to_numpy().astype(float) for name in KINDS}, sums).T
+            rows = pa.array(found.astype(float).tolist(), pa.list_(pa.float64()))
+            yield pa.RecordBatch.from_arrays([batch.column("word"), rows], ["word", "ratios"])
 
-    def log_p(name: str, discount: float) -> np.ndarray:
-        kept = np.maximum(columns[name] * (size / totals[name]) - discount, 0)
-        return np.log((kept + (size - kept.sum()) * shared) / size)
+    counts_left = [F.col(name) * F.lit(sums.size / sums.totals[name]) > min(DISCOUNTS) for name in ("toxic", "ordinary")]
+    others = counts.where((F.col("both") < least) & (counts_left[0] | counts_left[1]))
+    return Words(hot, of_places, settle(others.mapInArrow(ratios, "word long, ratios array<double>")))
 
-    return np.array([log_p("toxic", d) - log_p("ordinary", d) for d in DISCOUNTS], np.float32)
+
+def places(found: np.ndarray, hot: np.ndarray, free: int) -> np.ndarray:
+    """Where the words lie in ``hot``; the place ``free`` for those that don't."""
+    if not len(hot):
+        return np.full(len(found), free)
+    at = np.minimum(np.searchsorted(hot, found), len(hot) - 1)
+    return np.where(hot[at] == found, at, free)
 
 
 def evidence(found: np.ndarray, of_words: np.ndarray, margin: float) -> float:
@@ -159,8 +252,54 @@ def fitted_line(x: np.ndarray, y: np.ndarray) -> tuple[float, float, float]:
     return line[0] / scale, line[1], float(-(y * np.log(p) + (1 - y) * np.log(1 - p)).mean())
 
 
+def evidences(texts: DataFrame, words: Words, tried: list[tuple[int, float]]) -> DataFrame:
+    """``texts`` with ``evidence`` in place of ``body``: the :func:`evidence` for each pair of discount and margin in ``tried``.
+
+    Words that aren't broadcast are counted as having no followings at first.
+    If the table has others, each row's are joined to it, and what they differ
+    by is added; a frequent word's line of the table is broadcast.
+    """
+    rest = [c for c in texts.columns if c != "body"]
+    sent = texts.sparkSession.sparkContext.broadcast((words.hot, words.of_places))
+    joins = words.others is not None
+    other_type = pa.list_(pa.struct([("word", pa.int64()), ("n", pa.int64())]))
+
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hot, of_places = sent.value
+        free = of_places.shape[1] - 1
+        for batch in batches:
+            values, n_words, others = [], [], []
+            for text in batch.column("body"):
+                found = numbers(text.as_py())
+                at = places(found, hot, free)
+                values.append([evidence(at, of_places[i], margin) for i, margin in tried])
+                n_words.append(len(found))
+                each, times = np.unique(found[at == free], return_counts=True) if joins else ([], [])
+                others.append([{"word": int(w), "n": int(n)} for w, n in zip(each, times, strict=True)])
+            columns = [pa.array(values, pa.list_(pa.float64())), pa.array(n_words, pa.int64()), pa.array(others, other_type)]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in rest), *columns], [*rest, "evidence", "_n", "_others"])
+
+    kinds = "".join(f"`{c}` {texts.schema[c].dataType.simpleString()}, " for c in rest)
+    found = texts.select(*rest, "body").mapInArrow(first, f"{kinds}evidence array<double>, _n long, _others array<struct<word: long, n: long>>")
+    if not joins:
+        return found.drop("_n", "_others")
+    # The row numbers are fixed by being written.
+    found = settle(found.withColumn("_row", F.monotonically_increasing_id()))
+    each = found.select("_row", F.inline("_others"))
+    sizes = each.groupBy("word").agg(F.count(F.lit(1)).alias("size"))
+    known = settle(sizes.join(words.others, "word", "left"))
+    met = attach(each, known, "word", "size", each.count()).where("ratios is not null")
+    beyond = lambda x, margin: F.greatest(x - margin, F.lit(0.0)) - F.greatest(-x - margin, F.lit(0.0))
+    unseen = [float(x) for x in words.of_places[:, -1]]
+    more = [F.sum(F.col("n") * (beyond(F.col("ratios")[i], margin) - beyond(F.lit(unseen[i]), margin))).alias(f"_{k}") for k, (i, margin) in enumerate(tried)]
+    added = met.groupBy("_row").agg(*more)
+    sums = [F.col("evidence")[k] + F.coalesce(F.col(f"_{k}") / F.col("_n"), F.lit(0.0)) for k in range(len(tried))]
+    return found.join(added, "_row", "left").select(*rest, F.array(*sums).alias("evidence"))
+
+
 class Model(NamedTuple):
-    of_words: np.ndarray
+    words: Words
+    discount: int
     margin: float
     slope: float
     intercept: float
@@ -172,29 +311,20 @@ def train(rows: DataFrame, labels: DataFrame, learning: Column, fitting: Column)
     Rows where ``learning`` holds make the models; of those where ``fitting``
     holds a bounded sample, which is broadcast, sets discount, margin and line.
     """
-    spark = rows.sparkSession
-    of_words = evidence_of_words(followings(rows.where(learning).join(labels.hint("shuffle_hash"), "id")).toArrow())
-    if of_words is None:
+    words = words_of(settle(followings(rows.where(learning).join(labels.hint("shuffle_hash"), "id"))))
+    if words is None:
         return None
     labelled = rows.where(fitting).select("id").join(labels, "id").distinct()
     chosen = settle(labelled.select("id", "toxic", F.xxhash64("id").alias("order")).orderBy("order", "id").limit(FIT_ROWS))
-    sent = spark.sparkContext.broadcast(of_words)
-
-    def margins(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [numbers(text.as_py()) for text in batch.column("body")]
-            rows = [[evidence(f, sent.value[i], margin) for i, margin in TRIED] for f in found]
-            yield pa.RecordBatch.from_arrays([batch.column("toxic"), pa.array(rows, pa.list_(pa.float64()))], ["toxic", "evidence"])
-
     sample = rows.where(fitting).select("id", "body").join(F.broadcast(chosen.select("id", "toxic")), "id").select("body", "toxic")
-    seen = sample.mapInArrow(margins, "toxic int, evidence array<double>").limit(2 * FIT_ROWS).toArrow()
+    seen = evidences(sample, words, TRIED).limit(2 * FIT_ROWS).toArrow()
     labels = seen["toxic"].to_numpy().astype(float)
     if not 0 < labels.sum() < len(labels):
-        return Model(of_words[0], MARGINS[0], 1.0, 0.0)
+        return Model(words, 0, MARGINS[0], 1.0, 0.0)
     found = np.array(seen["evidence"].to_pylist())
     lines = [fitted_line(found[:, i], labels) for i in range(len(TRIED))]
     best = min(range(len(TRIED)), key=lambda i: lines[i][2])
-    return Model(of_words[TRIED[best][0]], TRIED[best][1], *lines[best][:2])
+    return Model(words, *TRIED[best], *map(float, lines[best][:2]))
 
 
 def score(texts: DataFrame, model: Model | None) -> DataFrame:
@@ -202,17 +332,9 @@ def score(texts: DataFrame, model: Model | None) -> DataFrame:
     rest = [c for c in texts.columns if c != "body"]
     if model is None:
         return texts.select(*rest, F.lit(0.0).alias("score"))
-    sent = texts.sparkSession.sparkContext.broadcast(model)
-
-    def scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        of_words, margin, slope, intercept = sent.value
-        for batch in batches:
-            x = np.array([evidence(numbers(text.as_py()), of_words, margin) for text in batch.column("body")])
-            found = 1 / (1 + np.exp(-np.clip(slope * x + intercept, -30, 30)))
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in rest), pa.array(found, pa.float64())], [*rest, "score"])
-
-    kinds = ", ".join(f"`{c}` {texts.schema[c].dataType.simpleString()}" for c in rest)
-    return texts.select(*rest, "body").mapInArrow(scores, f"{kinds}, score double")
+    found = evidences(texts, model.words, [(model.discount, model.margin)])
+    line = F.lit(model.slope) * F.col("evidence")[0] + F.lit(model.intercept)
+    return found.select(*rest, (1 / (1 + F.exp(-F.greatest(F.least(line, F.lit(30.0)), F.lit(-30.0))))).alias("score"))
 
 
 def toxicity(

@@ -79,3 +79,19 @@ def test_line_is_found(slope):
     y = (np.random.default_rng(2).random(4000) < 1 / (1 + np.exp(-(slope * x - 1)))).astype(float)
     a, b, _ = toxicity.fitted_line(x, y)
     assert a == pytest.approx(slope, rel=0.2) and b == pytest.approx(-1, abs=0.3)
+
+
+def test_words_share_no_number(spark):
+    words = [f"w{i}" for i in range(20_000)]
+    assert len(set(toxicity.numbers(" ".join(words)).tolist())) == len(words)
+
+
+@pytest.mark.parametrize("places", [1, 40])
+def test_words_beyond_the_broadcast_ones_count_as_well(spark, monkeypatch, places):
+    rows, labels = corpus(300)
+    rows.append((300, None))
+    docs, known = spark.createDataFrame(rows, "doc_id bigint, text string"), spark.createDataFrame(labels, "doc_id bigint, toxic int")
+    expected = {r.doc_id: r.score for r in toxicity.toxicity(docs, known).collect()}
+    monkeypatch.setattr(toxicity, "BUCKETS", places)
+    got = {r.doc_id: r.score for r in toxicity.toxicity(docs, known).collect()}
+    assert got == pytest.approx(expected, abs=1e-6)
