@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from labelloom.llm.components import components
-from labelloom.llm.shared import attach
+from labelloom.llm.shared import ROW, attach, numbered
 from labelloom.operators.pin import settle
 
 SHINGLE_WORDS = 5
@@ -475,7 +475,15 @@ def similar(
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """``docs`` with one document of each class of :func:`similar`, the one with the least id; all columns stay."""
-    others = similar(docs, id_col, text_col, threshold).where(F.col(id_col) != F.col("class_id"))
-    others = settle(others.select(F.col(id_col).alias("_other"))).distinct().hint("shuffle_hash")
-    return docs.join(others, docs[id_col] == others["_other"], "left_anti")
+    """``docs`` with one row of each class of :func:`similar`, of those with the least id; all columns stay.
+
+    Rows are told apart by a number of their own, as an id may stand for several
+    texts. Rows with a null id stay.
+    """
+    rows = numbered(docs)
+    ids = rows.select(ROW, F.col(id_col).alias("id"))
+    known = rows.where(F.col(id_col).isNotNull()).select(ROW, text_col)
+    found = similar(known, ROW, text_col, threshold).join(ids, ROW)
+    first = found.groupBy("class_id").agg(F.min(F.struct("id", ROW)).alias("first"))
+    kept = first.select(F.col(f"first.{ROW}").alias(ROW)).unionByName(ids.where("id is null").select(ROW))
+    return rows.join(settle(kept).hint("shuffle_hash"), ROW, "left_semi").select(*docs.columns)

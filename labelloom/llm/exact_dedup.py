@@ -7,8 +7,9 @@ The second scan reads the whole texts of the survivors alone and hashes them.
 
 Texts are equal when identical after every run of ASCII white space becomes one
 space. Defined results for odd input: a null text counts as empty; empty texts
-are equal to each other; rows that repeat an id share its verdict and count as
-separate rows; a null id is an id of its own, beaten by any other; an empty
+are equal to each other; rows that repeat an id count as separate rows, and those
+that repeat id and text are marked alike, but one of them stays when duplicates
+are dropped; a null id is an id of its own, beaten by any other; an empty
 table gives an empty result. Columns other than id and text are not looked at.
 """
 
@@ -17,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from labelloom.llm.shared import attach
+from labelloom.llm.shared import ROW, attach, numbered
 from labelloom.operators.pin import settle
 
 #: Characters hashed at the second level.
@@ -92,7 +93,15 @@ def mark_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def drop_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without the rows whose text also stands under a smaller id; all columns stay."""
-    dropped = mark_duplicates(docs, id_col, text_col).where("not kept").select(F.col(id_col).alias("_dropped"))
-    dropped = settle(dropped).distinct().hint("shuffle_hash")
-    return docs.join(dropped, docs[id_col].eqNullSafe(dropped["_dropped"]), "left_anti")
+    """One row of ``docs`` for each text, of those with the smallest id; all columns stay.
+
+    Rows are told apart by a number of their own, as an id may stand for several texts.
+    """
+    rows = numbered(docs)
+    shared = settle(survivors(rows, ROW, text_col)).hint("shuffle_hash")
+    texts = rows.join(shared, rows[ROW] == shared["id"], "left_semi")
+    digests = settle(texts.select(ROW, F.col(id_col).alias("doc"), digest(F.col(text_col)).alias("text_sha256")))
+    first = F.min(F.struct(F.col("doc").isNull().alias("unknown"), "doc", ROW)).alias("first")
+    kept = digests.groupBy("text_sha256").agg(first).select(F.col(f"first.{ROW}").alias(ROW))
+    dropped = settle(digests.select(ROW).join(kept, ROW, "left_anti")).hint("shuffle_hash")
+    return rows.join(dropped, ROW, "left_anti").select(*docs.columns)

@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from labelloom.operators.pin import settle
+
 #: ASCII white space, the only separator of words here.
 SPACE = r"[\x20\x09-\x0D]"
 
@@ -24,6 +26,15 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), SPACE + "+"), "")
 
 
+#: A row's own number, see :func:`numbered`.
+ROW = "_row_number"
+
+
+def numbered(docs: DataFrame) -> DataFrame:
+    """``docs`` with a number ``ROW`` of its own for each row, fixed by being written with it."""
+    return settle(docs.withColumn(ROW, F.monotonically_increasing_id()))
+
+
 def attach(rows: DataFrame, table: DataFrame, key: str, size: str, total: int) -> DataFrame:
     """``rows`` with the columns of ``table``, which has one row per ``key``; nulls where it has none.
 

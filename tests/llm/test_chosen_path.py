@@ -85,3 +85,13 @@ def test_components_of_chains_and_stars(spark):
     assert got[500] == got[400] == got[300] == 300 and found.count() == len(got)
     none = spark.createDataFrame([], "a bigint, b bigint")
     assert components.components(none).count() == 0
+
+
+def test_one_row_of_each_class_stays(spark):
+    one, other = (" ".join(f"{x}{i}" for i in range(80)) for x in "ab")
+    rows = [(3, one), (7, one + " tail"), (7, other), (5, "c " + other), (5, "c " + other), (None, one)]
+    kept = chosen_path.keep_one(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert sorted(map(tuple, kept.collect()), key=str) == sorted([(3, one), (5, "c " + other), (None, one)], key=str)
+    alone = [(3, one), (7, one + " tail"), (7, other)]
+    kept = chosen_path.keep_one(spark.createDataFrame(alone, "doc_id bigint, text string"))
+    assert sorted(map(tuple, kept.collect())) == sorted([(3, one), (7, other)])

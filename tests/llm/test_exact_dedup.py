@@ -42,3 +42,9 @@ def test_only_survivors_are_read_again(texts):
     got = exact_dedup.survivors(texts(found), "doc_id", "text")
     assert sorted(r.id for r in got.collect()) == [0, 1, 2, 3, 4, 5][2:]
     assert [r.group_size for r in exact_dedup.duplicate_groups(texts(found)).collect()] == [2]
+
+
+def test_one_row_of_each_text_stays(spark):
+    rows = [(3, "A"), (7, "A"), (7, "B"), (5, "C"), (5, "C"), (None, "D"), (None, "D"), (None, "E"), (9, "E")]
+    kept = exact_dedup.drop_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert sorted(map(tuple, kept.collect()), key=str) == sorted([(3, "A"), (7, "B"), (5, "C"), (None, "D"), (9, "E")], key=str)

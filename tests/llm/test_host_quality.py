@@ -54,3 +54,10 @@ def test_priors_follow_the_spread_of_hosts(spark):
     kind = "host string, n_host bigint, symbols bigint, lines bigint, word_length bigint, repeats bigint"
     strong, weak = (host_quality.beta_priors(spark.createDataFrame(rows, kind))["symbols"] for rows in (same, apart))
     assert sum(strong) == host_quality.MAX_STRENGTH and sum(weak) < 2
+
+
+def test_a_row_goes_by_its_own_verdict(spark):
+    clean, short = " ".join(f"word{i}" for i in range(60)), "too short"
+    rows = [(None, clean, "s"), (None, short, "s"), (1, clean, "s"), (1, short, "s"), (2, clean, None)]
+    kept = host_quality.keep_good(spark.createDataFrame(rows, "doc_id bigint, text string, source string")).collect()
+    assert sorted(map(str, kept)) == sorted(str(r) for r in kept if r.text == clean) and len(kept) == 3
