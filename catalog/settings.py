@@ -1,11 +1,5 @@
 """Parameters shared by the registered queries and their SQL."""
 
-import zipfile
-from functools import lru_cache
-from pathlib import Path
-
-import pyspark
-
 from labelloom.operators import features, models
 
 SEED = 42
@@ -25,9 +19,19 @@ RULES = {
 }
 
 
-@lru_cache
+# Spark's English stop words, which the operators take by default. Nothing is read at import.
+ENGLISH_STOP_WORDS = """
+i me my myself we our ours ourselves you your yours yourself yourselves he him his himself she her hers herself it its
+itself they them their theirs themselves what which who whom this that these those am is are was were be been being have
+has had having do does did doing a an the and but if or because as until while of at by for with about against between
+into through during before after above below to from up down in out on off over under again further then once here there
+when where why how all any both each few more most other some such no nor not only own same so than too very s t can will
+just don should now i'll you'll he'll she'll we'll they'll i'd you'd he'd she'd we'd they'd i'm you're he's she's it's
+we're they're i've we've you've they've isn't aren't wasn't weren't haven't hasn't hadn't don't doesn't didn't won't
+wouldn't shan't shouldn't mustn't can't couldn't cannot could here's how's let's ought that's there's what's when's
+where's who's why's would
+"""
+
+
 def stop_words() -> list[str]:
-    """Spark's English list, the operators' default, read without a session."""
-    (jar,) = (Path(pyspark.__file__).parent / "jars").glob("spark-mllib_*.jar")
-    with zipfile.ZipFile(jar) as files:
-        return files.read("org/apache/spark/ml/feature/stopwords/english.txt").decode().split()
+    return ENGLISH_STOP_WORDS.split()
