@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from labelloom.llm import bpe_tree, chosen_path, chunk_dedup, exact_dedup, host_quality, langid, license_scan, packing, token_alignment, toxicity, warc
+from labelloom.llm import bpe_tree, chosen_path, chunk_dedup, exact_dedup, host_quality, langid, license_scan, packing, spelling, token_alignment, toxicity, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -65,6 +65,10 @@ def op10_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
 def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     paths = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
     return token_alignment.alignment(table(spark, sf_dir, "documents"), *paths)
@@ -82,5 +86,6 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_langid": op8_langid,
         "op9_bpe_tree": op9_bpe_tree,
         "op10_chunk_dedup": op10_chunk_dedup,
+        "op11_spelling": op11_spelling,
         "op13_token_alignment": op13_token_alignment,
     }
