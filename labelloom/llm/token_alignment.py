@@ -46,7 +46,7 @@ from labelloom.operators.pin import settle
 BLOCK = 256
 
 #: Stretches whose encodings a worker remembers, and characters of the longest that is.
-MAX_STRETCHES = 150_000
+MAX_STRETCHES = 300_000
 MAX_STRETCH_CHARS = 40
 
 #: Texts are read from Arrow in parts of so many rows.
@@ -127,7 +127,7 @@ class Aligner:
         ids_a, ids_b = range(len(self._bytes_a)), range(self.n_b)
         written = [f"{i}," for i in ids_a] + [f"{i}|" for i in ids_a] + [f"{i}," for i in ids_b] + [f"{i};" for i in ids_b]
         self._written = np.array(written, dtype=object)
-        self._stretches: dict[str, tuple[bytes, bytes]] = {}
+        self._stretches: dict[str, tuple[bytes, bytes, bool]] = {}
 
     def _piece_bytes(self, i: int) -> bytes:
         piece = self._b.id_to_piece(i)
@@ -136,16 +136,14 @@ class Aligner:
     def encode(self, text: str) -> tuple[np.ndarray, np.ndarray] | None:
         """Ids of A and of B; None where either doesn't spell a space and the text."""
         stretches = STRETCH.findall(" " + text) if IRREGULAR.search(text) else [" " + word for word in text.split(" ")]
-        known, found = self._stretches, []
+        known = self._stretches
         if len(known) > MAX_STRETCHES:
             known.clear()
-        for stretch in stretches:
-            ids = known.get(stretch)
-            if ids is None:
-                ids = self._encode(stretch)
-                if len(stretch) <= MAX_STRETCH_CHARS:
-                    known[stretch] = ids
-            found.append(ids)
+        found = list(map(known.get, stretches))
+        if None in found:
+            new = self._encode_all(list(dict.fromkeys([s for s, ids in zip(stretches, found, strict=True) if ids is None])))
+            found = [new[s] if ids is None else ids for s, ids in zip(stretches, found, strict=True)]
+            known.update({s: ids for s, ids in new.items() if len(s) <= MAX_STRETCH_CHARS})
         a = np.frombuffer(b"".join([ids[0] for ids in found]), np.int32)
         b = np.frombuffer(b"".join([ids[1] for ids in found]), np.int32)
         if any(ids[2] for ids in found):
@@ -154,6 +152,21 @@ class Aligner:
                 return None
         return a, b
 
+    def _encode_all(self, stretches: list[str]) -> dict[str, tuple[bytes, bytes, bool]]:
+        """:meth:`_encode` of each stretch; all are encoded as one text, which is cut where they end."""
+        joined = "".join(stretches)
+        sides = (self._a.encode(joined, add_special_tokens=False).ids, self._b.encode(joined[1:]))
+        spelt, found = joined.encode(), []
+        ends = np.cumsum([len(s.encode()) for s in stretches])
+        for ids, tokens, lengths in zip(sides, (self._bytes_a, self._bytes_b), (self._len_a, self._len_b), strict=True):
+            if b"".join(map(tokens.__getitem__, ids)) != spelt:
+                return {s: self._encode(s) for s in stretches}
+            ids = np.array(ids, np.int32)
+            past = (np.searchsorted(np.cumsum(lengths[ids]), ends) + 1) * ids.itemsize
+            raw, at = ids.tobytes(), past.tolist()
+            found.append([raw[i:j] for i, j in zip([0, *at], at, strict=False)])
+        return {s: (a, b, False) for s, a, b in zip(stretches, *found, strict=True)}
+
     def _encode(self, stretch: str) -> tuple[bytes, bytes, bool]:
         """Ids of the stretch as bytes, and whether one of the two spells something else."""
         a = self._a.encode(stretch, add_special_tokens=False).ids
