@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from labelloom.llm import bpe_tree, chosen_path, chunk_dedup, exact_dedup, host_quality, langid, license_scan, packing, spelling, token_alignment, toxicity, warc
+from labelloom.llm import bpe_tree, chosen_path, chunk_dedup, exact_dedup, host_quality, langid, license_scan, packing, spelling, token_alignment, toxicity, vector_graph, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -69,6 +69,10 @@ def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(table(spark, sf_dir, "documents"))
 
 
+def op12_vector_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_graph.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     paths = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
     return token_alignment.alignment(table(spark, sf_dir, "documents"), *paths)
@@ -87,5 +91,6 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_bpe_tree": op9_bpe_tree,
         "op10_chunk_dedup": op10_chunk_dedup,
         "op11_spelling": op11_spelling,
+        "op12_vector_graph": op12_vector_graph,
         "op13_token_alignment": op13_token_alignment,
     }

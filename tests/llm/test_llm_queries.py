@@ -24,7 +24,7 @@ def test_query_matches_its_sql(spark, name):
 
 
 def test_every_operator_is_registered():
-    assert sorted(int(name[2:].split("_")[0]) for name in queries.all_queries()) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in queries.all_queries()) == list(range(1, 14))
 
 
 def test_pipeline(spark, tmp_path):
