@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from labelloom.operators.validate import assert_order_identifies_rows, assert_unique_texts, require_columns
 from labelloom.roles import Roles
+from labelloom.sources import split_csv
 
 # Reads as null; a character that no text field holds, so that "" stays a text.
 NO_TEXT = "\x00"
@@ -48,14 +49,16 @@ def read_csv(
     encoding: str = "UTF-8",
     null_value: str | None = None,
     order_column: str | None = None,
+    whole_files: bool = False,
 ) -> DataFrame:
     """A CSV table with a header and standard quoting, including line breaks inside quotes.
 
     An empty field is null and a quoted empty field is an empty text;
     ``null_value`` names one more spelling of null. Columns are matched to the
-    header by name; a declared column the header lacks is an error. A file with
-    quoted line breaks cannot be split, so one file is one task: keep large
-    tables in many files, or in Parquet.
+    header by name; a declared column the header lacks is an error. Large files
+    are read by many tasks, see :mod:`split_csv`. ``whole_files`` makes one file
+    one task instead, as is done for encodings whose bytes can't be told apart;
+    it forgives quotes inside fields that aren't quoted.
 
     ``order_column`` names a column for the place of a row, which files of this
     kind don't have: their number in the order of their names, and the row's
@@ -64,27 +67,52 @@ def read_csv(
     if isinstance(schema, str):
         schema = T.StructType.fromDDL(schema)
 
+    options = {"quote": '"', "escape": '"', "nullValue": NO_TEXT if null_value is None else null_value}
+
     def load(p: str) -> DataFrame:
-        reader = (
-            spark.read.option("header", True)
-            .option("multiLine", True)
-            .option("quote", '"')
-            .option("escape", '"')
-            .option("encoding", encoding)
-            .option("nullValue", NO_TEXT if null_value is None else null_value)
-        )
-        return reader.csv(p)
+        return spark.read.options(header=True, multiLine=True, encoding=encoding, **options).csv(p)
 
     raw = _found(load, path)
     if not raw.columns:
         raise ValueError(f"table is empty: {path}")
     require_columns(raw, *schema.fieldNames())
     columns = [F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields]
+    if not whole_files and split_csv.can_split(encoding):
+        return _not_empty(_from_records(spark, path, raw.schema, columns, encoding, options, order_column), path)
     if order_column is None or order_column in schema.fieldNames():
         return _not_empty(raw.select(*columns), path)
     return _not_empty(_with_place(raw, columns, order_column), path)
 
 
+def _from_records(
+    spark: SparkSession,
+    path: str,
+    header: T.StructType,
+    columns: list[Column],
+    encoding: str,
+    options: Mapping[str, str],
+    order_column: str | None,
+) -> DataFrame:
+    """``columns`` of the records of all files but their headers, with the place of each as ``order_column``."""
+    in_paths = _partition_columns(spark, path)
+    found = split_csv.records(spark, path, encoding, in_paths).where(F.col("record") > 0)
+    place = F.col("number") * F.lit(1 << ROWS_BITS) + F.col("record") - 1
+    # Columns go by position, as names may hold any character.
+    in_files = [name for name in header.fieldNames() if name not in in_paths]
+    names = {name: f"_{k}" for k, name in enumerate(in_files)}
+    shape = ", ".join(f"{name} string" for name in names.values())
+    fields = F.from_csv("text", shape, dict(options)).alias("_fields")
+    parsed = found.select(place.alias("_place"), fields, *in_paths)
+    parsed = parsed.select("_place", *[F.col(f"_fields.{short}").alias(name) for name, short in names.items()], *in_paths)
+    placed = [] if order_column is None or order_column in header.fieldNames() else [F.col("_place").alias(order_column)]
+    return parsed.select(*placed, *columns)
+
+
+def _partition_columns(spark: SparkSession, path: str) -> list[str]:
+    """Columns that stand in the paths of a table's files."""
+    return [name for name in spark.read.text(path).columns if name != "value"]
+
+
 def _with_place(raw: DataFrame, columns: list[Column], order_column: str) -> DataFrame:
     """``columns`` of ``raw`` and the place of each row in the files it was read from.
 
