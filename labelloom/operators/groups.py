@@ -19,6 +19,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from labelloom.functions.text import text_key
+from labelloom.operators import bloom
+from labelloom.operators.pin import MAX_PINNED_ROWS, settle
 from labelloom.roles import Roles
 
 #: A text with more rows than this, and with more than one in MAX_HOT_TEXTS of the
@@ -100,9 +102,9 @@ def keep_rows(df: DataFrame, roles: Roles, wanted: DataFrame, wanted_order: str
 
 
 def attach_by_text(
-    df: DataFrame, roles: Roles, groups: DataFrame, value: str, hot_rows: int = HOT_ROWS
+    df: DataFrame, roles: Roles, groups: DataFrame, value: str, hot_rows: int = HOT_ROWS, key: Column | None = None
 ) -> DataFrame:
-    """``df`` with column ``value`` looked up by text in ``groups``; null where absent.
+    """``df`` with column ``value`` looked up by text, or by ``key``, in ``groups``; null where absent.
 
     ``groups`` has one row per ``text_key`` with ``n_rows`` and ``value``.
     Texts with more than ``hot_rows`` rows, or in a very large table more than
@@ -117,7 +119,7 @@ def attach_by_text(
     usual = known.where(~is_hot & F.col(value).isNotNull()).select(
         F.col("text_key").alias("_group_key"), F.col(value)
     )
-    keyed = df.withColumn("_key", text_key(F.col(roles.text)))
+    keyed = df.withColumn("_key", text_key(F.col(roles.text)) if key is None else key)
     marked = keyed.join(F.broadcast(hot), F.col("_key") == F.col("_hot_key"), "left")
     # Rows that need no join get a key of their own in place of the digest. It is
     # never 32 bytes long, so it matches nothing and only scatters these rows.
@@ -129,3 +131,45 @@ def attach_by_text(
         *[joined[c] for c in df.columns],
         F.coalesce(F.col("_hot_value"), F.col(value)).alias(value),
     )
+
+
+#: Stands for the digest of a null text, where null texts have a verdict as well.
+NULL_KEY = b"\x00"
+
+
+def whole_key(text: Column) -> Column:
+    """:func:`text_key`, with ``NULL_KEY`` for null."""
+    return F.coalesce(text_key(text), F.lit(NULL_KEY))
+
+
+def attach_rare(
+    df: DataFrame,
+    roles: Roles,
+    verdicts: DataFrame,
+    value: str,
+    key: Column | None = None,
+    max_broadcast: int = MAX_PINNED_ROWS,
+    words: int = bloom.WORDS,
+) -> DataFrame:
+    """``df`` with column ``value`` looked up by text, or by ``key``, in ``verdicts``; null where absent. For verdicts on few texts.
+
+    ``verdicts`` has one row per ``text_key`` with ``n_rows``, the rows of
+    ``df`` that have it, and ``value``, which isn't null. Up to
+    ``max_broadcast`` of them are broadcast. Beyond that a Bloom filter is, and
+    only rows that it can't rule out are shuffled, with the texts of very many
+    rows spread as :func:`attach_by_text` does; the others stay in the scan's
+    stage. ``df`` is read twice then.
+    """
+    key = text_key(F.col(roles.text)) if key is None else key
+    verdicts = settle(verdicts.select("text_key", "n_rows", value))
+    n = verdicts.count()
+    if not n:
+        return df.withColumn(value, F.lit(None).cast(verdicts.schema[value].dataType))
+    if n <= max_broadcast:
+        few = F.broadcast(verdicts.select(F.col("text_key").alias("_verdict_key"), value))
+        return df.join(few, key == F.col("_verdict_key"), "left").drop("_verdict_key")
+    marked = bloom.possible(df, key, bloom.bloom_filter(verdicts, "text_key", words), words)
+    ruled_out = marked.where(~F.col("bloom_hit")).drop("bloom_hit")
+    ruled_out = ruled_out.withColumn(value, F.lit(None).cast(verdicts.schema[value].dataType))
+    others = attach_by_text(marked.where("bloom_hit").drop("bloom_hit"), roles, verdicts, value, key=key)
+    return ruled_out.unionByName(others)

@@ -1,9 +1,11 @@
 """Cleaning policies for duplicate texts and contradictory labels, and their reports.
 
-Policies that keep whole groups (A, C) look the verdict up per text. Policies
-that keep one row per text (B, D, majority) work out *which* row on narrow
-aggregates and then fetch exactly these rows by their order value. The reports
-never touch rows at all: every number follows from the per-text aggregates.
+Policies that keep whole groups (A, C), and majority resolution, look a verdict
+up per text, and only texts that need one have it: rows of all others stay where
+they are read. Policies that keep one row per text (B, D) work out *which* row on
+narrow aggregates and then fetch exactly these rows by their order value. The
+reports never touch rows at all: every number follows from the per-text
+aggregates.
 """
 
 from __future__ import annotations
@@ -13,11 +15,14 @@ from pyspark.sql import functions as F
 
 from labelloom.functions.numbers import long_form, over_all, percent
 from labelloom.operators.groups import (
-    attach_by_text,
+    NULL_KEY,
+    attach_rare,
     is_conflicting,
     keep_rows,
+    label_counts,
     labelled_groups,
     text_groups,
+    whole_key,
 )
 from labelloom.operators.validate import require_columns
 from labelloom.roles import Roles
@@ -41,10 +46,9 @@ def _checked(df: DataFrame, roles: Roles) -> DataFrame:
 
 def policy_a(df: DataFrame, roles: Roles = Roles()) -> DataFrame:
     """Drop every row of a text that carries more than one label; null texts stay."""
-    groups = text_groups(_checked(df, roles), roles).select(
-        "text_key", "n_rows", F.when(is_conflicting(), F.lit(True)).alias("_conflicting")
-    )
-    flagged = attach_by_text(df, roles, groups, "_conflicting")
+    conflicts = text_groups(_checked(df, roles), roles).where(is_conflicting())
+    verdicts = conflicts.select("text_key", "n_rows", F.lit(True).alias("_conflicting"))
+    flagged = attach_rare(df, roles, verdicts, "_conflicting")
     return flagged.where(F.col("_conflicting").isNull()).drop("_conflicting")
 
 
@@ -88,7 +92,21 @@ def majority_resolved(df: DataFrame, roles: Roles = Roles()) -> DataFrame:
     Only rows with a label vote. Texts without a strict majority, or without any
     label, are dropped; consistent texts always have one.
     """
-    return keep_rows(df, roles, chosen_rows(df, "majority", roles))
+    whole_text = Window.partitionBy("text_key")
+    votes = F.when(F.col("label").isNotNull(), F.col("n")).otherwise(0)
+    counted = label_counts(_checked(df, roles), roles).withColumn("votes", F.sum(votes).over(whole_text))
+    wins = F.col("label").isNotNull() & (F.col("n") * 2 > F.col("votes"))
+    per_text = counted.groupBy("text_key").agg(
+        F.sum("n").alias("n_rows"), F.max(F.when(wins, F.col("first_order"))).alias("winner")
+    )
+    # A text of one row with a label needs no verdict; of the others one row stays, or none.
+    open_texts = per_text.where((F.col("n_rows") > 1) | F.col("winner").isNull())
+    verdicts = open_texts.select(
+        F.coalesce("text_key", F.lit(NULL_KEY)).alias("text_key"), "n_rows", F.struct("winner").alias("_verdict")
+    )
+    judged = attach_rare(df, roles, verdicts, "_verdict", whole_key(F.col(roles.text)))
+    stays = F.col("_verdict").isNull() | (F.col("_verdict.winner") == roles.order_value())
+    return judged.where(stays).drop("_verdict")
 
 
 POLICY_FUNCTIONS = {"A": policy_a, "B": policy_b, "C": policy_c, "D": policy_d}

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from labelloom.functions.numbers import over_all, percent
 from labelloom.functions.text import text_key
-from labelloom.operators.groups import attach_by_text
+from labelloom.operators.groups import attach_rare
 from labelloom.operators.pin import pin
 from labelloom.operators.validate import require_columns
 from labelloom.roles import Roles
@@ -333,12 +333,8 @@ def cross_split_dedup(df: DataFrame, roles: Roles = Roles()) -> DataFrame:
             F.count(F.lit(1)).alias("n_rows"),
             *[F.max((F.col("split") == s).cast("int")).alias(s) for s in SPLITS],
         )
-        .select(
-            "text_key",
-            "n_rows",
-            F.when(F.col("train") + F.col("val") + F.col("test") > 1, F.when(F.col("test") == 1, "test").otherwise("val"))
-            .alias("_home"),
-        )
+        .where((F.col("train") + F.col("val") + F.col("test") > 1) & F.col("text_key").isNotNull())
+        .select("text_key", "n_rows", F.when(F.col("test") == 1, "test").otherwise("val").alias("_home"))
     )
-    placed = attach_by_text(df, roles, groups, "_home")
+    placed = attach_rare(df, roles, groups, "_home")
     return placed.where(F.col("_home").isNull() | (F.col("_home") == F.col("split"))).drop("_home")
