@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -56,10 +57,24 @@ def settle(frame: DataFrame) -> DataFrame:
 
 def release(spark: SparkSession) -> None:
     """Delete what this program has settled; frames that stand on it can't be read any more."""
-    files = spark._jvm.org.apache.hadoop.fs
     while _SETTLED:
-        path = files.Path(_SETTLED.pop())
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        _delete(spark, _SETTLED.pop())
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def settle_alone(make: Callable[[], DataFrame]) -> DataFrame:
+    """The frame that ``make`` gives, settled. What was settled on the way to it is deleted, as it stands on it no more."""
+    before = len(_SETTLED)
+    made = settle(make())
+    own = _SETTLED.pop()
+    while len(_SETTLED) > before:
+        _delete(made.sparkSession, _SETTLED.pop())
+    _SETTLED.append(own)
+    return made
 
 
 def pin(frame: DataFrame, max_rows: int = MAX_PINNED_ROWS) -> DataFrame:

@@ -63,3 +63,22 @@ def test_released_files_are_gone(spark):
     assert list(folder.glob("labelloom-*"))
     pinning.release(spark)
     assert not list(folder.glob("labelloom-*"))
+
+
+def test_only_the_last_of_frames_settled_together_stays(spark):
+    from pathlib import Path
+
+    pinning.release(spark)
+    folder = Path(pinning.shared_folder(spark).removeprefix("file:"))
+    earlier = pinning.settle(spark.range(5))
+
+    def make():
+        first = pinning.settle(spark.range(3))
+        second = pinning.settle(first.selectExpr("id + 1 as id"))
+        return second.where("id > 1")
+
+    kept = pinning.settle_alone(make)
+    assert len(list(folder.glob("labelloom-*"))) == 2
+    assert sorted(r.id for r in kept.collect()) == [2, 3] and earlier.count() == 5
+    pinning.release(spark)
+    assert not list(folder.glob("labelloom-*"))
