@@ -43,8 +43,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from labelloom.llm.components import components
-from labelloom.llm.shared import ROW, attach, numbered
-from labelloom.operators.pin import settle
+from labelloom.llm.shared import ROW, among, attach, numbered, without
+from labelloom.operators.pin import settle, settle_alone
 
 SHINGLE_WORDS = 5
 THRESHOLD = 0.8
@@ -426,8 +426,7 @@ def shingle_sets(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str) ->
                 yield pa.RecordBatch.from_arrays([part.column("rep"), pa.array(found, pa.list_(pa.int64()))], ["rep", "shingles"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("rep"), F.col(text_col).alias("body"))
-    wanted = rows.join(ids.hint("shuffle_hash"), "rep", "left_semi")
-    return wanted.mapInArrow(sets, "rep long, shingles array<long>")
+    return among(rows.where("rep is not null"), ids, "rep").mapInArrow(sets, "rep long, shingles array<long>")
 
 
 def similar(
@@ -481,9 +480,13 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", th
     texts. Rows with a null id stay.
     """
     rows = numbered(docs)
-    ids = rows.select(ROW, F.col(id_col).alias("id"))
-    known = rows.where(F.col(id_col).isNotNull()).select(ROW, text_col)
-    found = similar(known, ROW, text_col, threshold).join(ids, ROW)
-    first = found.groupBy("class_id").agg(F.min(F.struct("id", ROW)).alias("first"))
-    kept = first.select(F.col(f"first.{ROW}").alias(ROW)).unionByName(ids.where("id is null").select(ROW))
-    return rows.join(settle(kept).hint("shuffle_hash"), ROW, "left_semi").select(*docs.columns)
+
+    def others() -> DataFrame:
+        known = rows.where(F.col(id_col).isNotNull()).select(ROW, F.col(id_col).alias("id"), text_col)
+        found = similar(known, ROW, text_col, threshold).join(known.select(ROW, "id"), ROW)
+        # A class of one row loses none.
+        found = settle(found.where((F.col("n_links") > 0) | (F.col("class_id") != F.col(ROW))).select(ROW, "class_id", "id"))
+        first = found.groupBy("class_id").agg(F.min(F.struct("id", ROW)).alias("first"))
+        return found.select(ROW).join(first.select(F.col(f"first.{ROW}").alias(ROW)), ROW, "left_anti")
+
+    return without(rows, settle_alone(others)).select(*docs.columns)

@@ -16,7 +16,7 @@ Repeats within one document alone are left to the quality rules. Digests have
 Defined results for odd input: null, empty and very short texts have no passage;
 a text without white space or change has few chunks or a single one, and a
 passage is found in it only as far as its chunks are whole; rows that repeat an
-id count as one document and lose the same passages; a null id is left alone,
+id count as one document, and each loses what its own text repeats; a null id is left alone,
 its row stays as it is and gives no copies to others; an empty table gives an
 empty result. Columns other than id and text are not looked at.
 """
@@ -28,11 +28,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from labelloom.llm.shared import attach
-from labelloom.operators.pin import settle
+from labelloom.llm.shared import ROW, attach, numbered, with_few
+from labelloom.operators.pin import settle, settle_alone
 
 #: A cut's hash is the largest among so many bytes on either side: chunks of about 40 bytes.
 RADIUS = 20
@@ -96,14 +96,14 @@ def boundaries(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(([0], inner[(inner > 0) & (inner < len(data))], [len(data)])), word_starts
 
 
-CHUNKS = "id long, n_bytes long, pair int, start long, end long, first_word int, last_word int, digest long"
+CHUNKS = "id long, part long, pair int, start long, end long, first_word int, last_word int, digest long"
 
 
-def chunk_pairs(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """One row per chunk that has a successor: where the two lie in bytes and in words, and their digest."""
+def chunk_pairs(docs: DataFrame, id_col: str, text_col: str, part: Column) -> DataFrame:
+    """One row per chunk that has a successor: where the two lie in bytes and in words, and their digest. ``part`` tells rows of one id apart."""
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["id", "n_bytes", "pair", "start", "end", "first_word", "last_word", "digest"]
+        names = ["id", "part", "pair", "start", "end", "first_word", "last_word", "digest"]
         types = [np.int64, np.int64, np.int32, np.int64, np.int64, np.int32, np.int32, np.uint64]
 
         def rows(lot: list[tuple]) -> pa.RecordBatch:
@@ -113,7 +113,7 @@ def chunk_pairs(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
         lot, held = [], 0
         for batch in batches:
-            for doc, text in zip(batch.column("id").to_pylist(), batch.column("body"), strict=True):
+            for doc, part, text in zip(batch.column("id").to_pylist(), batch.column("part").to_pylist(), batch.column("body"), strict=True):
                 raw = memoryview(text.as_buffer())
                 data = np.frombuffer(raw, np.uint8)
                 bounds, word_starts = boundaries(data)
@@ -123,7 +123,7 @@ def chunk_pairs(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 start, end = bounds[:-2], bounds[2:]
                 digest = [xxhash.xxh3_64_intdigest(raw[a:b]) for a, b in zip(start.tolist(), end.tolist(), strict=True)]
                 words = (np.searchsorted(word_starts, start), np.searchsorted(word_starts, end))
-                lot.append((np.full(n, doc), np.full(n, len(data)), np.arange(n), start, end, *words, np.array(digest, np.uint64)))
+                lot.append((np.full(n, doc), np.full(n, part), np.arange(n), start, end, *words, np.array(digest, np.uint64)))
                 held += n
                 if held >= LOT:
                     yield rows(lot)
@@ -131,31 +131,33 @@ def chunk_pairs(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         if lot:
             yield rows(lot)
 
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("binary").alias("body"))
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), part.cast("long").alias("part"), F.col(text_col).cast("binary").alias("body"))
     return rows.where("id is not null and length(body) > 0").mapInArrow(pairs, CHUNKS)
 
 
-def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
+def repeated_passages(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS, part: Column | None = None
+) -> DataFrame:
     """One row per repeated passage of a document, first copies too.
 
-    ``id_col, n_bytes`` of the document, ``start_byte, end_byte, n_words`` of the
+    ``id_col, part`` of the document, where ``part`` tells rows of one id apart, by their number of bytes if it isn't given; ``start_byte, end_byte, n_words`` of the
     passage, ``first_id``, the smallest id that has a part of it, and ``cuts``,
     the spans of bytes in it that smaller ids have as well, for removal.
     Digests are shuffled with a few numbers each, never texts; a digest is
     counted in each task before that, and a frequent one isn't shuffled again.
     """
-    pairs = settle(chunk_pairs(docs, id_col, text_col))
+    pairs = settle(chunk_pairs(docs, id_col, text_col, F.octet_length(text_col) if part is None else part))
     digests = pairs.groupBy("digest").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("first_id"), F.max("id").alias("last_id"))
     shared = settle(digests.where("first_id < last_id").drop("last_id"))
     repeated = attach(pairs, shared, "digest", "n", pairs.count()).where("first_id is not null")
     pair = F.struct("pair", "start", "end", "first_word", "last_word", "first_id")
     # The pairs of one document: no more than its own length gives.
-    by_doc = repeated.groupBy("id", "n_bytes").agg(F.array_sort(F.collect_set(pair)).alias("pairs"))
+    by_doc = repeated.groupBy("id", "part").agg(F.array_sort(F.collect_set(pair)).alias("pairs"))
     return by_doc.mapInArrow(_passages(min_words), PASSAGES).withColumnRenamed("id", id_col)
 
 
 PASSAGES = (
-    "id long, n_bytes long, start_byte long, end_byte long, n_words int, first_id long, "
+    "id long, part long, start_byte long, end_byte long, n_words int, first_id long, "
     "cuts array<struct<start: long, end: long>>"
 )
 
@@ -177,17 +179,17 @@ def _passages(min_words: int):
     def passages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cut = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
         types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), cut]
-        names = ["id", "n_bytes", "start_byte", "end_byte", "n_words", "first_id", "cuts"]
+        names = ["id", "part", "start_byte", "end_byte", "n_words", "first_id", "cuts"]
         schema = pa.schema(list(zip(names, types, strict=True)))
         for batch in batches:
             found = []
-            for doc, n_bytes, pairs in zip(*(batch.column(c).to_pylist() for c in ("id", "n_bytes", "pairs")), strict=True):
+            for doc, part, pairs in zip(*(batch.column(c).to_pylist() for c in ("id", "part", "pairs")), strict=True):
                 for run in _runs(pairs, min_words, next_to):
                     later = [p for p in run if p["first_id"] < doc]
                     cuts = [{"start": r[0]["start"], "end": r[-1]["end"]} for r in _runs(later, min_words, next_to)]
                     n_words = run[-1]["last_word"] - run[0]["first_word"]
                     first_id = min(p["first_id"] for p in run)
-                    values = (doc, n_bytes, run[0]["start"], run[-1]["end"], n_words, first_id, cuts)
+                    values = (doc, part, run[0]["start"], run[-1]["end"], n_words, first_id, cuts)
                     found.append(dict(zip(names, values, strict=True)))
             yield pa.RecordBatch.from_pylist(found, schema)
 
@@ -199,13 +201,15 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     Documents that have no word left by that go; all other rows and columns stay.
     """
-    spans = repeated_passages(docs, id_col, text_col, min_words).where("size(cuts) > 0")
-    cuts = spans.groupBy(F.col(id_col).alias("_passages_id"), F.col("n_bytes").alias("_passages_n_bytes")).agg(
-        F.array_sort(F.flatten(F.collect_list("cuts"))).alias("_passages_cuts")
-    )
-    cuts = settle(cuts).hint("shuffle_hash")
+    rows = numbered(docs)
+
+    def cut_spans() -> DataFrame:
+        spans = repeated_passages(rows, id_col, text_col, min_words, F.col(ROW)).where("size(cuts) > 0")
+        cuts = F.array_sort(F.flatten(F.collect_list("cuts"))).alias("_passages_cuts")
+        return spans.groupBy(F.col("part").alias(ROW)).agg(cuts)
+
+    joined = with_few(rows, settle_alone(cut_spans))
     body = F.col(text_col).cast("binary")
-    joined = docs.join(cuts, (docs[id_col] == cuts["_passages_id"]) & (F.octet_length(docs[text_col]) == cuts["_passages_n_bytes"]), "left")
     n_cuts = F.size("_passages_cuts")
 
     def between(i):

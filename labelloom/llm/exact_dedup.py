@@ -18,8 +18,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from labelloom.llm.shared import ROW, attach, numbered
-from labelloom.operators.pin import settle
+from labelloom.llm.shared import ROW, among, attach, numbered, without
+from labelloom.operators.pin import settle, settle_alone
 
 #: Characters hashed at the second level.
 PREFIX_CHARS = 128
@@ -59,14 +59,13 @@ def survivors(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per text that occurs twice or more: ``text_sha256, keep_id, group_size``.
 
-    The rows of the survivors are fetched by id, which no text can skew; counts
-    and smallest ids of a digest are combined in each task before the shuffle.
+    The rows of the survivors are picked out where they are read; counts and
+    smallest ids of a digest are combined in each task before the shuffle.
     """
-    ids = settle(survivors(docs, id_col, text_col)).distinct().hint("shuffle_hash")
-    texts = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("body"))
-    full = texts.join(ids, texts["doc"].eqNullSafe(ids["id"]), "left_semi")
+    rows = numbered(docs)
+    full = among(rows, settle(survivors(rows, ROW, text_col).withColumnRenamed("id", ROW)))
     return (
-        full.select("doc", digest(F.col("body")).alias("text_sha256"))
+        full.select(F.col(id_col).alias("doc"), digest(F.col(text_col)).alias("text_sha256"))
         .groupBy("text_sha256")
         .agg(F.min("doc").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
         .where("group_size > 1")
@@ -98,10 +97,12 @@ def drop_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Rows are told apart by a number of their own, as an id may stand for several texts.
     """
     rows = numbered(docs)
-    shared = settle(survivors(rows, ROW, text_col)).hint("shuffle_hash")
-    texts = rows.join(shared, rows[ROW] == shared["id"], "left_semi")
-    digests = settle(texts.select(ROW, F.col(id_col).alias("doc"), digest(F.col(text_col)).alias("text_sha256")))
-    first = F.min(F.struct(F.col("doc").isNull().alias("unknown"), "doc", ROW)).alias("first")
-    kept = digests.groupBy("text_sha256").agg(first).select(F.col(f"first.{ROW}").alias(ROW))
-    dropped = settle(digests.select(ROW).join(kept, ROW, "left_anti")).hint("shuffle_hash")
-    return rows.join(dropped, ROW, "left_anti").select(*docs.columns)
+
+    def repeated() -> DataFrame:
+        found = among(rows, settle(survivors(rows, ROW, text_col).withColumnRenamed("id", ROW)))
+        digests = settle(found.select(ROW, F.col(id_col).alias("doc"), digest(F.col(text_col)).alias("text_sha256")))
+        first = F.min(F.struct(F.col("doc").isNull().alias("unknown"), "doc", ROW)).alias("first")
+        kept = digests.groupBy("text_sha256").agg(first).select(F.col(f"first.{ROW}").alias(ROW))
+        return digests.select(ROW).join(kept, ROW, "left_anti")
+
+    return without(rows, settle_alone(repeated)).select(*docs.columns)

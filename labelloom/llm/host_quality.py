@@ -19,8 +19,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
-from labelloom.llm.shared import ROW, SPACE, attach, let, numbered, words
-from labelloom.operators.pin import settle
+from labelloom.llm.shared import ROW, SPACE, attach, let, numbered, without, words
+from labelloom.operators.pin import settle, settle_alone
 
 #: Fixed values of the base rules.
 MIN_WORDS = 50
@@ -150,5 +150,5 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_
 def keep_good(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source") -> DataFrame:
     """The rows of ``docs`` that :func:`judge` keeps, with all their columns. A verdict is for its row alone, whatever rows share the id."""
     rows = numbered(docs)
-    rejected = settle(judge(rows, ROW, text_col, host_col).where("not kept").select(ROW)).hint("shuffle_hash")
-    return rows.join(rejected, ROW, "left_anti").select(*docs.columns)
+    rejected = settle_alone(lambda: judge(rows, ROW, text_col, host_col).where("not kept").select(ROW))
+    return without(rows, rejected).select(*docs.columns)

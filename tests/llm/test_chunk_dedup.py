@@ -77,3 +77,13 @@ def test_odd_input(odd, empty):
     assert {d: t for d, t in by_id.items() if d != 7} == same
     assert 7 not in by_id or len(by_id[7]) < 200
     assert chunk_dedup.remove_repeats(empty).count() == 0
+
+
+def test_rows_of_one_id_and_length_lose_their_own_passages_alone(spark):
+    draw = random.Random(8)
+    passage = prose(draw, 90)
+    first, second = prose(draw, 40) + " " + passage, prose(draw, 20) + " " + passage + " " + prose(draw, 20)
+    other = prose(draw, 400)[: len(second)]
+    rows = [(1, first), (7, second), (7, other)]
+    rest = [r.text for r in chunk_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()]
+    assert len(other) == len(second) and other in rest and first in rest and second not in rest
