@@ -58,10 +58,11 @@ def settle(frame: DataFrame) -> DataFrame:
 def release(spark: SparkSession) -> None:
     """Delete what this program has settled; frames that stand on it can't be read any more."""
     while _SETTLED:
-        _delete(spark, _SETTLED.pop())
+        remove(spark, _SETTLED.pop())
 
 
-def _delete(spark: SparkSession, path: str) -> None:
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder, if it is there."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
@@ -72,7 +73,7 @@ def settle_alone(make: Callable[[], DataFrame]) -> DataFrame:
     made = settle(make())
     own = _SETTLED.pop()
     while len(_SETTLED) > before:
-        _delete(made.sparkSession, _SETTLED.pop())
+        remove(made.sparkSession, _SETTLED.pop())
     _SETTLED.append(own)
     return made
 
