@@ -1,4 +1,16 @@
-"""A corpus from raw documents to packed training sequences."""
+"""A corpus from raw documents to packed training sequences.
+
+Each stage takes what the one before it wrote and decides on narrow tables, rows
+being told apart by their place in the files; the texts themselves are read,
+sifted or cut where they lie. Stages keep all columns; the last one gives pieces
+in place of documents.
+
+Defined results for odd input: null and empty texts fail the base rules and go
+in the first stage; rows of a null host are judged as those of the host ''; of
+rows that repeat an id each is judged, kept and packed for itself; rows with a
+null id take no part in near duplicates and repeated passages and stay; an empty
+table gives an empty result.
+"""
 
 from __future__ import annotations
 
@@ -9,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from labelloom.llm import chosen_path, chunk_dedup, exact_dedup, host_quality, packing
-from labelloom.operators.pin import shared_folder
+from labelloom.operators.pin import remove, shared_folder
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,11 +62,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each one's result written to the shared folder and read by the next."""
+    """All stages over ``documents``, each one's result written to the shared folder and read by the next, and then deleted."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     folder = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
     for number, (_, stage) in enumerate(STAGES):
         out = f"{folder}/{number}"
         stage(spark, docs, sf_dir).write.parquet(out)
         docs = spark.read.parquet(out)
+        if number:
+            remove(spark, f"{folder}/{number - 1}")
     return docs
