@@ -12,7 +12,7 @@ vector of counts per task. Weights and temperature take a bounded sample of them
 Defined results for odd input: a null text, or one without a letter, is ``und``
 with score 0; rows that repeat an id are predicted one by one; a null id or a
 null language is never learned from; without any text to learn from every
-result is ``und``; an empty table gives an empty result. Columns other than id,
+result is ``und``; of languages equally likely the first by name is given; an empty table gives an empty result. Columns other than id,
 text and language are not looked at.
 """
 
@@ -27,6 +27,7 @@ import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from labelloom.llm.shared import ROW, numbered
 from labelloom.operators.pin import settle
 
 #: Lengths of n-grams and the number of features they are hashed to.
@@ -37,6 +38,9 @@ FEATURES = 1 << 15
 FIT_ROWS = 3000
 TEMPERATURE_SHARE = 0.2
 
+#: Numbers that ids are drawn from.
+DRAWS = 1 << 31
+
 #: Languages that can be told apart; more values in the column are an error.
 MAX_LANGUAGES = 1000
 
@@ -156,18 +160,32 @@ class Model(NamedTuple):
         return self.languages[best], float(p[best])
 
 
+def sample_of(texts: DataFrame, sizes: dict[str, int]) -> DataFrame:
+    """``ROW, lang, place``: about ``FIT_ROWS`` rows of ``texts``, never more, of each language as many, numbered.
+
+    ``sizes`` are about how many ids each language has. Ids are drawn by a hash below a cut
+    that leaves somewhat more than are needed; only these are ordered. Of rows
+    that repeat id and language one can be drawn.
+    """
+    per_language = max(1, FIT_ROWS // len(sizes))
+    cuts = F.create_map(*[F.lit(x) for language, n in sizes.items() for x in (language, int(min(1.0, (1.2 * per_language + 100) / n) * DRAWS))])
+    draw = F.pmod(F.xxhash64("id"), F.lit(DRAWS))
+    few = texts.where(draw < cuts[F.col("lang")]).groupBy("id", "lang").agg(F.min(ROW).alias(ROW))
+    order = Window.partitionBy("lang").orderBy(draw, "id")
+    return few.select(ROW, "lang", F.row_number().over(order).alias("place")).where(F.col("place") <= per_language)
+
+
 def train(texts: DataFrame) -> Model | None:
-    """A model of ``texts``, columns ``id, body, lang``."""
-    languages = sorted(row.lang for row in texts.select("lang").distinct().limit(MAX_LANGUAGES + 1).collect())
+    """A model of ``texts``, columns ``ROW, id, body, lang``."""
+    sizes = {row.lang: row.n for row in texts.groupBy("lang").agg(F.approx_count_distinct("id", 0.02).alias("n")).limit(MAX_LANGUAGES + 1).collect()}
+    languages = sorted(sizes)
     if not languages:
         return None
     if len(languages) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} values are no languages")
     n, having = document_frequencies(texts)
     idf = np.log((n + 1) / (having + 1)) + 1
-    per_language = max(2, FIT_ROWS // len(languages))
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
-    sample = settle(texts.select("id", "lang", F.row_number().over(order).alias("place")).where(F.col("place") <= per_language))
+    sample = settle(sample_of(texts, sizes))
     sent = texts.sparkSession.sparkContext.broadcast(idf)
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -176,7 +194,7 @@ def train(texts: DataFrame) -> Model | None:
             columns = [pa.array([f[0] for f in found], pa.list_(pa.int32())), pa.array([f[1] for f in found], pa.list_(pa.float32()))]
             yield pa.RecordBatch.from_arrays([batch.column("lang"), batch.column("place"), *columns], ["lang", "place", "present", "values"])
 
-    drawn = texts.select("id", "body").join(sample.dropDuplicates(["id"]), "id").select("lang", "place", "body")
+    drawn = texts.select(ROW, "body").join(F.broadcast(sample), ROW).select("lang", "place", "body")
     seen = drawn.mapInArrow(features, "lang string, place int, present array<int>, values array<float>").toArrow()
     numbers = {language: i for i, language in enumerate(languages)}
     rows = _in_turns(seen, numbers)
@@ -223,6 +241,7 @@ def language(
     """
     fold = F.crc32(F.col(id_col).cast("string").cast("binary")) % folds
     held_out: Column = F.coalesce(fold == held_out_fold, F.lit(False))
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("body"), held_out.alias("held_out"), F.col(lang_col).alias("lang"))
-    model = train(rows.where("not held_out and id is not null and body is not null and lang is not null").select("id", "body", "lang"))
-    return identify(rows.select("id", "held_out", "body"), model).withColumnRenamed("id", id_col)
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("body"), held_out.alias("held_out"))
+    known = numbered(docs).select(ROW, F.col(id_col).alias("id"), F.col(text_col).alias("body"), held_out.alias("held_out"), F.col(lang_col).alias("lang"))
+    model = train(known.where("not held_out and id is not null and body is not null and lang is not null").drop("held_out"))
+    return identify(rows, model).withColumnRenamed("id", id_col)

@@ -9,13 +9,15 @@ a node's items bounded are left. A sequence holds its pieces with it, at most
 ``capacity`` of them, so nothing has to be looked up afterwards.
 
 Defined results for odd input: a null text counts as empty and its document is
-the end id alone; rows that repeat an id are packed each for itself; an empty
+the end id alone; a text that holds an added token's string has its id there, as
+the tokenizer gives it; pieces of equal length go by their place in the task; rows that repeat an id are packed each for itself; an empty
 table gives an empty result. Columns other than id and text are not looked at.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import unicodedata
 import zlib
 from collections.abc import Iterator
@@ -65,8 +67,8 @@ class _Remembered(dict):
 class WordEncoder:
     """Ids of whole texts as bytes, four a little-endian id.
 
-    The tokenizer drops white space and never joins across it, so a text's ids
-    are its words' ids in turn. Words come again, and so do the parts that the
+    The tokenizer's added tokens are found first, as it does. It drops white
+    space and never joins across it, so a text's other ids are its words' ids in turn. Words come again, and so do the parts that the
     tokenizer's own normalizer and splitter make of them; each is encoded once.
     A word of letters that the normalizer wouldn't change, with or without
     punctuation behind it, takes a shorter way to the same parts.
@@ -80,6 +82,10 @@ class WordEncoder:
         self._normalize = tokenizer.normalizer.normalize_str
         self._split = tokenizer.pre_tokenizer.pre_tokenize_str
         self._merge = tokenizer.model.tokenize
+        # Tokens that the tokenizer finds in a text before anything else is done to it.
+        added = {token.content: token_id.to_bytes(ID_BYTES, "little") for token_id, token in tokenizer.get_added_tokens_decoder().items()}
+        self._added = added
+        self._find_added = re.compile("|".join(map(re.escape, sorted(added, key=len, reverse=True)))) if added else None
         self._alphabet = _Remembered(lambda code: self._split(chr(code))[0][0])
         self._words = _Remembered(self._word)
         self._parts = _Remembered(self._part)
@@ -88,8 +94,19 @@ class WordEncoder:
         for known in (self._words, self._parts):
             if len(known) > MAX_WORDS:
                 known.clear()
-        known = self._words.__getitem__
-        return [b"".join(map(known, text.encode().split())) for text in texts]
+        return [self._encode(text) for text in texts]
+
+    def _encode(self, text: str) -> bytes:
+        if not self._find_added or not self._find_added.search(text):
+            return self._without_added(text)
+        ids, at = [], 0
+        for met in self._find_added.finditer(text):
+            ids += [self._without_added(text[at : met.start()]), self._added[met.group()]]
+            at = met.end()
+        return b"".join([*ids, self._without_added(text[at:])])
+
+    def _without_added(self, text: str) -> bytes:
+        return b"".join(map(self._words.__getitem__, text.encode().split()))
 
     def _word(self, word: bytes) -> bytes:
         text = word.decode()

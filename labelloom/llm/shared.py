@@ -71,13 +71,13 @@ def among(rows: DataFrame, wanted: DataFrame, key: str = ROW) -> DataFrame:
     return _sifted(rows, wanted, key, "left_semi")
 
 
-def with_few(rows: DataFrame, table: DataFrame, key: str = ROW) -> DataFrame:
+def with_few(rows: DataFrame, table: DataFrame, key: str = ROW, max_listed: int | None = None) -> DataFrame:
     """``rows`` with the columns of the settled ``table``, which has one row for few of the keys; nulls for the others."""
-    return _sifted(rows, table, key, "left")
+    return _sifted(rows, table, key, "left", max_listed)
 
 
-def _sifted(rows: DataFrame, listed: DataFrame, key: str, how: str) -> DataFrame:
-    if listed.count() <= MAX_LISTED:
+def _sifted(rows: DataFrame, listed: DataFrame, key: str, how: str, max_listed: int | None = None) -> DataFrame:
+    if listed.count() <= (MAX_LISTED if max_listed is None else max_listed):
         return rows.join(F.broadcast(listed), key, how)
     marked = bloom.possible(rows, F.col(key), bloom.bloom_filter(listed, key))
     compared = marked.where("bloom_hit").drop("bloom_hit").join(listed, key, how)

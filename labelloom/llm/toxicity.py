@@ -22,7 +22,8 @@ joined to it.
 Defined results for odd input: null and empty texts have no evidence and get the
 score of none; rows that repeat an id are learned from and scored one by one; a
 null id, or a null label, is never learned from; without texts of both classes
-to learn from every score is 0; an empty table gives an empty result. Columns
+to learn from every score is 0, and without both to fit on the line says nothing
+but their shares among those learned from; an empty table gives an empty result. Columns
 other than id, text and label are not looked at.
 """
 
@@ -37,7 +38,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from labelloom.llm.shared import attach
+from labelloom.llm.shared import attach, with_few
 from labelloom.operators.pin import settle
 
 #: Places for words that are broadcast; the last one stays free and stands for the words without followings.
@@ -55,6 +56,9 @@ TRIED = [(i, margin) for i in range(len(DISCOUNTS)) for margin in MARGINS]
 #: Labelled texts that margin and line are fitted on, at most.
 FIT_ROWS = 20_000
 
+#: Labels that are broadcast to the texts, at most; more are looked up through a Bloom filter.
+MAX_LABELS = 1_000_000
+
 #: Weight of the penalty that keeps the line's slope finite.
 RIDGE = 1e-3
 
@@ -311,18 +315,22 @@ def train(rows: DataFrame, labels: DataFrame, learning: Column, fitting: Column)
     Rows where ``learning`` holds make the models; of those where ``fitting``
     holds a bounded sample, which is broadcast, sets discount, margin and line.
     """
-    words = words_of(settle(followings(rows.where(learning).join(labels.hint("shuffle_hash"), "id"))))
+    labels = settle(labels)
+    learned = with_few(rows.where(learning).where("id is not null"), labels, "id", MAX_LABELS).where("toxic is not null")
+    words = words_of(settle(followings(learned)))
     if words is None:
         return None
     labelled = rows.where(fitting).select("id").join(labels, "id").distinct()
     chosen = settle(labelled.select("id", "toxic", F.xxhash64("id").alias("order")).orderBy("order", "id").limit(FIT_ROWS))
     sample = rows.where(fitting).select("id", "body").join(F.broadcast(chosen.select("id", "toxic")), "id").select("body", "toxic")
     seen = evidences(sample, words, TRIED).limit(2 * FIT_ROWS).toArrow()
-    labels = seen["toxic"].to_numpy().astype(float)
-    if not 0 < labels.sum() < len(labels):
-        return Model(words, 0, MARGINS[0], 1.0, 0.0)
+    truth = seen["toxic"].to_numpy().astype(float)
+    if not 0 < truth.sum() < len(truth):
+        # Nothing to fit a line on: a text without evidence is as likely toxic as those learned from are.
+        n, toxic = rows.where(learning).select("id").join(labels, "id").agg(F.count(F.lit(1)), F.sum("toxic")).first()
+        return Model(words, 0, MARGINS[0], 1.0, float(np.log(toxic / (n - toxic))))
     found = np.array(seen["evidence"].to_pylist())
-    lines = [fitted_line(found[:, i], labels) for i in range(len(TRIED))]
+    lines = [fitted_line(found[:, i], truth) for i in range(len(TRIED))]
     best = min(range(len(TRIED)), key=lambda i: lines[i][2])
     return Model(words, *TRIED[best], *map(float, lines[best][:2]))
 

@@ -1,6 +1,8 @@
 import random
 import zlib
 
+from pyspark.sql import functions as F
+
 from labelloom.llm import langid
 
 ALPHABETS = {"aa": "abcdefg", "bb": "defghij", "cc": "éèàçxyz"}
@@ -33,6 +35,18 @@ def test_language_and_held_out_rows_do_not_reach_the_model(spark):
     assert one == two and "zz" not in {r.lang_pred for r in one}
 
 
+def test_the_sample_is_bounded_whatever_id_is_repeated(spark, monkeypatch):
+    from labelloom.llm.shared import ROW
+
+    monkeypatch.setattr(langid, "FIT_ROWS", 60)
+    rows = [(7, "repeated text", "aa")] * 3000 + [(7, "another", "bb")] + [(i, f"text {i}", "ab"[i % 2] * 2) for i in range(1000)]
+    texts = spark.createDataFrame(rows, "id long, body string, lang string").withColumn(ROW, F.monotonically_increasing_id())
+    sizes = {r.lang: r["count"] for r in texts.groupBy("lang").agg(F.approx_count_distinct("id").alias("count")).collect()}
+    drawn = langid.sample_of(texts, sizes).collect()
+    assert len({r[ROW] for r in drawn}) == len(drawn) == 60
+    assert all(sum(r.lang == lang for r in drawn) == 30 for lang in ("aa", "bb"))
+
+
 def test_odd_input(spark, odd, empty):
     rows = langid.language(odd).collect()
     assert len(rows) == 11

@@ -15,14 +15,12 @@ PATH = public_tokenizers.path("word_bpe_49k.json")
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    found = Tokenizer.from_file(PATH)
-    found.encode_special_tokens = True
-    return found
+    return Tokenizer.from_file(PATH)
 
 
 def test_words_give_what_whole_texts_give(tokenizer):
     draw = random.Random(3)
-    alphabet = ["a", "The", "thEr", " ", "\n", "\x1c", "\x85", " ", "é", "É", "é", "İ", "Σ", "ς", "ǅ", "ﬁ", "½", "²", "中", "'s", "'", "''", "..", "12", "_", "<|endoftext|>"]
+    alphabet = ["a", "The", "thEr", " ", "\n", "\x1c", "\x85", " ", "é", "É", "é", "İ", "Σ", "ς", "ǅ", "ﬁ", "½", "²", "中", "'s", "'", "''", "..", "12", "_", "<|endoftext|>", "<|startoftext|>", "<|EndOfText|>", "<|"]
     texts = ["".join(draw.choices(alphabet, k=draw.randrange(40))) for _ in range(3000)]
     encoder = packing.WordEncoder(PATH)
     for ids, whole in zip(encoder.encode(texts), tokenizer.encode_batch(texts, add_special_tokens=False), strict=True):
