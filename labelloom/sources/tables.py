@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 from typing import Any
 
 from pyspark.errors import AnalysisException
@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from labelloom.operators.validate import assert_order_identifies_rows, assert_unique_texts, require_columns
 from labelloom.roles import Roles
-from labelloom.sources import split_csv
+from labelloom.sources import commit, split_csv
 
 # Reads as null; a character that no text field holds, so that "" stays a text.
 NO_TEXT = "\x00"
@@ -29,6 +29,7 @@ MAX_DOCUMENT_LINES = 100_000
 def _found(load, path: str) -> DataFrame:
     """Run a reader, turning Spark's path error into ``FileNotFoundError``."""
     try:
+        commit.restore(SparkSession.active(), path)
         return load(path)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
@@ -153,7 +154,7 @@ def read_clean(
     if file_format == "parquet":
         df = _not_empty(read_parquet(spark, path), path)
     elif file_format == "csv":
-        df = read_csv(spark, path, schema or _csv_schema(spark, path, roles), encoding, order_column=roles.order_columns[0])
+        df = read_csv(spark, path, schema or csv_schema(spark, path, roles), encoding, order_column=roles.order_columns[0])
     else:
         raise ValueError(f"file_format must be 'parquet' or 'csv', got {file_format!r}")
     require_columns(df, roles.text, roles.label, *roles.order_columns)
@@ -162,7 +163,7 @@ def read_clean(
     return df
 
 
-def _csv_schema(spark: SparkSession, path: str, roles: Roles) -> T.StructType:
+def csv_schema(spark: SparkSession, path: str, roles: Roles) -> T.StructType:
     """Text and label as strings, and the order column as a number if the header has it."""
     header = _found(lambda p: spark.read.option("header", True).csv(p), path).columns
     order = [T.StructField(name, T.LongType()) for name in roles.order_columns if name in header]
@@ -180,30 +181,29 @@ def _csv_options(writer: DataFrameWriter) -> DataFrameWriter:
 
 
 def write_table(df: DataFrame, path: str, file_format: str = "parquet") -> str:
-    """Write a table; CSV gets a header, and quotes are doubled so it reads back unchanged."""
-    writer = df.write.mode("overwrite")
+    """Write a table; CSV gets a header, and quotes are doubled so it reads back unchanged.
+
+    A table at ``path`` is replaced once all is written, see :mod:`commit`.
+    """
+    return commit.replace(df.sparkSession, path, _write_as(df.write, file_format))
+
+
+def _write_as(writer: DataFrameWriter, file_format: str) -> Callable[[str], None]:
     if file_format == "parquet":
-        writer.parquet(path)
-    elif file_format == "csv":
-        _csv_options(writer).csv(path)
-    else:
-        raise ValueError(f"file_format must be 'parquet' or 'csv', got {file_format!r}")
-    return path
+        return writer.parquet
+    if file_format == "csv":
+        return _csv_options(writer).csv
+    raise ValueError(f"file_format must be 'parquet' or 'csv', got {file_format!r}")
 
 
 def write_splits(df: DataFrame, path: str, file_format: str = "parquet", split: str = "split") -> dict[str, str]:
     """Write one table partitioned by split; returns the directory of each split.
 
-    A single write serves all splits, so the rows are computed once.
+    A single write serves all splits, so the rows are computed once, and they
+    replace what was at ``path`` together.
     """
     require_columns(df, split)
-    writer = df.write.mode("overwrite").partitionBy(split)
-    if file_format == "parquet":
-        writer.parquet(path)
-    elif file_format == "csv":
-        _csv_options(writer).csv(path)
-    else:
-        raise ValueError(f"file_format must be 'parquet' or 'csv', got {file_format!r}")
+    commit.replace(df.sparkSession, path, _write_as(df.write.partitionBy(split), file_format))
     return {name: f"{path}/{split}={name}" for name in ("train", "val", "test")}
 
 
@@ -234,8 +234,7 @@ def write_report(report: DataFrame, path: str, notes: Mapping[str, Any] | None =
         said.append(("notes", name, number, None if number is not None else str(value)))
     if said:
         lines = lines.unionByName(spark.createDataFrame(said, "section string, item string, value double, note string"))
-    lines.write.mode("overwrite").json(path)
-    return path
+    return commit.replace(spark, path, lines.write.json)
 
 
 def read_report(spark: SparkSession, path: str) -> DataFrame:
@@ -254,6 +253,17 @@ def _lines(spark: SparkSession, path: str) -> DataFrame:
     return _found(lambda p: spark.read.schema(shape).json(p), path)
 
 
+def write_document(report: DataFrame, path: str, notes: Mapping[str, Any] | None = None) -> str:
+    """Write a short report as one JSON document, a single file at ``path``; refuses what :func:`report_document` does."""
+    spark = report.sparkSession
+    text = report_document(report, notes)
+
+    def write(folder: str) -> None:
+        spark.createDataFrame([(text,)], "value string").coalesce(1).write.text(folder)
+
+    return commit.replace_file(spark, path, write)
+
+
 def report_document(report: DataFrame, notes: Mapping[str, Any] | None = None) -> str:
     """A short report as one JSON document, for people; refuses more than ``MAX_DOCUMENT_LINES`` lines."""
     lines = report.select("section", "item", "value").limit(MAX_DOCUMENT_LINES + 1).collect()
