@@ -30,21 +30,23 @@ HOT_ROWS = 1_000_000
 MAX_HOT_TEXTS = 20_000
 
 
-def label_counts(df: DataFrame, roles: Roles, carry: Mapping[str, Column] | None = None) -> DataFrame:
+def label_counts(
+    df: DataFrame, roles: Roles, carry: Mapping[str, Column] | None = None, sums: Mapping[str, Column] | None = None
+) -> DataFrame:
     """One row per distinct (text, label): ``text_key, label, n, first_order``.
 
     ``carry`` adds columns that are functions of the text; they ride along as
-    grouping keys and do not change the groups.
+    grouping keys and do not change the groups. ``sums`` adds up columns of the rows.
     """
-    carry = dict(carry or {})
+    carry, sums = dict(carry or {}), dict(sums or {})
     keyed = df.select(
         text_key(F.col(roles.text)).alias("text_key"),
         F.col(roles.label).alias("label"),
         roles.order_value().alias("row_order"),
-        *[c.alias(name) for name, c in carry.items()],
+        *[c.alias(name) for name, c in (carry | sums).items()],
     )
     return keyed.groupBy("text_key", "label", *carry).agg(
-        F.count(F.lit(1)).alias("n"), F.min("row_order").alias("first_order")
+        F.count(F.lit(1)).alias("n"), F.min("row_order").alias("first_order"), *[F.sum(name).alias(name) for name in sums]
     )
 
 

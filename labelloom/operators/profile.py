@@ -194,9 +194,10 @@ def profile_report(df: DataFrame, roles: Roles = Roles()) -> DataFrame:
     columns taken for text and label, ``labels`` the classes in order.
 
     Lengths and flags are functions of the text, so they ride along with the
-    per-text groups. Each group then adds its weight to two length histograms
-    and to the table totals; the report is read off those. Class counts need
-    the label column only and come from a scan of their own.
+    per-text groups, and counts of nulls are added up in them. Each group then
+    adds its weight to two length histograms and to the table totals; the report
+    is read off those. Class counts need the label column only and come from one
+    scan of it.
     """
     t = F.col(roles.text)
     measures = {
@@ -206,10 +207,16 @@ def profile_report(df: DataFrame, roles: Roles = Roles()) -> DataFrame:
         "non_ascii": tx.has_non_ascii(t),
         **tx.flag_columns(t),
     }
+    nulls = {f"_null_{k}": F.col(c).isNull().cast("bigint") for k, c in enumerate(df.columns)}
     per_text = (
-        label_counts(df, roles, measures)
+        label_counts(df, roles, measures, nulls)
         .groupBy("text_key", *measures)
-        .agg(F.count("label").alias("n_labels"), F.sum("n").alias("n_rows"), F.sum(F.col("n") - 1).alias("exact"))
+        .agg(
+            F.count("label").alias("n_labels"),
+            F.sum("n").alias("n_rows"),
+            F.sum(F.col("n") - 1).alias("exact"),
+            *[F.sum(name).alias(name) for name in nulls],
+        )
     )
     n = F.col("n_rows")
     zero = F.lit(0).cast("bigint")
@@ -227,9 +234,10 @@ def profile_report(df: DataFrame, roles: Roles = Roles()) -> DataFrame:
         "non_ascii_rows": rows_where(F.col("non_ascii")),
         **{f: rows_where(F.col(f)) for f in tx.FLAG_NAMES},
     }
+    summed = totals | {name: F.col(name) for name in nulls}
 
     def entry(kind: str, length: Column, weight: Column, counted: bool = False) -> Column:
-        counts = [(c if counted else zero).alias(f"_{name}") for name, c in totals.items()]
+        counts = [(c if counted else zero).alias(f"_{name}") for name, c in summed.items()]
         return F.struct(F.lit(kind).alias("kind"), length.alias("length"), weight.alias("weight"), *counts)
 
     entries = F.array(
@@ -237,7 +245,7 @@ def profile_report(df: DataFrame, roles: Roles = Roles()) -> DataFrame:
         entry("word_length", F.col("words"), n),
         entry("totals", F.lit(None).cast("int"), zero, counted=True),
     )
-    sums = [F.sum(f"_{name}").alias(f"_{name}") for name in totals]
+    sums = [F.sum(f"_{name}").alias(f"_{name}") for name in summed]
     small = (
         per_text.select(F.inline(entries))
         .groupBy("kind", "length")
@@ -251,28 +259,20 @@ def profile_report(df: DataFrame, roles: Roles = Roles()) -> DataFrame:
         item = F.lit(item) if isinstance(item, str) else item
         return F.struct(section.alias("section"), item.alias("item"), value.cast("double").alias("value"))
 
-    lines = F.when(
-        F.col("kind") == "totals", F.array(*[line("totals", name, F.col(f"_{name}")) for name in totals])
-    ).otherwise(F.array(*[line(F.col("kind"), s, F.col(s)) for s in LENGTH_STATS]))
+    of_totals = [line("totals", name, F.col(f"_{name}")) for name in totals]
+    for k, column in enumerate(df.columns):
+        missing = F.coalesce(F.col(f"__null_{k}"), F.lit(0))
+        of_totals += [line("missing_values", column, missing), line("missing_percentages", column, percent(missing, F.col("_n_rows")))]
+    lines = F.when(F.col("kind") == "totals", F.array(*of_totals)).otherwise(F.array(*[line(F.col("kind"), s, F.col(s)) for s in LENGTH_STATS]))
     label = F.coalesce(F.col("label").cast("string"), F.lit("null"))
-    classes = class_distribution(df, roles.label).select(
-        F.inline(F.array(line("class_counts", label, F.col("n")), line("class_percentages", label, F.col("pct"))))
-    )
-    # One row per class.
-    ranks = class_distribution(df, roles.label, dropna=True).select(
-        line("labels", F.col("label").cast("string"), F.row_number().over(Window.orderBy(F.col("label").cast("string"))) - 1).alias("l")
-    )
+    # One row per class; those without a label come last and have no place among the others.
+    place = F.row_number().over(Window.orderBy(F.col("label").isNull(), F.col("label").cast("string"))) - 1
+    counts = [line("class_counts", label, F.col("n")), line("class_percentages", label, F.col("pct"))]
+    listed = F.array(*counts, line("labels", F.col("label").cast("string"), F.col("place")))
+    classes = class_distribution(df, roles.label).withColumn("place", place)
+    classes = classes.select(F.inline(F.when(F.col("label").isNull(), F.array(*counts)).otherwise(listed)))
     known = [("shape", "n_cols", float(len(df.columns)))]
     known += [("columns", f"{name} {kind}", float(place)) for place, (name, kind) in enumerate(df.dtypes)]
     known += [("roles", f"text {roles.text}", 1.0), ("roles", f"label {roles.label}", 1.0)]
     fixed = df.sparkSession.createDataFrame(known, "section string, item string, value double")
-    missing = missing_values(df).select(
-        F.inline(
-            F.array(
-                line("missing_values", F.col("column_name"), F.col("missing")),
-                line("missing_percentages", F.col("column_name"), F.col("missing_pct")),
-            )
-        )
-    )
-    report = small.select(F.inline(lines)).unionByName(classes).unionByName(ranks.select("l.*"))
-    return report.unionByName(missing).unionByName(fixed)
+    return small.select(F.inline(lines)).unionByName(classes).unionByName(fixed)
