@@ -58,10 +58,12 @@ BRANCHES = 2.0
 #: MinHash values of a signature. A byte of each makes the sketch.
 TOKENS = 64
 
-#: A bucket of more classes is split; beyond MAX_DEPTH, or if it is alike inside, it is compared by blocks of this size.
+#: A bucket of more classes is split; beyond MAX_DEPTH, or if it is alike inside, it is compared by blocks of so many buckets' size.
 BUCKET = 256
 MAX_DEPTH = 4
 
+BLOCK_BUCKETS = 2
+
 #: Mean share of equal signature tokens from which a bucket isn't split; and the tokens looked at.
 ALIKE = 0.5
 PROBES = 4
@@ -73,6 +75,9 @@ SKETCH_MARGIN = 5.0
 BLOCK_SHINGLES = 2048
 BLOCK_CELLS = 1 << 22
 
+#: Shingles of a comparison's sets that are counted at a time.
+PART_SHINGLES = 1 << 20
+
 #: Words whose hashes a worker remembers.
 MAX_WORDS = 300_000
 
@@ -238,7 +243,7 @@ def final_buckets(found: DataFrame, runs: int, branches: float, bucket: int, max
     return buckets
 
 
-def comparisons(buckets: DataFrame, found: DataFrame, bucket: int) -> DataFrame:
+def comparisons(buckets: DataFrame, found: DataFrame, block_size: int) -> DataFrame:
     """One row per class and comparison it takes part in: ``path, i, j, side, rep, copies, sketch, paths``.
 
     A small bucket is one comparison of all with all. A large one has a
@@ -248,7 +253,7 @@ def comparisons(buckets: DataFrame, found: DataFrame, bucket: int) -> DataFrame:
     """
     own = buckets.groupBy("rep").agg(F.array_sort(F.collect_set("path")).alias("paths"))
     found = settle(found.select("rep", "copies", "n_shingles", "sketch").join(own, "rep"))
-    n_blocks = F.ceil(F.col("n") / bucket)
+    n_blocks = F.ceil(F.col("n") / block_size)
     block = F.pmod(F.xxhash64("rep", "path"), n_blocks)
     dealt = buckets.select("path", "rep", block.alias("block"), F.explode(F.sequence(F.lit(0), n_blocks - 1)).alias("other"))
     dealt = dealt.select(
@@ -357,14 +362,26 @@ def _lists(column: pa.ChunkedArray) -> list[np.ndarray]:
 
 
 def shared_counts(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """How many shingles each of the ``left`` sets shares with each of the ``right`` ones, exactly."""
+    """How many shingles each of the ``left`` sets shares with each of the ``right`` ones, exactly.
+
+    Shingles are hashes, so that their remainders deal them evenly to parts of a
+    bounded size, which are counted one by one.
+    """
+    shared = np.zeros((len(left), len(right)), np.float32)
+    parts = -(-sum(map(len, sets)) // PART_SHINGLES)
+    for part in range(parts):
+        some = sets if parts == 1 else [s[s % parts == part] for s in sets]
+        _add_shared(some, left, right, shared)
+    return shared
+
+
+def _add_shared(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, shared: np.ndarray) -> None:
     owners = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
     values, places, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
     several = counts > 1
     column = (np.cumsum(several) - 1)[places]
     used = several[places]
     owners, column = owners[used], column[used]
-    shared = np.zeros((len(left), len(right)), np.float32)
     width, n_columns = max(1, BLOCK_CELLS // len(sets)), int(several.sum())
     order = np.argsort(column, kind="stable")
     owners, column = owners[order], column[order]
@@ -373,7 +390,6 @@ def shared_counts(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -
         has = np.zeros((len(sets), min(width, n_columns - at)), np.float32)
         has[owners[a:b], column[a:b] - at] = 1
         shared += has[left] @ has[right].T
-    return shared
 
 
 def links(threshold: float) -> Callable:
@@ -447,7 +463,7 @@ def similar(
     sets = settle(token_sets(docs, id_col, text_col))
     found = settle(classes(sets))
     buckets = settle(final_buckets(found, runs_for(recall, threshold, branches), branches, bucket, max_depth))
-    pairs = comparisons(buckets, found, bucket)
+    pairs = comparisons(buckets, found, BLOCK_BUCKETS * bucket)
     kept_type = "rep long, path long, i int, j int, side int, copies long, n_shingles int, paths array<long>"
     kept = settle(by_unit(pairs, candidates(threshold), kept_type))
     texts = settle(shingle_sets(docs, settle(kept.select("rep").distinct()), id_col, text_col).dropDuplicates(["rep"]))

@@ -1,4 +1,6 @@
 import random
+
+import numpy as np
 from collections import defaultdict
 from itertools import combinations
 
@@ -95,3 +97,14 @@ def test_one_row_of_each_class_stays(spark):
     alone = [(3, one), (7, one + " tail"), (7, other)]
     kept = chosen_path.keep_one(spark.createDataFrame(alone, "doc_id bigint, text string"))
     assert sorted(map(tuple, kept.collect())) == sorted([(3, one), (7, other)])
+
+
+def test_shared_shingles_are_counted_in_parts(monkeypatch):
+    draw = np.random.default_rng(4)
+    pool = draw.integers(-(2**63), 2**63 - 1, 400)
+    sets = [np.unique(draw.choice(pool, draw.integers(0, 200))) for _ in range(12)]
+    left, right = np.arange(5), np.arange(3, 12)
+    expected = [[len(np.intersect1d(sets[i], sets[j])) for j in right] for i in left]
+    for size in (1 << 20, 100, 7):
+        monkeypatch.setattr(chosen_path, "PART_SHINGLES", size)
+        assert chosen_path.shared_counts(sets, left, right).tolist() == expected
