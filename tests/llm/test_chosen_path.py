@@ -1,9 +1,8 @@
 import random
-
-import numpy as np
 from collections import defaultdict
 from itertools import combinations
 
+import numpy as np
 import pytest
 
 from labelloom.llm import chosen_path, components, shared
@@ -103,7 +102,7 @@ def test_shared_shingles_are_counted_in_parts(monkeypatch):
     draw = np.random.default_rng(4)
     pool = draw.integers(-(2**63), 2**63 - 1, 400)
     sets = [np.unique(draw.choice(pool, draw.integers(0, 200))) for _ in range(12)]
-    left, right = np.arange(5), np.arange(3, 12)
+    left, right = np.arange(5), np.arange(5, 12)
     expected = [[len(np.intersect1d(sets[i], sets[j])) for j in right] for i in left]
     for size in (1 << 20, 100, 7):
         monkeypatch.setattr(chosen_path, "PART_SHINGLES", size)
