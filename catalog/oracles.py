@@ -254,7 +254,7 @@ def _duplicates() -> dict[str, str]:
             "SELECT 'combination_rows', combination, sum(n_rows)::DOUBLE FROM grp WHERE n_labels > 1 GROUP BY combination",
         ]
     )
-    return {
+    found = {
         "exact_duplicates": f"""WITH {DOCS}, {pairs} SELECT coalesce(sum(n), 0)::BIGINT AS all_copies,
   coalesce(sum(n - 1), 0)::BIGINT AS non_first_copies, count(*) AS unique_pairs_with_duplicates FROM pairs WHERE n > 1""",
         "duplicate_samples": f"""WITH {DOCS}, {pairs},
@@ -293,6 +293,8 @@ FROM docs LEFT JOIN bad USING (text) GROUP BY docs.label""",
   count(*) FILTER (n_labels > 1) AS conflicting_texts FROM grp""",
         "duplicate_report": f"WITH {DOCS}, {GROUPS}, {pairs} {report}",
     }
+    # Counts kept of a part of the table, with the rest merged in, are those of the whole.
+    return found | {f"{name}_from_state": found[name] for name in ("duplicate_report", "combination_examples")}
 
 
 def _policy_ctes(docs: str) -> str:
@@ -390,6 +392,8 @@ def _policies() -> dict[str, str]:
     return {
         "policy_impact_report": impact_sql,
         "policy_a": f"{ctes} SELECT * FROM p_a",
+        "events_kept_by_place": """SELECT event_id, props, event_type FROM events
+WHERE event_id IN (SELECT min(event_id) FROM events GROUP BY props)""",
         "policy_b": f"{ctes} SELECT * FROM p_b",
         "policy_c": f"{ctes} SELECT * FROM p_c",
         "policy_d": f"{ctes} SELECT * FROM p_d",
@@ -556,12 +560,16 @@ m AS (SELECT label, (SELECT count(*) FROM p WHERE truth = label) AS support,
 s AS (SELECT *, CASE WHEN claimed = 0 THEN 0 ELSE hits / claimed END AS prec,
   CASE WHEN support = 0 THEN 0 ELSE hits / support END AS rec,
   CASE WHEN claimed + support = 0 THEN 0 ELSE 2 * hits / (claimed + support) END AS f FROM m)"""
+    wide = ", ".join(
+        f"(SELECT count(*) FROM p WHERE truth = a.label AND predicted = '{name}') AS \"{name}\"" for name in [*settings.LETTERS, "en"]
+    )
     return {
         "argmax_class": """SELECT vec_id, (list_position(embedding, list_max(embedding)) - 1)::INT AS predicted FROM embeddings""",
         "overall_metrics": f"""{p} SELECT sum(support)::BIGINT AS n_rows, round(sum(hits) / sum(support), 6) AS accuracy,
   round(avg(f), 6) AS macro_f1, round(sum(f * support) / sum(support), 6) AS weighted_f1 FROM s""",
         "confusion_matrix": f"""{p} SELECT a.label AS truth, b.label AS predicted,
   (SELECT count(*) FROM p WHERE truth = a.label AND predicted = b.label) AS n FROM l a, l b""",
+        "confusion_matrix_wide": f"""{p} SELECT a.label AS truth, {wide} FROM l a""",
         "classification_report": f"""{p}
 SELECT label, round(prec, 6) AS precision, round(rec, 6) AS recall, round(f, 6) AS f1, support FROM s
 UNION ALL SELECT 'accuracy', NULL, NULL, round(sum(hits) / sum(support), 6), sum(support)::BIGINT FROM s

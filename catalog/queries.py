@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from catalog import settings
 from labelloom import Roles
-from labelloom.operators import duplicates, features, metrics, models, policies, profile, split, validate
+from labelloom.operators import duplicates, features, metrics, models, policies, profile, split, state, validate
 from labelloom.operators.groups import keep_rows
 from labelloom.operators.pin import scratch_path, settle
 from labelloom.plans.cleaning import clean_table
@@ -92,6 +92,22 @@ def _on_documents(operator: Callable[..., DataFrame], label: str = "source", **o
     return lambda spark, sf: operator(documents(spark, sf, label), DOC, **options)
 
 
+#: Buckets of a state that is kept for one query.
+STATE_BUCKETS = 16
+
+
+def _from_state(operator: Callable[..., DataFrame]) -> Query:
+    """``operator`` over counts kept of most rows of ``documents``, with the other rows merged in."""
+
+    def run(s: SparkSession, d: str) -> DataFrame:
+        docs = documents(s, d)
+        later = F.col("doc_id") % 4 == 3
+        kept = state.build(docs.where(~later), DOC).save(scratch_path(s), STATE_BUCKETS)
+        return operator(kept.merged(docs.where(later), DOC), DOC)
+
+    return run
+
+
 def _on_ratings(operator: Callable[..., DataFrame], **options) -> Query:
     """Documents by their quality rating, which most of them lack."""
 
@@ -108,6 +124,12 @@ def _on_events(operator: Callable[..., DataFrame], **options) -> Query:
     )
 
 
+def _events_by_place(s: SparkSession, d: str) -> DataFrame:
+    """Policy B on a table without an order column of its own: first is who stands first in the files."""
+    events = read_parquet(s, f"{d}/events.parquet", ["event_id", "props", "event_type", "place"], "place")
+    return policies.policy_b(events, Roles("props", "event_type", "place")).drop("place")
+
+
 def _on_orders(operator: Callable[..., DataFrame], **options) -> Query:
     """Customers as texts: their orders carry several statuses, some with a majority."""
     return lambda spark, sf: operator(
@@ -191,6 +213,8 @@ def _duplicates() -> dict[str, Query]:
         "consistent_by_language": _on_documents(duplicates.consistent_by_class, "lang"),
         "remaining_duplicates": _on_documents(duplicates.remaining_duplicates),
         "duplicate_report": _on_documents(duplicates.duplicate_report),
+        "duplicate_report_from_state": _from_state(duplicates.duplicate_report),
+        "combination_examples_from_state": _from_state(duplicates.combination_examples),
     }
 
 
@@ -204,6 +228,7 @@ def _policies() -> dict[str, Query]:
 
     return {
         "policy_a": _on_documents(policies.policy_a),
+        "events_kept_by_place": _events_by_place,
         "policy_b": _on_documents(policies.policy_b),
         "policy_c": _on_documents(policies.policy_c),
         "policy_d": _on_documents(policies.policy_d),
@@ -302,6 +327,9 @@ def _evaluation() -> dict[str, Query]:
         ),
         "overall_metrics": lambda s, d: metrics.overall_metrics(guesses(s, d), "label", "guess", digits=6),
         "confusion_matrix": lambda s, d: metrics.confusion_matrix(guesses(s, d), "label", "guess"),
+        "confusion_matrix_wide": lambda s, d: metrics.confusion_wide(
+            guesses(s, d), "label", "guess", [*settings.LETTERS, "en"]
+        ),
         "classification_report": lambda s, d: metrics.classification_report(
             guesses(s, d), "label", "guess", digits=6
         ),

@@ -58,10 +58,10 @@ def _parser() -> argparse.ArgumentParser:
 
 
 def read_source(spark: SparkSession, args: argparse.Namespace) -> tuple[DataFrame, Roles]:
-    """The raw table of a command and its roles; a CSV table without the order column gets one from its files."""
+    """The raw table of a command and its roles; a table without the order column gets one from its files."""
     roles = Roles(args.text, args.label, args.order)
     if (args.format or ("csv" if args.source.lower().endswith(".csv") else "parquet")) == "parquet":
-        return tables.read_parquet(spark, args.source), roles
+        return tables.read_parquet(spark, args.source, order_column=args.order), roles
     schema = tables.csv_schema(spark, args.source, roles)
     return tables.read_csv(spark, args.source, schema, args.encoding, order_column=roles.order_columns[0]), roles
 

@@ -1,8 +1,9 @@
 """Duplicate texts and contradictory labels.
 
 Every operator reads the aggregates of :mod:`labelloom.operators.groups`, so
-each is one scan followed by shuffles of digests and counts. Null texts belong
-to no group here.
+each is one scan followed by shuffles of digests and counts. Each takes a table
+or the counts kept of it, see :mod:`labelloom.operators.state`; texts themselves
+and samples of other lengths need the table. Null texts belong to no group here.
 """
 
 from __future__ import annotations
@@ -12,17 +13,23 @@ from pyspark.sql import functions as F
 
 from labelloom.functions.numbers import over_all, percent
 from labelloom.functions.text import shorten
-from labelloom.operators.groups import is_conflicting, label_counts, labelled_groups, text_groups
+from labelloom.operators import state
+from labelloom.operators.groups import Counted, is_conflicting, label_counts, labelled_groups, text_groups
 from labelloom.roles import Roles
 
 # Fixed value: how the labels of a combination are joined.
 SEPARATOR = " + "
 
 
-def _texts(df: DataFrame, roles: Roles, **kwargs) -> DataFrame:
+def _texts(df: DataFrame | Counted, roles: Roles, **kwargs) -> DataFrame:
     return text_groups(df, roles, **kwargs).where(F.col("text_key").isNotNull())
 
 
+def _same_width(df: DataFrame | Counted, width: int, kept: int) -> None:
+    if not isinstance(df, DataFrame) and width != kept:
+        raise ValueError(f"the state keeps {kept} characters, not {width}")
+
+
 def _total(value: Column) -> Column:
     return F.coalesce(F.sum(value), F.lit(0).cast("bigint"))
 
@@ -31,7 +38,7 @@ def _combination() -> Column:
     return F.array_join("labels", SEPARATOR)
 
 
-def exact_duplicates(df: DataFrame, roles: Roles = Roles()) -> DataFrame:
+def exact_duplicates(df: DataFrame | Counted, roles: Roles = Roles()) -> DataFrame:
     """One row about equal (text, label) pairs: all copies, copies beyond the first, pairs."""
     repeated = label_counts(df, roles).where(F.col("n") > 1)
     return repeated.agg(
@@ -43,8 +50,9 @@ def exact_duplicates(df: DataFrame, roles: Roles = Roles()) -> DataFrame:
     )
 
 
-def duplicate_samples(df: DataFrame, roles: Roles = Roles(), k: int = 4, width: int = 60) -> DataFrame:
+def duplicate_samples(df: DataFrame | Counted, roles: Roles = Roles(), k: int = 4, width: int = 60) -> DataFrame:
     """The first ``k`` distinct (leading characters, label) pairs among exact duplicates."""
+    _same_width(df, width, state.LEAD)
     lead = {"lead": F.substring(roles.text, 1, width), "sample": shorten(F.col(roles.text))}
     repeated = label_counts(df, roles, lead).where((F.col("n") > 1) & F.col("text_key").isNotNull())
     first = repeated.groupBy("lead", "label").agg(
@@ -53,7 +61,7 @@ def duplicate_samples(df: DataFrame, roles: Roles = Roles(), k: int = 4, width:
     return first.select("lead", "label", "first.first_order", "first.sample").orderBy("first_order").limit(k)
 
 
-def text_multiplicity(df: DataFrame, roles: Roles = Roles()) -> DataFrame:
+def text_multiplicity(df: DataFrame | Counted, roles: Roles = Roles()) -> DataFrame:
     """One row: distinct texts, texts seen more than once, texts seen once."""
     return _texts(df, roles).agg(
         F.count(F.lit(1)).alias("unique_texts"),
@@ -62,13 +70,13 @@ def text_multiplicity(df: DataFrame, roles: Roles = Roles()) -> DataFrame:
     )
 
 
-def multiplicity_histogram(df: DataFrame, roles: Roles = Roles()) -> DataFrame:
+def multiplicity_histogram(df: DataFrame | Counted, roles: Roles = Roles()) -> DataFrame:
     """For repeated texts: how many texts are seen how often."""
     repeated = _texts(df, roles).where(F.col("n_rows") > 1)
     return repeated.groupBy(F.col("n_rows").alias("appearances")).agg(F.count(F.lit(1)).alias("texts"))
 
 
-def text_label_profile(df: DataFrame, roles: Roles = Roles(), with_text: bool = False) -> DataFrame:
+def text_label_profile(df: DataFrame | Counted, roles: Roles = Roles(), with_text: bool = False) -> DataFrame:
     """Per distinct text: its first row, sorted label set, number of labels and of rows.
 
     The text itself is represented by the order value of its first row;
@@ -77,11 +85,13 @@ def text_label_profile(df: DataFrame, roles: Roles = Roles(), with_text: bool =
     profile = _texts(df, roles, with_labels=True).select("first_order", "labels", "n_labels", "n_rows")
     if not with_text:
         return profile
+    if not isinstance(df, DataFrame):
+        raise ValueError("a state doesn't keep whole texts")
     texts = df.select(roles.order_value().alias("first_order"), F.col(roles.text).alias("text"))
     return profile.join(texts, "first_order")
 
 
-def consistent_vs_conflicting(df: DataFrame, roles: Roles = Roles()) -> DataFrame:
+def consistent_vs_conflicting(df: DataFrame | Counted, roles: Roles = Roles()) -> DataFrame:
     """One row: repeated texts with one label and with several, and the rows they cover."""
     repeated = F.col("n_rows") > 1
     consistent = repeated & (F.col("n_labels") == 1)
@@ -97,7 +107,7 @@ def consistent_vs_conflicting(df: DataFrame, roles: Roles = Roles()) -> DataFram
     )
 
 
-def label_combinations(df: DataFrame, roles: Roles = Roles()) -> DataFrame:
+def label_combinations(df: DataFrame | Counted, roles: Roles = Roles()) -> DataFrame:
     """Per label combination of conflicting texts: texts, rows, share of all conflicts.
 
     Ordered by texts, most first, then by name.
@@ -112,12 +122,13 @@ def label_combinations(df: DataFrame, roles: Roles = Roles()) -> DataFrame:
     return counts.select("*", share.alias("pct_of_conflicts")).orderBy(F.desc("texts"), "combination")
 
 
-def combination_examples(df: DataFrame, roles: Roles = Roles(), width: int = 120) -> DataFrame:
+def combination_examples(df: DataFrame | Counted, roles: Roles = Roles(), width: int = 120) -> DataFrame:
     """For each label combination the earliest conflicting text and its rows per label.
 
     The shortened text travels with the per-text group, so the table is not
     read again to fetch it.
     """
+    _same_width(df, width, state.SAMPLE)
     sample = {"sample": shorten(F.col(roles.text), width)}
     per_text = (
         label_counts(df, roles, sample)
@@ -136,7 +147,7 @@ def combination_examples(df: DataFrame, roles: Roles = Roles(), width: int = 120
     return first.select("combination", "e.first_order", "e.sample", F.inline("e.freq"))
 
 
-def conflict_frequency(df: DataFrame, roles: Roles = Roles()) -> DataFrame:
+def conflict_frequency(df: DataFrame | Counted, roles: Roles = Roles()) -> DataFrame:
     """One row: conflicting texts seen exactly twice, and three or more times."""
     return _texts(df, roles).where(is_conflicting()).agg(
         F.count_if(F.col("n_rows") == 2).alias("seen_twice"),
@@ -144,7 +155,7 @@ def conflict_frequency(df: DataFrame, roles: Roles = Roles()) -> DataFrame:
     )
 
 
-def conflict_impact_by_class(df: DataFrame, roles: Roles = Roles()) -> DataFrame:
+def conflict_impact_by_class(df: DataFrame | Counted, roles: Roles = Roles()) -> DataFrame:
     """Per class: rows and distinct texts that belong to conflicting texts; 0 where none."""
     conflict = is_conflicting()
     zero = F.lit(0).cast("bigint")
@@ -159,7 +170,7 @@ def conflict_impact_by_class(df: DataFrame, roles: Roles = Roles()) -> DataFrame
     )
 
 
-def majority_check(df: DataFrame, roles: Roles = Roles()) -> DataFrame:
+def majority_check(df: DataFrame | Counted, roles: Roles = Roles()) -> DataFrame:
     """One row: conflicting texts with a strict-majority label and without, and whether voting helps.
 
     The vote is among labelled rows: rows without a label do not take part.
@@ -179,7 +190,7 @@ def majority_check(df: DataFrame, roles: Roles = Roles()) -> DataFrame:
     )
 
 
-def consistent_by_class(df: DataFrame, roles: Roles = Roles()) -> DataFrame:
+def consistent_by_class(df: DataFrame | Counted, roles: Roles = Roles()) -> DataFrame:
     """Per class: rows of consistent repeated texts, and those beyond each first row."""
     consistent = F.col("text_key").isNotNull() & (F.col("n_rows") > 1) & (F.col("n_labels") <= 1)
     zero = F.lit(0).cast("bigint")
@@ -195,7 +206,7 @@ def consistent_by_class(df: DataFrame, roles: Roles = Roles()) -> DataFrame:
     )
 
 
-def remaining_duplicates(df: DataFrame, roles: Roles = Roles()) -> DataFrame:
+def remaining_duplicates(df: DataFrame | Counted, roles: Roles = Roles()) -> DataFrame:
     """One row: distinct texts still repeated, and texts still conflicting."""
     return _texts(df, roles).agg(
         F.count_if(F.col("n_rows") > 1).alias("duplicate_texts"),
@@ -203,7 +214,7 @@ def remaining_duplicates(df: DataFrame, roles: Roles = Roles()) -> DataFrame:
     )
 
 
-def duplicate_report(df: DataFrame, roles: Roles = Roles()) -> DataFrame:
+def duplicate_report(df: DataFrame | Counted, roles: Roles = Roles()) -> DataFrame:
     """The whole duplicate analysis as ``section, item, value`` rows, from one scan.
 
     Texts are first counted by what the report distinguishes (how often they

@@ -14,6 +14,7 @@ Shape of the work, chosen for tables far larger than memory:
 from __future__ import annotations
 
 from collections.abc import Mapping
+from typing import Protocol
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -30,14 +31,25 @@ HOT_ROWS = 1_000_000
 MAX_HOT_TEXTS = 20_000
 
 
+class Counted(Protocol):
+    """Per-text counts that stand in for a table."""
+
+    def label_counts(self, carry: Mapping[str, Column] | None = None) -> DataFrame: ...
+
+
 def label_counts(
-    df: DataFrame, roles: Roles, carry: Mapping[str, Column] | None = None, sums: Mapping[str, Column] | None = None
+    df: DataFrame | Counted, roles: Roles, carry: Mapping[str, Column] | None = None, sums: Mapping[str, Column] | None = None
 ) -> DataFrame:
     """One row per distinct (text, label): ``text_key, label, n, first_order``.
 
     ``carry`` adds columns that are functions of the text; they ride along as
-    grouping keys and do not change the groups. ``sums`` adds up columns of the rows.
+    grouping keys and do not change the groups. ``sums`` adds up columns of the
+    rows. Counts kept from earlier are given as they are.
     """
+    if not isinstance(df, DataFrame):
+        if sums:
+            raise ValueError("kept counts have no rows to add up")
+        return df.label_counts(carry)
     carry, sums = dict(carry or {}), dict(sums or {})
     keyed = df.select(
         text_key(F.col(roles.text)).alias("text_key"),
@@ -51,7 +63,7 @@ def label_counts(
 
 
 def text_groups(
-    df: DataFrame,
+    df: DataFrame | Counted,
     roles: Roles,
     carry: Mapping[str, Column] | None = None,
     with_labels: bool = False,
@@ -74,7 +86,7 @@ def text_groups(
     return label_counts(df, roles, carry).groupBy("text_key", *carry).agg(*aggregates)
 
 
-def labelled_groups(df: DataFrame, roles: Roles) -> DataFrame:
+def labelled_groups(df: DataFrame | Counted, roles: Roles) -> DataFrame:
     """:func:`label_counts` with the totals of the text beside each of its labels.
 
     The window runs over at most one row per label of a text.

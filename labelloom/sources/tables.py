@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from labelloom.operators.pin import pin
 from labelloom.operators.validate import assert_order_identifies_rows, assert_unique_texts, require_columns
 from labelloom.roles import Roles
 from labelloom.sources import commit, split_csv
@@ -128,14 +129,34 @@ def _with_place(raw: DataFrame, columns: list[Column], order_column: str) -> Dat
     return placed.join(numbered, "_file").select(place.alias(order_column), *rest)
 
 
-def read_parquet(spark: SparkSession, path: str, columns: Iterable[str] | None = None) -> DataFrame:
-    """A Parquet table, optionally only some columns. Runs no job beyond reading footers."""
+def read_parquet(
+    spark: SparkSession, path: str, columns: Iterable[str] | None = None, order_column: str | None = None
+) -> DataFrame:
+    """A Parquet table, optionally only some columns. Runs no job beyond reading footers.
+
+    ``order_column`` names a column for the place of a row, as :func:`read_csv`
+    does, if the table lacks it. It is the number of the file by name and the
+    row's position in its file, whatever ranges the files are read in; nothing
+    is written but the names of the files, and they are listed by a job that
+    reads no column.
+    """
     df = _found(spark.read.parquet, path)
-    if columns is None:
-        return df
-    columns = list(columns)
-    require_columns(df, *columns)
-    return df.select(*columns)
+    if columns is not None:
+        columns = list(columns)
+        require_columns(df, *[c for c in columns if c != order_column])
+    if order_column is not None and order_column not in df.columns:
+        df = _with_row_place(df, order_column)
+    return df if columns is None else df.select(*columns)
+
+
+def _with_row_place(df: DataFrame, order_column: str) -> DataFrame:
+    """``df``, a scan of Parquet files, with the place of each row."""
+    # One row per file.
+    files = df.select(F.col("_metadata.file_path").alias("_file")).distinct()
+    files = pin(files.select("_file", (F.row_number().over(Window.orderBy("_file")) - 1).cast("long").alias("_number")))
+    located = df.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_at"))
+    place = F.col("_number") * F.lit(1 << ROWS_BITS) + F.col("_at")
+    return located.join(files, "_file").select(place.alias(order_column), *[located[c] for c in df.columns])
 
 
 def read_clean(
@@ -148,11 +169,11 @@ def read_clean(
 ) -> DataFrame:
     """A table that must exist, be non-empty, have its columns and hold each text once.
 
-    A CSV table is read by the names in ``roles`` unless it has a ``schema``; if
-    its header lacks the order column, the place in the files stands for it.
+    A CSV table is read by the names in ``roles`` unless it has a ``schema``. If
+    the table lacks the order column, the place in the files stands for it.
     """
     if file_format == "parquet":
-        df = _not_empty(read_parquet(spark, path), path)
+        df = _not_empty(read_parquet(spark, path, order_column=_place_column(roles)), path)
     elif file_format == "csv":
         df = read_csv(spark, path, schema or csv_schema(spark, path, roles), encoding, order_column=roles.order_columns[0])
     else:
@@ -163,6 +184,11 @@ def read_clean(
     return df
 
 
+def _place_column(roles: Roles) -> str | None:
+    """The order column, if it is a single one, for which the place in files can stand."""
+    return roles.order_columns[0] if len(roles.order_columns) == 1 else None
+
+
 def csv_schema(spark: SparkSession, path: str, roles: Roles) -> T.StructType:
     """Text and label as strings, and the order column as a number if the header has it."""
     header = _found(lambda p: spark.read.option("header", True).csv(p), path).columns

@@ -5,6 +5,7 @@ import json
 import pytest
 
 from labelloom import Roles
+from labelloom.operators import policies
 from labelloom.sources import tables
 from labelloom.sources.config import SplitSettings
 
@@ -131,3 +132,28 @@ def test_csv_files_give_an_order(spark, tmp_path):
     assert [r[1:] for r in got] == rows and len({r[0] for r in got}) == 60
     assert [r[0] for r in got] == [(i // 15) * (1 << tables.ROWS_BITS) + i % 15 for i in range(60)]
     assert [tuple(r) for r in read().repartition(7).orderBy("place").collect()] == got
+
+
+def test_parquet_files_give_an_order(spark, tmp_path):
+    rows = [(f"text {i % 40}", "ab"[i % 2]) for i in range(400)]
+    path = str(tmp_path / "t")
+    for part in range(4):
+        spark.createDataFrame(rows[part * 100 : part * 100 + 100], "text string, label string").coalesce(1).write.mode("append").parquet(path)
+
+    def kept(size):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        try:
+            df = tables.read_parquet(spark, path, order_column="place")
+            assert df.columns == ["place", "text", "label"] and df.select("place").distinct().count() == 400
+            return sorted(map(tuple, policies.policy_b(df, Roles(order="place")).collect()))
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+    first = kept(1 << 27)
+    assert len(first) == 40 and first == kept(1 << 27) == kept(300)
+    by_file = {r.place >> tables.ROWS_BITS for r in tables.read_parquet(spark, path, order_column="place").collect()}
+    assert by_file == set(range(4))
+    # Within a file the order is that of its rows.
+    one = tables.read_parquet(spark, tables.write_table(spark.range(50).coalesce(1), str(tmp_path / "one")), ["place", "id"], "place")
+    assert [tuple(r) for r in one.orderBy("place").collect()] == [(i, i) for i in range(50)]
+    assert tables.read_parquet(spark, path, order_column="text").columns == ["text", "label"]
