@@ -79,7 +79,7 @@ BLOCK_CELLS = 1 << 22
 PART_SHINGLES = 1 << 20
 
 #: Words whose hashes a worker remembers.
-MAX_WORDS = 300_000
+MAX_WORDS = 150_000
 
 ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -156,6 +156,8 @@ def token_sets(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 [batch.column("id"), pa.array(sizes, pa.int32()), pa.array(prints, pa.int64()), pa.array(tokens, pa.list_(pa.int32()))],
                 ["id", "n_shingles", "print", "tokens"],
             )
+        # The worker goes on to other tasks.
+        _WORDS.clear()
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("body"))
     return rows.mapInArrow(sets, "id long, n_shingles int, print long, tokens array<int>")
@@ -440,6 +442,7 @@ def shingle_sets(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str) ->
                 part = batch.slice(at, 64)
                 found = [shingles(text.as_py() or "").view(np.int64) for text in part.column("body")]
                 yield pa.RecordBatch.from_arrays([part.column("rep"), pa.array(found, pa.list_(pa.int64()))], ["rep", "shingles"])
+        _WORDS.clear()
 
     rows = docs.select(F.col(id_col).cast("long").alias("rep"), F.col(text_col).alias("body"))
     return among(rows.where("rep is not null"), ids, "rep").mapInArrow(sets, "rep long, shingles array<long>")

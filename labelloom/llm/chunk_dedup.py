@@ -48,7 +48,7 @@ MAX_SNAP = 64
 MIN_WORDS = 25
 
 #: Rows are given out in lots of about this many.
-LOT = 200_000
+LOT = 100_000
 
 GEAR = np.array([xxhash.xxh32_intdigest(bytes([b])) for b in range(256)], dtype=np.uint32)
 

@@ -115,10 +115,62 @@ SELECT doc_id, path, coalesce(o.license, l.license) AS license, cosine,
 FROM files LEFT JOIN own o USING (doc_id) LEFT JOIN licensed l USING (dir)"""
 
 
+#: Words by brute counting with the digest worked out byte by byte; near words by the words that one deletion leaves.
+SPELLING = r"""WITH RECURSIVE steps AS (
+  SELECT list(list_reduce(list_prepend(i::UBIGINT, [0::UBIGINT for x in range(8)]),
+      lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::UBIGINT) ELSE c >> 1 END) ORDER BY i) AS of
+  FROM range(256) t(i)),
+runs AS (
+  SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS times
+  FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z\x{C0}-\x{FF}]+')) AS run FROM documents) GROUP BY ALL),
+raw AS (SELECT *, hex(encode(coalesce(doc_id::VARCHAR, '') || ':' || run)) AS digits FROM runs),
+hashed AS (
+  SELECT run, times, xor(list_reduce(list_prepend(4294967295::UBIGINT,
+      [('0x' || substr(digits, i + 1, 2))::UBIGINT for i in range(0, length(digits), 2)]),
+      lambda c, b: xor(c >> 8, of[(xor(c, b) & 255)::INT + 1])), 4294967295::UBIGINT) AS h
+  FROM raw, steps),
+spelt AS (
+  SELECT CASE WHEN h % 199 = 0 THEN left(run, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2) ELSE run END AS word, times
+  FROM hashed),
+words AS (SELECT word, sum(times)::BIGINT AS n FROM spelt WHERE length(word) >= 6 GROUP BY word HAVING sum(times) >= 5),
+shorter AS (
+  SELECT word, n, i, left(word, i - 1) || substr(word, i + 1) AS rest
+  FROM (SELECT word, n, unnest(range(1, length(word) + 1))::INT AS i FROM words)),
+pairs AS (
+  SELECT a.word, a.n, b.word AS near, b.n AS near_n FROM shorter a JOIN shorter b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+  UNION SELECT a.word, a.n, b.word, b.n FROM shorter a JOIN words b ON a.rest = b.word
+  UNION SELECT b.word, b.n, a.word, a.n FROM shorter a JOIN words b ON a.rest = b.word),
+best AS (SELECT word, n, count(*) AS n_near, arg_min(near, (-near_n, near)) AS form, max(near_n) AS form_n FROM pairs GROUP BY word, n),
+forms AS (SELECT word, form, form_n FROM best WHERE form_n >= 5 * n),
+chain AS (
+  SELECT word, form AS root FROM forms UNION ALL SELECT chain.word, forms.form FROM chain JOIN forms ON forms.word = chain.root),
+roots AS (SELECT word, root FROM chain WHERE root NOT IN (SELECT word FROM forms))
+SELECT words.word, forms.form, coalesce(roots.root, words.word) AS root, words.n, coalesce(best.n_near, 0)::BIGINT AS n_near, forms.form_n
+FROM words LEFT JOIN best USING (word) LEFT JOIN forms USING (word) LEFT JOIN roots USING (word)"""
+
+#: Every pair of usable vectors, and what links reach.
+VECTORS = """WITH RECURSIVE good AS (
+  SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
+  WHERE len(embedding) > 0 AND vec_id IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM good a JOIN good b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.95),
+reached AS (
+  SELECT a, b FROM links UNION SELECT reached.a, links.b FROM reached JOIN links ON links.a = reached.b),
+least AS (SELECT a, min(b) AS b FROM reached GROUP BY a),
+counted AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, least(vec_id, coalesce(b, vec_id)) AS component_id,
+  vec_id = least(vec_id, coalesce(b, vec_id)) AS kept
+FROM embeddings LEFT JOIN least ON least.a = vec_id LEFT JOIN counted ON counted.a = vec_id"""
+
+
 def all_sql() -> dict[str, str]:
     return {
         "op2_host_quality": _host_quality(),
         "op4_exact_dedup": EXACT_DEDUP,
         "op6_warc": WARC,
         "op7_license_scan": _license_scan(),
+        "op11_spelling": SPELLING,
+        "op12_vector_graph": VECTORS,
     }
