@@ -409,7 +409,7 @@ def _train(s: SparkSession, d: str) -> tuple[DataFrame, models.Trained]:
 @lru_cache(maxsize=1)
 def _trained(application: str, d: str) -> tuple[DataFrame, models.Trained]:
     rows = settled_texts(SparkSession.active(), d)
-    chosen = models.variants(hidden=settings.HIDDEN_UNITS, iterations=settings.ITERATIONS)
+    chosen = models.variants(hidden=settings.HIDDEN_UNITS, iterations=settings.ITERATIONS, rectified=True)
     return rows, models.train(rows, DOC, chosen, settings.MAX_FEATURES, settings.stop_words())
 
 

@@ -1,7 +1,7 @@
 """Training classifier variants, choosing on validation, evaluating once on test.
 
-Features are sparse TF-IDF vectors fitted on train. Training runs in Spark ML,
-which aggregates gradients over the partitions of the train split.
+Features are sparse TF-IDF vectors fitted on train. Variants are Spark ML's, or
+that of :mod:`network`; all add up gradients over the partitions of the train split.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from labelloom.operators import features, metrics
+from labelloom.operators import features, metrics, network
 from labelloom.operators.pin import pin
 from labelloom.roles import Roles
 
@@ -27,13 +27,23 @@ PENALTY = 3e-4
 Variants = Mapping[str, Callable[[int, int], object]]
 
 
-def variants(hidden: int = HIDDEN_UNITS, penalty: float = PENALTY, iterations: int = 50, seed: int = 42) -> Variants:
-    """Estimators by name; each takes the number of features and of classes."""
+def variants(
+    hidden: int = HIDDEN_UNITS, penalty: float = PENALTY, iterations: int = 50, seed: int = 42, rectified: bool = False
+) -> Variants:
+    """Estimators by name; each takes the number of features and of classes.
+
+    The dense one has sigmoid units and is Spark ML's, or with ``rectified``
+    rectified ones, trained on sparse rows until the validation loss rises.
+    """
     columns = {"featuresCol": "features", "labelCol": "label_id"}
+
+    def dense(n: int, k: int) -> object:
+        if rectified:
+            return network.ReluClassifier(n, k, hidden, max_steps=iterations, seed=seed)
+        return MultilayerPerceptronClassifier(layers=[n, hidden, k], maxIter=iterations, seed=seed, **columns)
+
     return {
-        "dense": lambda n, k: MultilayerPerceptronClassifier(
-            layers=[n, hidden, k], maxIter=iterations, seed=seed, **columns
-        ),
+        "dense": dense,
         "linear": lambda n, k: LogisticRegression(family="multinomial", maxIter=iterations, regParam=0.0, **columns),
         "linear_l1": lambda n, k: LogisticRegression(
             family="multinomial", maxIter=iterations, regParam=penalty, elasticNetParam=1.0, **columns
@@ -51,7 +61,7 @@ class Trained:
     roles: Roles
     index: DataFrame
     vocabulary: DataFrame
-    models: Mapping[str, Model] = field(default_factory=dict)
+    models: Mapping[str, Model | network.Network] = field(default_factory=dict)
 
     def prepare(self, df: DataFrame) -> DataFrame:
         vectors = features.tfidf_vectors(df, self.vocabulary, self.roles.text)
@@ -66,15 +76,17 @@ class Trained:
         names = list(self.models if names is None else names)
         scored = self.prepare(df)
         for i, name in enumerate(names):
+            if isinstance(self.models[name], network.Network):
+                scored = self.models[name].transform(scored, f"_probability_{i}")
+                continue
             model = self.models[name].copy()
             for part in ("rawPrediction", "probability", "prediction"):
                 model.set(model.getParam(f"{part}Col"), f"_{part}_{i}")
             scored = model.transform(scored)
+        found = [F.col(f"_probability_{i}") for i in range(len(names))]
+        arrays = [c if isinstance(self.models[name], network.Network) else vector_to_array(c) for name, c in zip(names, found, strict=True)]
         outcomes = F.array(
-            *[
-                F.struct(F.lit(name).alias("model"), vector_to_array(f"_probability_{i}").alias("probabilities"))
-                for i, name in enumerate(names)
-            ]
+            *[F.struct(F.lit(name).alias("model"), c.alias("probabilities")) for name, c in zip(names, arrays, strict=True)]
         )
         rows = scored.select(*df.columns, "label_id", F.inline(outcomes))
         guessed = rows.withColumn("predicted_id", metrics.argmax_class(F.col("probabilities")))
@@ -106,10 +118,20 @@ def train(
     n_classes, n_terms = index.count(), vocabulary.count()
     # All variants read the same vectors; an executor that is lost has its share recomputed.
     vectors = fitted.prepare(rows).select("features", "label_id").persist(StorageLevel.MEMORY_AND_DISK)
+    # A network stops by its loss on validation rows, if there are any of known labels.
+    unseen = fitted.prepare(df.where(F.col("split") == "val")).select("features", "label_id").where("label_id is not null")
+    unseen = unseen.persist(StorageLevel.MEMORY_AND_DISK)
+    models = {}
     try:
-        models = {name: build(n_terms, n_classes).fit(vectors) for name, build in chosen.items()}
+        for name, build in chosen.items():
+            estimator = build(n_terms, n_classes)
+            if isinstance(estimator, network.ReluClassifier):
+                models[name] = estimator.fit(vectors, None if unseen.isEmpty() else unseen)
+            else:
+                models[name] = estimator.fit(vectors)
     finally:
         vectors.unpersist()
+        unseen.unpersist()
     return Trained(roles, index, vocabulary, models)
 
 
