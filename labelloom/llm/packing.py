@@ -41,7 +41,7 @@ FAN_IN = 8
 MAX_ITEMS = 200_000
 
 #: Words, and parts of words, whose ids a worker remembers.
-MAX_WORDS = 150_000
+MAX_WORDS = 250_000
 
 #: Texts are encoded in groups of about this many characters.
 GROUP_CHARS = 1 << 20
