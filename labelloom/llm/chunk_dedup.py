@@ -50,6 +50,9 @@ MIN_WORDS = 25
 #: Rows are given out in lots of about this many.
 LOT = 100_000
 
+#: Documents whose pairs are looked at together.
+ROWS = 128
+
 GEAR = np.array([xxhash.xxh32_intdigest(bytes([b])) for b in range(256)], dtype=np.uint32)
 
 
@@ -181,7 +184,8 @@ def _passages(min_words: int):
         types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), cut]
         names = ["id", "part", "start_byte", "end_byte", "n_words", "first_id", "cuts"]
         schema = pa.schema(list(zip(names, types, strict=True)))
-        for batch in batches:
+        # Pairs become Python objects here, so few documents at a time.
+        for batch in (whole.slice(at, ROWS) for whole in batches for at in range(0, len(whole), ROWS)):
             found = []
             for doc, part, pairs in zip(*(batch.column(c).to_pylist() for c in ("id", "part", "pairs")), strict=True):
                 for run in _runs(pairs, min_words, next_to):

@@ -96,6 +96,10 @@ class WordEncoder:
                 known.clear()
         return [self._encode(text) for text in texts]
 
+    def forget(self) -> None:
+        self._words.clear()
+        self._parts.clear()
+
     def _encode(self, text: str) -> bytes:
         if not self._find_added or not self._find_added.search(text):
             return self._without_added(text)
@@ -209,6 +213,8 @@ def pack_partitions(docs: DataFrame, tokenizer_path: str, id_col: str, text_col:
                     add(ids, texts)
                     ids, texts, chars = [], [], 0
             add(ids, texts)
+        # The worker goes on to tasks of other kinds.
+        encoder.forget()
         if items:
             yield from _packed(items, _first_number(0, TaskContext.get().partitionId()), capacity, schema).to_batches()
 
