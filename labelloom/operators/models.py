@@ -6,6 +6,7 @@ that of :mod:`network`; all add up gradients over the partitions of the train sp
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
@@ -13,7 +14,7 @@ from pyspark import StorageLevel
 from pyspark.ml import Model
 from pyspark.ml.classification import LogisticRegression, MultilayerPerceptronClassifier
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from labelloom.operators import features, metrics, network
@@ -24,6 +25,9 @@ from labelloom.roles import Roles
 HIDDEN_UNITS = 256
 PENALTY = 3e-4
 
+#: Rows that a task of the training goes over at a time, more if fewer tasks than run at once would do.
+TASK_ROWS = 100_000
+
 Variants = Mapping[str, Callable[[int, int], object]]
 
 
@@ -107,7 +111,7 @@ def train(
     """
     chosen = variants() if chosen is None else chosen
     rows = df.where(F.col("split") == "train")
-    unlabelled = rows.where(F.col(roles.label).isNull()).count()
+    n_rows, unlabelled = rows.agg(F.count(F.lit(1)), F.count_if(F.col(roles.label).isNull())).first()
     if unlabelled:
         raise ValueError(f"{unlabelled} training rows have no label; drop or label them first")
     index = features.label_index(rows, roles.label, expected)
@@ -116,8 +120,10 @@ def train(
     )
     fitted = Trained(roles, index, vocabulary)
     n_classes, n_terms = index.count(), vocabulary.count()
-    # All variants read the same vectors; an executor that is lost has its share recomputed.
-    vectors = fitted.prepare(rows).select("features", "label_id").persist(StorageLevel.MEMORY_AND_DISK)
+    # All variants read the same vectors; an executor that is lost has its share recomputed. Every step waits for its slowest
+    # task and moves a gradient per task, so the rows are dealt evenly to the tasks that run at once, or a few times as many.
+    vectors = fitted.prepare(rows).select("features", "label_id").repartition(n_tasks(df.sparkSession, n_rows))
+    vectors = vectors.persist(StorageLevel.MEMORY_AND_DISK)
     # A network stops by its loss on validation rows, if there are any of known labels.
     unseen = fitted.prepare(df.where(F.col("split") == "val")).select("features", "label_id").where("label_id is not null")
     unseen = unseen.persist(StorageLevel.MEMORY_AND_DISK)
@@ -135,6 +141,12 @@ def train(
     return Trained(roles, index, vocabulary, models)
 
 
+def n_tasks(spark: SparkSession, n_rows: int) -> int:
+    """As many tasks as run at once, times as often as it takes for each to have at most ``TASK_ROWS`` rows."""
+    at_once = spark.sparkContext.defaultParallelism
+    return at_once * max(1, math.ceil(n_rows / (at_once * TASK_ROWS)))
+
+
 def model_benchmark(
     df: DataFrame, trained: Trained, split: str = "val", digits: int = 4, names: Sequence[str] | None = None
 ) -> DataFrame:

@@ -2,8 +2,8 @@
 
 Training is data-parallel: each task adds up loss and gradient over its rows,
 from the entries that a sparse vector has, and the sums of the tasks are added
-up slice by slice in several places. The driver holds the parameters, one gradient and a few steps of history, whatever
-the number of rows, and takes quasi-Newton steps with a line search. It stops
+up slice by slice in several places. The driver holds the parameters and one gradient, and a few steps of history in files,
+whatever the number of rows, and takes quasi-Newton steps with a line search. It stops
 when the loss on validation rows no longer falls, or the gradient is small.
 
 Without hidden units the classifier is a softmax regression, whose loss has a
@@ -13,6 +13,7 @@ single optimum.
 from __future__ import annotations
 
 import math
+import tempfile
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -21,8 +22,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Products of entries and units that a task holds at a time.
-BLOCK = 1 << 21
+#: Units of rows, and entries of rows, that a task holds at a time.
+BLOCK = 1 << 20
+
+#: Numbers that are gathered before they are added up; they stay in a core's cache.
+GATHERED = 1 << 16
 
 #: Numbers of a gradient that are added up in one place, a megabyte.
 SLICE = 1 << 17
@@ -89,34 +93,49 @@ class Rows:
         return cls(flat[0].astype(np.int64), flat[1].astype(np.float64), np.concatenate(([0], np.cumsum(sizes))), labels.astype(np.int64))
 
     def blocks(self, width: int) -> Iterator[Rows]:
-        """Runs of rows whose entries times ``width`` stay within a bound; a row is never cut."""
+        """Runs of rows whose units and entries stay within a bound; a row is never cut."""
         at, n = 0, len(self.labels)
         while at < n:
-            end = max(at + 1, int(np.searchsorted(self.starts, self.starts[at] + BLOCK // max(1, width), side="right")) - 1)
-            end = min(end, n, at + 4096)
+            end = int(np.searchsorted(self.starts, self.starts[at] + BLOCK, side="right")) - 1
+            end = min(n, max(at + 1, min(end, at + BLOCK // max(1, width))))
             a, b = self.starts[at], self.starts[end]
             yield Rows(self.indices[a:b], self.values[a:b], self.starts[at : end + 1] - a, self.labels[at:end])
             at = end
 
     def times(self, weights: np.ndarray) -> np.ndarray:
         """The rows times a matrix with a line per feature."""
-        if not len(self.indices):
-            return np.zeros((len(self.labels), weights.shape[1]))
-        products = weights[self.indices] * self.values[:, None]
-        # A last line of zeros gives rows without entries, at the end too, a place to begin.
-        sums = np.add.reduceat(np.vstack((products, np.zeros((1, weights.shape[1])))), self.starts[:-1], axis=0)
-        sums[np.diff(self.starts) == 0] = 0
+        if len(self.indices) and not 0 <= self.indices.min() <= self.indices.max() < len(weights):
+            raise IndexError(f"features are numbered from 0 to {len(weights) - 1}")
+        sums = np.zeros((len(self.labels), weights.shape[1]))
+        add_lines(self.starts, self.indices, self.values, weights, sums)
         return sums
 
     def add_outer(self, slopes: np.ndarray, gradient: np.ndarray) -> None:
         """Add to ``gradient`` the rows, turned, times ``slopes``."""
         if not len(self.indices):
             return
-        order = np.argsort(self.indices, kind="stable")
+        # Sorting numbers of 16 bits is a counting sort.
+        order = np.argsort(self.indices.astype(np.uint16) if len(gradient) <= 1 << 16 else self.indices, kind="stable")
         rows = np.repeat(np.arange(len(self.labels)), np.diff(self.starts))[order]
         indices = self.indices[order]
         first = np.flatnonzero(np.concatenate(([True], indices[1:] != indices[:-1])))
-        gradient[indices[first]] += np.add.reduceat(slopes[rows] * self.values[order][:, None], first, axis=0)
+        add_lines(np.append(first, len(indices)), rows, self.values[order], slopes, gradient, indices[first])
+
+
+def add_lines(starts: np.ndarray, at: np.ndarray, values: np.ndarray, lines: np.ndarray, sums: np.ndarray, places: np.ndarray | None = None) -> None:
+    """Add up ``values`` times the ``lines`` that lie ``at`` them, from each of ``starts`` to the next, in the line of ``sums`` of the same
+    place, or of ``places``.
+
+    The lines of a sum are copied side by side, so many that they stay in the cache, and multiplied at once.
+    """
+    step = max(1, GATHERED // lines.shape[1])
+    held = np.empty((min(step, len(at)), lines.shape[1]))
+    bounds = starts.tolist()
+    for a, b, place in zip(bounds, bounds[1:], range(len(bounds) - 1) if places is None else places.tolist()):
+        for c in range(a, b, step):
+            d = min(c + step, b)
+            # Without a check of the bounds, numpy writes into the held lines directly.
+            sums[place] += values[c:d] @ np.take(lines, at[c:d], axis=0, out=held[: d - c], mode="clip")
 
 
 def outputs(rows: Rows, shape: Shape, flat: np.ndarray) -> tuple[np.ndarray | None, np.ndarray]:
@@ -200,7 +219,9 @@ def mean_loss(rows: DataFrame, shape: Shape, flat: np.ndarray, with_gradient: bo
     n = sum(row.n for row in found)
     if not n:
         raise ValueError("there are no rows to train on")
-    return sum(row.loss for row in found) / n, np.concatenate([np.frombuffer(row.part) for row in found]) / n
+    gradient = np.concatenate([np.frombuffer(row.part) for row in found])
+    gradient /= n
+    return sum(row.loss for row in found) / n, gradient
 
 
 SUMS = ["slice", "loss", "n", "part"]
@@ -272,7 +293,8 @@ class ReluClassifier:
                 break
             moved, turned = ahead - here, next_gradient - gradient
             if float(moved @ turned) > 1e-12:
-                history = [*history, (moved, turned)][-HISTORY:]
+                history = [*history[1 - HISTORY :], (in_file(moved), in_file(turned))]
+            del moved, turned
             here, loss, gradient = ahead, next_loss, next_gradient
             losses.append(loss)
             if unseen is not None:
@@ -285,6 +307,14 @@ class ReluClassifier:
         return Network(shape, here if unseen is None or math.isinf(best_loss) else best, losses)
 
 
+def in_file(numbers: np.ndarray) -> np.ndarray:
+    """``numbers`` in a file of the driver's, which goes with them, instead of its memory."""
+    with tempfile.TemporaryFile() as file:
+        kept = np.memmap(file, numbers.dtype, "w+", shape=numbers.shape)
+    kept[:] = numbers
+    return kept
+
+
 def direction(gradient: np.ndarray, history: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
     """Minus the gradient times the inverse curvature that the last steps tell of."""
     q, factors = gradient.copy(), []

@@ -96,6 +96,56 @@ def test_training_stops_on_validation_loss(spark, vectors):
     assert losses[0] < losses[1]
 
 
+def test_products_hold_few_lines_at_a_time(monkeypatch):
+    """Every product was made at once, a line of units for each entry; sums over runs of entries are the same."""
+    rows = packed([*made(60), ([], [], 1), (list(range(12)), [0.5] * 12, 2)])
+    dense = np.zeros((62, 12))
+    for i, (a, b) in enumerate(zip(rows.starts, rows.starts[1:])):
+        dense[i, rows.indices[a:b]] = rows.values[a:b]
+    rng = np.random.default_rng(2)
+    weights, slopes = rng.normal(size=(12, 5)), rng.normal(size=(62, 5))
+    taken = []
+    monkeypatch.setattr(network.np, "take", lambda lines, at, take=np.take, **more: taken.append(len(at)) or take(lines, at, **more))
+    for held in (1, 15, 1 << 16):
+        monkeypatch.setattr(network, "GATHERED", held)
+        taken.clear()
+        gradient = np.ones((12, 5))
+        rows.add_outer(slopes, gradient)
+        assert np.allclose(rows.times(weights), dense @ weights) and np.allclose(gradient, 1 + dense.T @ slopes)
+        assert sum(taken) == 2 * len(rows.indices) and max(taken) <= max(1, held // 5)
+
+
+def test_features_that_the_weights_lack():
+    for at in (-1, 12):
+        with pytest.raises(IndexError):
+            packed([([at], [1.0], 0)]).times(np.zeros((12, 5)))
+
+
+def test_steps_are_kept_in_files():
+    kept = network.in_file(np.arange(5.0))
+    assert isinstance(kept, np.memmap) and kept.tolist() == [0, 1, 2, 3, 4]
+    assert np.allclose(network.direction(np.ones(5), [(kept, 2 * kept)]), network.direction(np.ones(5), [(np.arange(5.0), 2 * np.arange(5.0))]))
+
+
+def test_training_rows_are_dealt_evenly(spark, monkeypatch):
+    """The parts of the table may be uneven: here, one holds every row. A step takes as long as its slowest task."""
+    rows = [(i, f"{('apple', 'hammer')[i % 2]} thing{i % 5}", "ab"[i % 2], "train") for i in range(400)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, label string, split string").coalesce(1)
+    sizes = []
+
+    class Estimator:
+        def fit(self, vectors):
+            sizes.append(vectors.rdd.mapPartitions(lambda part: [sum(1 for _ in part)]).collect())
+
+    monkeypatch.setattr(models, "TASK_ROWS", 30)
+    models.train(df, chosen={"x": lambda n, k: Estimator()}, max_features=20, stop_words=[])
+    monkeypatch.undo()
+    models.train(df, chosen={"x": lambda n, k: Estimator()}, max_features=20, stop_words=[])
+    at_once = spark.sparkContext.defaultParallelism
+    assert [len(s) for s in sizes] == [at_once * math.ceil(400 / (at_once * 30)), at_once]
+    assert all(sum(s) == 400 and max(s) <= min(s) + 2 for s in sizes)
+
+
 def test_nothing_to_train_on(vectors):
     with pytest.raises(ValueError, match="no rows"):
         ReluClassifier(12, 3, 4).fit(vectors.where("label_id > 5"))
