@@ -2,8 +2,8 @@
 
 Training is data-parallel: each task adds up loss and gradient over its rows,
 from the entries that a sparse vector has, and the sums of the tasks are added
-up slice by slice in several places. The driver holds the parameters and one gradient, and a few steps of history in files,
-whatever the number of rows, and takes quasi-Newton steps with a line search. It stops
+up slice by slice in several places. The driver holds the parameters, one gradient and a few steps of history, half of it in
+files, whatever the number of rows, and takes quasi-Newton steps with a line search. It stops
 when the loss on validation rows no longer falls, or the gradient is small.
 
 Without hidden units the classifier is a softmax regression, whose loss has a
@@ -15,11 +15,12 @@ from __future__ import annotations
 import math
 import tempfile
 from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Units of rows, and entries of rows, that a task holds at a time.
@@ -214,7 +215,8 @@ def mean_loss(rows: DataFrame, shape: Shape, flat: np.ndarray, with_gradient: bo
     schema = "slice int, loss double, n long, part binary"
     places = min(n_slices, context.defaultParallelism)
     sums = rows.select("indices", "values", "label_id").mapInArrow(partial, schema)
-    found = sorted(sums.repartition(places, "slice").mapInArrow(add, schema).collect(), key=lambda row: row.slice)
+    with shuffles_removed(rows.sparkSession):
+        found = sorted(sums.repartition(places, "slice").mapInArrow(add, schema).collect(), key=lambda row: row.slice)
     sent.destroy()
     n = sum(row.n for row in found)
     if not n:
@@ -224,6 +226,19 @@ def mean_loss(rows: DataFrame, shape: Shape, flat: np.ndarray, with_gradient: bo
     return sum(row.loss for row in found) / n, gradient
 
 
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Results that are collected meanwhile delete their shuffle files at once, not when the driver next clears its memory: a
+    training has a shuffle per step."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, "false")
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 SUMS = ["slice", "loss", "n", "part"]
 
 
@@ -293,7 +308,7 @@ class ReluClassifier:
                 break
             moved, turned = ahead - here, next_gradient - gradient
             if float(moved @ turned) > 1e-12:
-                history = [*history[1 - HISTORY :], (in_file(moved), in_file(turned))]
+                history = [*history[1 - HISTORY :], (moved, in_file(turned))]
             del moved, turned
             here, loss, gradient = ahead, next_loss, next_gradient
             losses.append(loss)

@@ -1,6 +1,7 @@
 """The classifier with rectified units: its gradient, its optimum, its training."""
 
 import math
+import time
 
 import numpy as np
 import pytest
@@ -127,6 +128,22 @@ def test_steps_are_kept_in_files():
     assert np.allclose(network.direction(np.ones(5), [(kept, 2 * kept)]), network.direction(np.ones(5), [(np.arange(5.0), 2 * np.arange(5.0))]))
 
 
+def test_steps_leave_no_shuffle_files(spark, vectors):
+    blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    rows, shape = network.entries(vectors), Shape(12, 4, 3)
+
+    def shuffles():
+        return sum(str(f).rpartition("/")[2].startswith("shuffle_") for f in blocks.getAllFiles().mkString("\n").split("\n"))
+
+    network.mean_loss(rows, shape, shape.start(3))
+    before = shuffles()
+    for _ in range(4):
+        network.mean_loss(rows, shape, shape.start(3))
+    time.sleep(1)
+    assert shuffles() <= before
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+
+
 def test_training_rows_are_dealt_evenly(spark, monkeypatch):
     """The parts of the table may be uneven: here, one holds every row. A step takes as long as its slowest task."""
     rows = [(i, f"{('apple', 'hammer')[i % 2]} thing{i % 5}", "ab"[i % 2], "train") for i in range(400)]
