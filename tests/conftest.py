@@ -16,6 +16,8 @@ def spark(tmp_path_factory):
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        # The figures of a stage stay, however many stages the tests before had.
+        .config("spark.ui.retainedStages", "20000")
         .config("spark.driver.memory", "6g")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
